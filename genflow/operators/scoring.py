@@ -10,6 +10,7 @@ from __future__ import annotations
 import time
 from collections.abc import Callable, Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from itertools import islice
 
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F, types as T
@@ -123,7 +124,7 @@ def score_batches(df: DataFrame, factory: Callable[[], Callable], schema: str, b
         scorer = None
         pieces = _slices(batches, max(1, batch_size), batch_cols)
         while True:
-            group = [p for p, _ in zip(pieces, range(threads))] if threads > 1 else list(_first(pieces))
+            group = list(islice(pieces, max(1, threads)))
             if not group:
                 return
             if scorer is None:
@@ -141,12 +142,6 @@ def score_batches(df: DataFrame, factory: Callable[[], Callable], schema: str, b
     return df.mapInPandas(run, out_schema)
 
 
-def _first(pieces):
-    for piece in pieces:
-        yield piece
-        return
-
-
 _NULLABLE = {T.ByteType: "Int8", T.ShortType: "Int16", T.IntegerType: "Int32", T.LongType: "Int64", T.BooleanType: "boolean"}
 
 

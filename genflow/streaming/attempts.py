@@ -14,8 +14,8 @@ WATERMARK = "10 minutes"
 
 
 def with_event_time(df: DataFrame, ts: str = "ts") -> DataFrame:
-    """Logs carry zone-less UTC times; watermarks need a TIMESTAMP."""
-    return df.withColumn(ts, F.to_timestamp(F.to_utc_timestamp(F.col(ts).cast("timestamp"), F.current_timezone())))
+    """Watermarks need a TIMESTAMP; logs carry zone-less UTC times, so run the session in UTC."""
+    return df.withColumn(ts, F.col(ts).cast("timestamp"))
 
 
 def stream_rate(df: DataFrame, window: str = "60 seconds", slide: str = "10 seconds") -> DataFrame:

@@ -19,6 +19,9 @@ def stream_resume(df: DataFrame, score: Callable[[DataFrame], DataFrame], manife
     outputs, returning the rows that were made. Copies inside a micro-batch
     collapse, and a replayed batch replaces its own manifest part.
     """
+    # An empty first part, so that the first micro-batch finds a manifest.
+    df.sparkSession.createDataFrame([], MANIFEST).write.mode("overwrite").parquet(f"{manifest_path}/part=none")
+
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         done = spark.read.schema(MANIFEST).parquet(manifest_path).where(F.col("batch") != batch_id).select(
