@@ -16,7 +16,8 @@ from .catalog import FAST_US, LOG, REQUESTS, TASKS, query, sql
 
 
 def _stream(t, table: str):
-    return read_log_stream(t.spark, t.path(table), t.read(table).schema)
+    # Written as a pattern, because a stream source takes no single file by name.
+    return read_log_stream(t.spark, t.path(table).removesuffix("t") + "[t]", t.read(table).schema)
 
 
 def _log(t):
