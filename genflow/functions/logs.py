@@ -6,7 +6,7 @@ from itertools import chain
 
 from pyspark.sql import Column, functions as F
 
-from .text import col_of
+from .text import col_of, let
 
 # Error codes with their names, and code families by first digit.
 ERROR_CODES = (
@@ -28,7 +28,13 @@ ERROR_CODES = (
 )
 ERROR_FAMILIES = (("0", "general"), ("1", "backend"), ("2", "api"), ("3", "data"), ("4", "optimization"))
 
-LINE_PATTERN = r"^(\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}) - \[Rank (\d+)\] - (.+?) - ([A-Z]+) - ([\s\S]*)$"
+SEPARATOR = " - "
+TIME_PATTERN = r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}$"
+RANK_PATTERN = r"^\[Rank (\d+)\]$"
+PROCESS_PATTERN = r"^\[Process (\d+)\] "
+BATCH_PATTERN = r"^Processing batch (\d+)/(\d+)"
+COMPLETED_PATTERN = r"^Completed: (\d+) successful, (\d+) failed"
+CODE_PATTERN = r"\[(E\d{4})\]"
 
 
 def _lookup(pairs, key: Column) -> Column:
@@ -47,37 +53,56 @@ def error_name(code) -> Column:
 def parse_log_line(line) -> Column:
     """STRUCT of the parts of one log line; ``raw`` keeps a line of another shape."""
     line = col_of(line)
+    # Cut into time, rank, logger, level and message once; only the message is searched further.
+    return let(F.struct(F.split(line, SEPARATOR, 5).alias("p"), line.alias("line")), _parsed)
 
-    def part(i):
-        return F.nullif(F.regexp_extract(line, LINE_PATTERN, i), F.lit(""))
 
-    body = part(5)
+def _parsed(cut: Column) -> Column:
+    p = cut["p"]
 
-    def within(pattern, i=1):
-        return F.nullif(F.regexp_extract(body, pattern, i), F.lit(""))
+    def at(i):
+        return F.get(p, F.lit(i))
 
-    process = within(r"^\[Process (\d+)\] ")
-    message = F.regexp_replace(body, r"^\[Process \d+\] ", "")
+    shaped = (F.size(p) == 5) & at(0).rlike(TIME_PATTERN) & at(1).rlike(RANK_PATTERN) & at(3).rlike("^[A-Z]+$")
+    nothing = F.lit(None).cast("string")
+    other = F.struct(*[nothing.alias(n) for n in ("ts", "rank", "logger", "level", "process", "message")],
+                     cut["line"].alias("raw"))
+    body = at(4)
+    process = F.regexp_extract(body, PROCESS_PATTERN, 1)
+    head = F.struct(
+        at(0).alias("ts"), F.regexp_extract(at(1), RANK_PATTERN, 1).alias("rank"), at(2).alias("logger"),
+        at(3).alias("level"), process.alias("process"), F.regexp_replace(body, PROCESS_PATTERN, "").alias("message"),
+        nothing.alias("raw"))
+    return let(F.when(F.coalesce(shaped, F.lit(False)), head).otherwise(other), _described)
+
+
+def _described(h: Column) -> Column:
+    message = h["message"]
     kind = (
         F.when(message.startswith("Saved: "), F.lit("saved"))
         .when(message.startswith("Skipping "), F.lit("skipping"))
-        .when(message.rlike(r"^Processing batch \d+/\d+"), F.lit("batch"))
-        .when(message.rlike(r"^Completed: \d+ successful, \d+ failed"), F.lit("completed"))
+        .when(message.rlike(BATCH_PATTERN), F.lit("batch"))
+        .when(message.rlike(COMPLETED_PATTERN), F.lit("completed"))
         .when(message.isNotNull(), F.lit("other"))
     )
+
+    def number(prefix, pattern, i):
+        # Most lines do not start this way, so most never reach the pattern.
+        return F.when(message.startswith(prefix), F.regexp_extract(message, pattern, i).try_cast("int"))
+
     return F.struct(
-        F.try_to_timestamp(part(1), F.lit("yyyy-MM-dd HH:mm:ss")).alias("ts"),
-        part(2).try_cast("int").alias("rank"),
-        part(3).alias("logger"),
-        part(4).alias("level"),
-        process.try_cast("int").alias("process"),
+        F.try_to_timestamp(h["ts"], F.lit("yyyy-MM-dd HH:mm:ss")).alias("ts"),
+        h["rank"].try_cast("int").alias("rank"),
+        h["logger"].alias("logger"),
+        h["level"].alias("level"),
+        h["process"].try_cast("int").alias("process"),
         kind.alias("kind"),
-        F.when(kind == "saved", F.substring(message, len("Saved: ") + 1, 2**31 - 1)).alias("path"),
-        within(r"Processing batch (\d+)/\d+").try_cast("int").alias("batch"),
-        within(r"Processing batch \d+/(\d+)").try_cast("int").alias("batches"),
-        within(r"Completed: (\d+) successful").try_cast("int").alias("successful"),
-        within(r"Completed: \d+ successful, (\d+) failed").try_cast("int").alias("failed"),
-        within(r"\[(E\d{4})\]").alias("code"),
+        F.when(message.startswith("Saved: "), F.substring(message, len("Saved: ") + 1, 2**31 - 1)).alias("path"),
+        number("Processing batch", BATCH_PATTERN, 1).alias("batch"),
+        number("Processing batch", BATCH_PATTERN, 2).alias("batches"),
+        number("Completed: ", COMPLETED_PATTERN, 1).alias("successful"),
+        number("Completed: ", COMPLETED_PATTERN, 2).alias("failed"),
+        F.nullif(F.regexp_extract(message, CODE_PATTERN, 1), F.lit("")).alias("code"),
         message.alias("message"),
-        F.when(part(1).isNull(), line).alias("raw"),
+        h["raw"].alias("raw"),
     )

@@ -3,12 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .naming import path_name
-from .text import col_of
+from .text import col_of, let
 
 # Text-to-image name patterns in match order (some later ones are
 # shadowed by earlier, more general ones; the order is part of the behaviour).
@@ -89,11 +88,10 @@ def match_patterns(name, patterns: Sequence[tuple[str, str]]) -> Column:
     The pattern list is configuration, so it becomes one CASE expression and
     no join at all.
     """
-    lowered = F.lower(col_of(name))
-    unmatched = F.lit(None).cast("string")
-    return reduce(
-        lambda rest, pv: F.when(F.contains(lowered, F.lit(pv[0].lower())), F.lit(pv[1])).otherwise(rest),
-        reversed(list(patterns)), unmatched)
+    def first(lowered: Column) -> Column:
+        return F.coalesce(*[F.when(F.contains(lowered, F.lit(p.lower())), F.lit(v)) for p, v in patterns])
+
+    return let(F.lower(col_of(name)), first)
 
 
 def detect_model_type(name) -> Column:
@@ -112,8 +110,8 @@ def _qwen_edit_type(lowered: Column) -> Column:
 def detect_edit_model_type(name) -> Column:
     name = col_of(name)
     return F.coalesce(
-        _qwen_edit_type(F.lower(name)),
-        _qwen_edit_type(F.lower(path_name(name))),
+        let(F.lower(name), _qwen_edit_type),
+        let(F.lower(path_name(name)), _qwen_edit_type),
         match_patterns(name, EDIT_NAME_PATTERNS))
 
 

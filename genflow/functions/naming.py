@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .text import blank_to_null, col_of, strip
+from .text import col_of, let, strip
 
 # Suffixes kept as they are; anything else gets DEFAULT_SUFFIX appended.
 KEPT_SUFFIXES = (".png", ".jpg", ".jpeg")
@@ -32,14 +32,17 @@ def path_segments(path: Column) -> Column:
 
 def posix_path(path) -> Column:
     """Lexically normalised POSIX path; '.' when nothing is left."""
-    path = col_of(path)
+    return let(col_of(path), lambda p: _joined(p, path_segments(p)))
+
+
+def _joined(path: Column, parts: Column) -> Column:
     root = (
         F.when(path.startswith("//") & ~path.startswith("///"), F.lit("//"))
         .when(path.startswith("/"), F.lit("/"))
         .otherwise(F.lit(""))
     )
-    joined = F.concat(root, F.array_join(path_segments(path), "/"))
-    return F.when(joined == "", F.lit(".")).otherwise(joined)
+    joined = F.concat(root, F.array_join(parts, "/"))
+    return F.coalesce(F.nullif(joined, F.lit("")), F.lit("."))
 
 
 def path_name(path) -> Column:
@@ -49,19 +52,31 @@ def path_name(path) -> Column:
 
 def normalize_output_path(name, sub=None) -> Column:
     """Relative output path for a user-supplied name; null for a blank one."""
-    text = blank_to_null(name)
-    path = posix_path(text)
-    last = path_name(text)
-    dotted = F.regexp_extract(last, _KEPT, 1)
-    # A name that is only dots in front of the suffix has no suffix.
-    stem = F.substring(last, F.lit(1), F.length(last) - F.length(dotted))
-    suffix = F.when(stem.rlike("[^.]"), dotted).otherwise(F.lit(""))
-    base = F.substring(path, F.lit(1), F.length(path) - F.length(suffix))
     if sub is None:
         middle = F.lit("")
     else:
         middle = sub_suffix(F.lit(sub) if isinstance(sub, int) else col_of(sub))
-    return F.concat(base, middle, F.when(suffix != "", F.lower(suffix)).otherwise(F.lit(DEFAULT_SUFFIX)))
+
+    def with_segments(text: Column) -> Column:
+        return let(F.struct(text.alias("text"), path_segments(text).alias("parts")), with_path)
+
+    def with_path(p: Column) -> Column:
+        path = _joined(p["text"], p["parts"])
+        last = F.coalesce(F.try_element_at(p["parts"], F.lit(-1)), F.lit(""))
+        dotted = F.regexp_extract(last, _KEPT, 1)
+        return let(F.struct(path.alias("path"), last.alias("last"), dotted.alias("dotted")), finished)
+
+    def finished(p: Column) -> Column:
+        # A name that is only dots in front of the suffix has no suffix.
+        stem = F.substring(p["last"], F.lit(1), F.length(p["last"]) - F.length(p["dotted"]))
+        kept = (p["dotted"] != "") & stem.rlike("[^.]")
+        base = F.substring(p["path"], F.lit(1), F.length(p["path"]) - F.length(p["dotted"]))
+        return F.when(kept, F.concat(base, middle, F.lower(p["dotted"]))).otherwise(
+            F.concat(p["path"], middle, F.lit(DEFAULT_SUFFIX)))
+
+    stripped = strip(name)
+    # Blank names skip the work altogether.
+    return F.when(stripped != "", let(stripped, with_segments))
 
 
 def expected_output(index="index", name=None, n: int = 1, sub=None) -> Column:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, functions as F
 
 # The characters Python's str.strip() removes.
@@ -18,6 +20,11 @@ def col_of(value) -> Column:
     return F.col(value) if isinstance(value, str) else value
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of ``value`` with ``value`` computed once, however often the body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def strip(value) -> Column:
     """Trim every Unicode whitespace character; Spark's own trim takes spaces only."""
     return F.btrim(col_of(value), F.lit(WHITESPACE))

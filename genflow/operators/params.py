@@ -12,10 +12,11 @@ from .joins import broadcast_if_small
 
 def with_capabilities(df: DataFrame, dim: DataFrame | None = None, model_type: str = "model_type") -> DataFrame:
     """Capability record of each model type; unknown types get the default record."""
-    dim = capability_table(df.sparkSession) if dim is None else dim
+    # The built-in table has a fixed handful of rows.
+    dim = F.broadcast(capability_table(df.sparkSession)) if dim is None else broadcast_if_small(dim)
     names = [c for c in dim.columns if c != "model_type"]
     fallback = dict(zip(names, DEFAULT_CAPABILITY[1:]))
-    joined = df.join(broadcast_if_small(dim.withColumnRenamed("model_type", "_type")), F.col(model_type) == F.col("_type"), "left")
+    joined = df.join(dim.withColumnRenamed("model_type", "_type"), F.col(model_type) == F.col("_type"), "left")
     filled = [
         F.col(n) if fallback[n] is None or n == "extra_kwargs" else F.coalesce(F.col(n), F.lit(fallback[n])).alias(n)
         for n in names
@@ -30,7 +31,7 @@ def resolve_edit_params(df: DataFrame, **given) -> DataFrame:
 
 def resolve_t2i_params(df: DataFrame, model_type: str = "model_type", **given) -> DataFrame:
     """Generation call parameters: only null falls back, to the model's or the general default."""
-    dim = broadcast_if_small(t2i_default_table(df.sparkSession).withColumnRenamed("model_type", "_type"))
+    dim = F.broadcast(t2i_default_table(df.sparkSession).withColumnRenamed("model_type", "_type"))
     joined = df.join(dim, F.col(model_type) == F.col("_type"), "left").drop("_type")
     joined = joined.withColumn("default_steps", F.coalesce("default_steps", F.lit(DEFAULT_STEPS)))
     joined = joined.withColumn("default_guidance", F.coalesce("default_guidance", F.lit(DEFAULT_GUIDANCE)))

@@ -20,6 +20,8 @@ from ..functions.prompts import build_enhance_request, parse_enhance_response
 from .joins import salted_left_join
 
 ERROR = "_error"
+# Results leave a task in frames of this many rows or bytes, whichever comes first.
+FRAME_ROWS, FRAME_BYTES = 1_000, 32 << 20
 ATTEMPT_TYPE = "array<struct<attempt int, ok boolean, error string, wait double>>"
 
 
@@ -105,38 +107,48 @@ def _slices(batches: Iterator[pd.DataFrame], size: int, batch_cols: Sequence[str
 
 
 def score_batches(df: DataFrame, factory: Callable[[], Callable], schema: str, batch_size: int = 1,
-                  key: Sequence[str] = ("index",), batch_cols: Sequence[str] = (), threads: int = 1) -> DataFrame:
+                  key: Sequence[str] = ("index",), batch_cols: Sequence[str] = (), threads: int = 1,
+                  procs: int | None = None) -> DataFrame:
     """Score every row: ``factory()`` once per task (only if it has rows), then one call per batch.
 
     The scorer takes a list of row dicts and returns one dict (or None) per
     row. ``schema`` describes those results; ``key`` columns and ``_error`` are
     added. A failing row is an error row. With ``batch_cols`` rows of one
-    planned batch meet in one task and are called together.
+    planned batch meet in one task and are called together. ``procs`` spreads a
+    small input over that many tasks; ``threads`` calls run at once in each.
     """
     result_fields = T.StructType.fromDDL(schema).fieldNames()
     out_schema = T.StructType(
         [df.schema[k] for k in key] + list(T.StructType.fromDDL(schema)) + [T.StructField(ERROR, T.StringType())])
     names = out_schema.fieldNames()
     if batch_cols:
-        df = df.repartition(*batch_cols).sortWithinPartitions(*batch_cols, *key)
+        spread = df.repartition(procs, *batch_cols) if procs else df.repartition(*batch_cols)
+        df = spread.sortWithinPartitions(*batch_cols, *key)
+    elif procs:
+        df = df.repartition(procs)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         scorer = None
+        out, held_bytes = [], 0
         pieces = _slices(batches, max(1, batch_size), batch_cols)
         while True:
             group = list(islice(pieces, max(1, threads)))
             if not group:
-                return
+                break
             if scorer is None:
                 scorer = factory()
             answers = bounded(lambda rows: batch_then_single(scorer, rows), group, threads)
-            out = []
             for rows, scored in zip(group, answers):
                 for row, (result, error) in zip(rows, scored):
                     if result is None and error is None:
                         error = "no output"
-                    values = [(result or {}).get(f) for f in result_fields]
-                    out.append([row[k] for k in key] + values + [error])
+                    values = [row[k] for k in key] + [(result or {}).get(f) for f in result_fields]
+                    held_bytes += sum(len(v) for v in values if isinstance(v, (str, bytes)))
+                    out.append([*values, error])
+            if len(out) >= FRAME_ROWS or held_bytes >= FRAME_BYTES:
+                yield _frame(out, names, out_schema)
+                out, held_bytes = [], 0
+        if out:
             yield _frame(out, names, out_schema)
 
     return df.mapInPandas(run, out_schema)

@@ -14,6 +14,7 @@ from ..operators.resume import filter_rows, pending
 from ..operators.scoring import ERROR, score_batches
 from ..operators.shards import cannot_batch, expand_samples, pack_batches, shard_balanced, shard_ceil
 from ..sinks.blobs import write_named_blobs
+from ..storage import stored
 
 SHARD_RULES = {"balanced": shard_balanced, "ceil": shard_ceil}
 
@@ -42,6 +43,9 @@ def plan_tasks(tasks: DataFrame, outputs: DataFrame | None, options: PlanOptions
     anew and cut up by arithmetic. All shards share one plan: write it once.
     Only key columns are needed here; join the wide ones at scoring time.
     ``strict`` checks every image of a task instead of its first.
+
+    What is left is stored before it is counted and numbered, so outputs that
+    appear meanwhile cannot shift positions and names are made once.
     """
     if options.rows:
         tasks = filter_rows(tasks, options.rows)
@@ -53,7 +57,7 @@ def plan_tasks(tasks: DataFrame, outputs: DataFrame | None, options: PlanOptions
     else:
         named = tasks.withColumn("expected", expected_output("index", options.name_col, options.n))
     left = named if outputs is None else pending(named, outputs, resume=options.resume)
-    placed = source_positions(left.drop("_pos"))
+    placed = source_positions(stored(left.drop("_pos"), "left"))
     sharded = SHARD_RULES[options.rule](placed, options.nodes, options.procs)
     single = None
     if options.model_col:

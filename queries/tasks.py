@@ -358,6 +358,30 @@ def _(t):
                          "total", "batches", "first_index")
 
 
+@query("plan_lineitem", """
+    select coalesce(node, -1) as node, coalesce(process, -1) as process, count(*) as total, min(index) as first_index, max(index) as last_index
+    from (select *, ntile(4) over (partition by node order by rn) - 1 as process from (
+      select *, ntile(16) over (order by rn) - 1 as node from (
+        select l_orderkey * 10 + l_linenumber as index, l_orderkey, row_number() over () as rn from lineitem)
+      where l_orderkey not in (select o_orderkey from orders where o_orderstatus = 'F')))
+    group by rollup (node, process)""")
+def _(t):
+    """A plan over every line of the largest table; finished orders have all their outputs."""
+    tasks = t.read("lineitem").selectExpr(
+        "l_orderkey * 10 + l_linenumber as index",
+        "case when l_linenumber % 2 = 0 then concat('./', l_returnflag, '//', l_orderkey, '-', l_linenumber) end as output_path",
+        "_metadata.file_path as _file", "_metadata.row_index as _row")
+    done = t.read("orders").where("o_orderstatus = 'F'").join(
+        t.read("lineitem").select("l_orderkey", "l_linenumber", "l_returnflag"), F.expr("o_orderkey = l_orderkey"))
+    outputs = done.select(F.expr("""case when l_linenumber % 2 = 0 then concat(l_returnflag, '/', l_orderkey, '-', l_linenumber, '.png')
+        else format_string('%06d.png', l_orderkey * 10 + l_linenumber) end""").alias("path"))
+    plan = plan_tasks(tasks, outputs, PlanOptions(nodes=16, procs=4, batch_size=8, name_col="output_path"))
+    rolled = plan.rollup("node", "process").agg(
+        F.count(F.lit(1)).alias("total"), F.min("index").alias("first_index"), F.max("index").alias("last_index"))
+    return rolled.select(F.coalesce("node", F.lit(-1)).alias("node"), F.coalesce("process", F.lit(-1)).alias("process"),
+                         "total", "first_index", "last_index")
+
+
 @query("plan_strict_samples", sql("tasks outputs", f"""
     select index, cast(sub as integer) as sub, expected, row_number() over (order by index, sub) - 1 as _pos from (
       select t.index, s.sub, coalesce(t.normalized, printf('%06d', t.index)) as stem,
