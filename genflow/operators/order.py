@@ -48,8 +48,7 @@ def carry(rows: DataFrame, group: Sequence[str], totals: dict[str, Column], carr
     """
     keys = [*group, BLOCK]
     table = rows.groupBy(*keys).agg(*[c.alias(n) for n, c in totals.items()])
-    # Several blocks of one group are a bounded handful (the number of ranges),
-    # also for a group that owns most rows.
+    # A group has one row per range it reaches into, however many rows it owns.
     table = table.select(*keys, *[c.alias(n) for n, c in carried.items()])
     return _join_null_safe(rows, table, keys)
 
@@ -100,7 +99,8 @@ def source_positions(df: DataFrame, file: str = "_file", row: str = "_row", pos:
     no row leaves for a global sort. Adds ``size``, the number of rows.
     """
     block = F.floor(F.col(row) / F.lit(width)).cast("bigint")
-    rows = df.withColumn(BLOCK, block)
+    # Said here once, so that both uses of the counts share one shuffle.
+    rows = df.where(F.col(file).isNotNull() & F.col(row).isNotNull()).withColumn(BLOCK, block)
     counts = rows.groupBy(file, BLOCK).agg(F.count(F.lit(1)).alias("_n"))
     in_file = Window.partitionBy(file).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
     counts = counts.withColumn("_in_file", F.coalesce(F.sum("_n").over(in_file), F.lit(0)))
