@@ -12,16 +12,17 @@ from collections.abc import Callable, Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from itertools import islice
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from ..functions.attempts import REWRITE_POLICY, RetryPolicy
 from ..functions.prompts import build_enhance_request, parse_enhance_response
 from .joins import salted_left_join
 
 ERROR = "_error"
-# Results leave a task in frames of this many rows or bytes, whichever comes first.
-FRAME_ROWS, FRAME_BYTES = 1_000, 32 << 20
+# Results leave a task in batches of this many rows or bytes, whichever comes first.
+OUT_ROWS, OUT_BYTES = 1_000, 32 << 20
 ATTEMPT_TYPE = "array<struct<attempt int, ok boolean, error string, wait double>>"
 
 
@@ -85,19 +86,15 @@ def bounded(call: Callable, items: Sequence, threads: int) -> list:
         return list(pool.map(call, items))
 
 
-def _records(frame: pd.DataFrame) -> list[dict]:
-    return frame.to_dict("records")
-
-
-def _slices(batches: Iterator[pd.DataFrame], size: int, batch_cols: Sequence[str]) -> Iterator[list[dict]]:
+def _slices(batches: Iterator[pa.RecordBatch], size: int, batch_cols: Sequence[str]) -> Iterator[list[dict]]:
     """Lists of at most ``size`` rows; with ``batch_cols`` a list never mixes two planned batches."""
     held: list[dict] = []
 
     def label(row):
         return tuple(row[c] for c in batch_cols)
 
-    for frame in batches:
-        for row in _records(frame):
+    for batch in batches:
+        for row in batch.to_pylist():
             if held and (len(held) >= size or label(row) != label(held[0])):
                 yield held
                 held = []
@@ -120,14 +117,14 @@ def score_batches(df: DataFrame, factory: Callable[[], Callable], schema: str, b
     result_fields = T.StructType.fromDDL(schema).fieldNames()
     out_schema = T.StructType(
         [df.schema[k] for k in key] + list(T.StructType.fromDDL(schema)) + [T.StructField(ERROR, T.StringType())])
-    names = out_schema.fieldNames()
+    arrow_schema = to_arrow_schema(out_schema)
     if batch_cols:
         spread = df.repartition(procs, *batch_cols) if procs else df.repartition(*batch_cols)
         df = spread.sortWithinPartitions(*batch_cols, *key)
     elif procs:
         df = df.repartition(procs)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = None
         out, held_bytes = [], 0
         pieces = _slices(batches, max(1, batch_size), batch_cols)
@@ -145,28 +142,23 @@ def score_batches(df: DataFrame, factory: Callable[[], Callable], schema: str, b
                     values = [row[k] for k in key] + [(result or {}).get(f) for f in result_fields]
                     held_bytes += sum(len(v) for v in values if isinstance(v, (str, bytes)))
                     out.append([*values, error])
-            if len(out) >= FRAME_ROWS or held_bytes >= FRAME_BYTES:
-                yield _frame(out, names, out_schema)
+            if len(out) >= OUT_ROWS or held_bytes >= OUT_BYTES:
+                yield _batch(out, arrow_schema)
                 out, held_bytes = [], 0
         if out:
-            yield _frame(out, names, out_schema)
-
-    return df.mapInPandas(run, out_schema)
-
+            yield _batch(out, arrow_schema)
 
-_NULLABLE = {T.ByteType: "Int8", T.ShortType: "Int16", T.IntegerType: "Int32", T.LongType: "Int64", T.BooleanType: "boolean"}
+    return df.mapInArrow(run, out_schema)
 
 
-def _frame(rows: list[list], names: list[str], schema: T.StructType) -> pd.DataFrame:
-    columns = zip(*rows) if rows else [[] for _ in names]
-    return pd.DataFrame({
-        name: pd.Series(list(values), dtype=_NULLABLE.get(type(schema[name].dataType), "object"))
-        for name, values in zip(names, columns)})
+def _batch(rows: list[list], schema: pa.Schema) -> pa.RecordBatch:
+    columns = [pa.array(values, field.type) for values, field in zip(zip(*rows), schema)]
+    return pa.RecordBatch.from_arrays(columns, schema=schema)
 
 
 def score_edits(df: DataFrame, factory: Callable[[], Callable], batch_size: int = 1, key: Sequence[str] = ("index",),
                 images: str = "images", instruction: str = "instruction", batch_cols: Sequence[str] = (),
-                threads: int = 1) -> DataFrame:
+                threads: int = 1, procs: int | None = None) -> DataFrame:
     """Edit images: the scorer takes (images, instruction) pairs and returns a list of outputs each.
 
     Only the first output is kept; none at all is a failed row.
@@ -175,14 +167,14 @@ def score_edits(df: DataFrame, factory: Callable[[], Callable], batch_size: int
         model = factory()
 
         def score(rows):
-            replies = list(model([(list(r[images] if r[images] is not None else []), r[instruction]) for r in rows]))
+            replies = list(model([(r[images] or [], r[instruction]) for r in rows]))
             if len(replies) != len(rows):
                 raise ValueError(f"{len(replies)} results for {len(rows)} rows")
             return [{"image": bytes(outputs[0])} if outputs else None for outputs in replies]
 
         return score
 
-    return score_batches(df, edits, "image binary", batch_size, key, batch_cols, threads)
+    return score_batches(df, edits, "image binary", batch_size, key, batch_cols, threads, procs)
 
 
 def _rewriter(call_factory, style: str, policy: RetryPolicy, sleep):
@@ -219,7 +211,8 @@ def _usable_json(raw) -> bool:
 def enhance_prompts(df: DataFrame, call_factory: Callable[[], Callable[[str], str]], style: str, system: dict[str, str],
                     prompt: str = "instruction", images: str | None = None, model: str = "",
                     key: Sequence[str] = ("index",), policy: RetryPolicy = REWRITE_POLICY, dedupe: bool = False,
-                    sleep: Callable[[float], None] = time.sleep, threads: int = 1) -> DataFrame:
+                    sleep: Callable[[float], None] = time.sleep, threads: int = 1,
+                    procs: int | None = None) -> DataFrame:
     """Rewrite prompts: request column, the caller's call, reply column.
 
     Adds ``enhanced``, ``raw``, ``call_error`` and ``attempts``; a failed call
@@ -232,11 +225,11 @@ def enhance_prompts(df: DataFrame, call_factory: Callable[[], Callable[[str], st
     if dedupe:
         asked = asked.withColumn("_request_id", F.md5("request"))
         calls = asked.groupBy("_request_id").agg(F.first("request").alias("request"))
-        replies = score_batches(calls, make, reply_schema, 1, ["_request_id"], threads=threads).drop(ERROR)
+        replies = score_batches(calls, make, reply_schema, 1, ["_request_id"], threads=threads, procs=procs).drop(ERROR)
         answered = salted_left_join(asked, replies, "_request_id", key).drop("_request_id")
     else:
         carried = [c for c in asked.columns if c != "request"]
-        answered = score_batches(asked, make, reply_schema, 1, carried, threads=threads).drop(ERROR)
+        answered = score_batches(asked, make, reply_schema, 1, carried, threads=threads, procs=procs).drop(ERROR)
     usable = F.when(F.col("call_error").isNull(), F.col("raw"))
     return answered.withColumn("enhanced", parse_enhance_response(usable, prompt, style)).drop("request")
 

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from ..functions.naming import drop_blank, with_index
 from ..functions.text import strict_json, strip
 from ..operators.joins import broadcast_if_small
+from ..storage import stored
 
 PROMPT_FIELDS = ("prompt", "negative_prompt", "height", "width")
 FILES_TO_BROADCAST = 1_000_000
@@ -51,6 +52,8 @@ def with_file_positions(df: DataFrame) -> DataFrame:
     # One row per file, like the listing the driver already keeps.
     earlier = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
     starts = files.select("_file", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_start"))
+    # Stored, so that the footers are read for it once.
+    starts = stored(starts, "files")
     joined = df.join(broadcast_if_small(starts, FILES_TO_BROADCAST), "_file")
     return joined.select(*df.columns, (F.col("_start") + F.col("_row")).alias("_pos"))
 
