@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ..functions.attempts import RetryPolicy, effective_weight, hash_draw
 from ..functions.logs import error_family
 from .joins import broadcast_if_small, dimension_rows
-from .order import BLOCK, before, block_positions, carry, in_blocks, positions, running
+from .order import BLOCK, IN_BLOCK, before, block_positions, carry, in_blocks, positions, running
 
 WINDOW_SECONDS = 60
 MICROS = 1_000_000
@@ -59,9 +59,9 @@ def endpoint_health(log: DataFrame, endpoints: DataFrame | None = None, start: D
 
 
 def _health(rows: DataFrame, endpoints: DataFrame | None, start: DataFrame | None) -> DataFrame:
-    columns = [c for c in rows.columns if c != BLOCK]
+    columns = [c for c in rows.columns if c not in (BLOCK, IN_BLOCK)]
     step = F.when(F.col("ok"), F.lit(-1)).otherwise(F.lit(1)).cast("bigint")
-    frame = running(rows, ["endpoint"], ORDER)
+    frame = running(["endpoint"])
     rows = rows.withColumn("_s", F.sum(step).over(frame))
     rows = rows.withColumn("_m", F.min("_s").over(frame))
     earlier = before(["endpoint"])
@@ -99,7 +99,7 @@ def paced_schedule(requests: DataFrame, endpoints: DataFrame, start: DataFrame |
     """
     columns = requests.columns
     rows = in_blocks(requests, ["endpoint", *ORDER], "pacing")
-    rows = block_positions_keep(rows, ["endpoint"], "call")
+    rows = block_positions(rows, ["endpoint"], "call")
     dim = broadcast_if_small(endpoints.select("endpoint", F.col("rate_limit").cast("bigint").alias("_rate")))
     rows = rows.join(dim, "endpoint", "left").withColumn("_rate", F.coalesce(F.col("_rate"), F.lit(0).cast("bigint")))
     if start is not None:
@@ -114,7 +114,7 @@ def paced_schedule(requests: DataFrame, endpoints: DataFrame, start: DataFrame |
     rows = rows.withColumn("_t", F.unix_micros(F.col("ts").cast("timestamp")))
     rows = rows.withColumn("_level", F.when(limited, F.col("_t") - F.lit(step).cast("bigint") * F.col("_turn")))
     group = ["endpoint", "_slot"]
-    rows = rows.withColumn("_high", F.max("_level").over(running(rows, group, ORDER)))
+    rows = rows.withColumn("_high", F.max("_level").over(running(group)))
     rows = carry(rows, group, {"_top": F.max("_level")}, {"_high0": F.max("_top").over(before(group))})
     high = F.greatest(F.col("_high"), F.col("_high0"))
     if start is not None:
@@ -126,12 +126,6 @@ def paced_schedule(requests: DataFrame, endpoints: DataFrame, start: DataFrame |
                        send.alias("send_us"), (send - F.col("_t")).alias("wait_us"))
 
 
-def block_positions_keep(rows: DataFrame, group: list[str], pos: str) -> DataFrame:
-    """Positions that keep ``_block`` for the next step on the same blocks."""
-    held = rows.withColumn("_held", F.col(BLOCK))
-    return block_positions(held, ORDER, group, pos).withColumnRenamed("_held", BLOCK)
-
-
 def pacing_state(schedule: DataFrame, window: int = WINDOW_SECONDS) -> DataFrame:
     """What the next run of :func:`paced_schedule` needs: calls made and the level per slot."""
     level = F.col("send_us") - F.lit(window * MICROS).cast("bigint") * F.col("turn")
@@ -160,7 +154,7 @@ def rate_audit(log: DataFrame, endpoints: DataFrame, window: int = WINDOW_SECOND
     net = steps.groupBy("endpoint", F.col("step.at").alias("at")).agg(
         F.sum("step.d").alias("d"), F.max("step.sent").alias("sent"))
     rows = in_blocks(net, ["endpoint", "at"], "audit")
-    rows = rows.withColumn("_c", F.sum("d").over(running(rows, ["endpoint"], ["at"])))
+    rows = rows.withColumn("_c", F.sum("d").over(running(["endpoint"])))
     rows = carry(rows, ["endpoint"], {"_sum": F.sum("d")},
                  {"_c0": F.coalesce(F.sum("_sum").over(before(["endpoint"])), F.lit(0))})
     counted = rows.where("sent").select("endpoint", F.col("at").alias("_t"), (F.col("_c0") + F.col("_c")).alias("in_window"))
@@ -182,13 +176,11 @@ def attempt_numbers(log: DataFrame) -> DataFrame:
     columns = log.columns
     rows = in_blocks(log, ["task", *ORDER], "attempts")
     rows = rows.withColumn("_t", F.unix_micros(F.col("ts").cast("timestamp")))
-    order = Window.partitionBy("task", BLOCK).orderBy(*ORDER)
-    rows = rows.withColumn("_i", F.row_number().over(order)).withColumn("_prev", F.lag("_t").over(order))
-    earlier = before(["task"])
-    rows = carry(rows, ["task"], {"_n": F.count(F.lit(1)), "_last": F.max("_t")}, {
-        "_n0": F.coalesce(F.sum("_n").over(earlier), F.lit(0)), "_last0": F.max("_last").over(earlier)})
+    rows = block_positions(rows, ["task"], "_i")
+    rows = rows.withColumn("_prev", F.lag("_t").over(Window.partitionBy("task", BLOCK).orderBy(IN_BLOCK)))
+    rows = carry(rows, ["task"], {"_last": F.max("_t")}, {"_last0": F.max("_last").over(before(["task"]))})
     return rows.select(
-        *columns, (F.col("_n0") + F.col("_i")).cast("bigint").alias("attempt"),
+        *columns, (F.col("_i") + 1).alias("attempt"),
         (F.col("_t") - F.coalesce(F.col("_prev"), F.col("_last0"))).alias("wait_us"))
 
 

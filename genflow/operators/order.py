@@ -2,8 +2,10 @@
 
 A window with no partition columns, or partitioned by an endpoint that owns a
 third of the log, would put all those rows into one task. Here every order is
-first cut into blocks of similar size; a window runs inside each block and a
-small table of per-block totals carries the state from block to block.
+first cut into blocks of similar size, each a sorted file. A row's place in its
+file is its place in the block, so positions need no window; running values use
+a window inside each block. A small table of per-block totals carries the state
+from block to block.
 """
 
 from __future__ import annotations
@@ -15,24 +17,26 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ..storage import stored
 
 BLOCK = "_block"
+IN_BLOCK = "_in_block"
 FILE_BLOCK_ROWS = 65_536
 
 
 def in_blocks(df: DataFrame, order: Sequence[str], label: str = "ordered") -> DataFrame:
     """``df`` cut into ``_block`` ranges that follow ``order``, whatever the skew.
 
-    Range partitioning splits hot keys too, as long as ``order`` is total. The
-    result is stored once: block totals and rows are read from the same files,
-    so both see the same cuts even if an executor is lost in between.
+    Range partitioning splits hot keys too, as long as ``order`` is total.
+    ``_in_block`` is the row's 0-based place in its block. The result is stored
+    once: block totals and rows are read from the same files, so both see the
+    same cuts even if an executor is lost in between.
     """
-    ranged = df.repartitionByRange(*order).withColumn(BLOCK, F.spark_partition_id())
-    return stored(ranged, label)
+    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    rows = stored(ranged.withColumn(BLOCK, F.spark_partition_id()), label)
+    return rows.select("*", F.col("_metadata.row_index").alias(IN_BLOCK))
 
 
-def running(df: DataFrame, group: Sequence[str], order: Sequence[str], blocks: bool = True) -> Window:
+def running(group: Sequence[str]) -> Window:
     """ROWS frame from the start of a (group, block) to the current row."""
-    keys = [*group, BLOCK] if blocks else list(group)
-    return Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    return Window.partitionBy(*group, BLOCK).orderBy(IN_BLOCK).rowsBetween(Window.unboundedPreceding, 0)
 
 
 def before(group: Sequence[str]) -> Window:
@@ -69,12 +73,11 @@ def positions(df: DataFrame, order: Sequence[str], group: Sequence[str] = (), po
     be total for the result to be repeatable.
     """
     rows = in_blocks(df, [*group, *order], "positions")
-    return block_positions(rows, order, group, pos, size)
+    return block_positions(rows, group, pos, size).drop(BLOCK, IN_BLOCK)
 
 
-def block_positions(rows: DataFrame, order: Sequence[str], group: Sequence[str] = (), pos: str = "_pos",
-                    size: str | None = None) -> DataFrame:
-    """:func:`positions` for rows that already carry ``_block``."""
+def block_positions(rows: DataFrame, group: Sequence[str] = (), pos: str = "_pos", size: str | None = None) -> DataFrame:
+    """:func:`positions` for rows from :func:`in_blocks`, which keep their block columns."""
     if group:
         whole = Window.partitionBy(*group)
         earlier = before(group)
@@ -82,12 +85,12 @@ def block_positions(rows: DataFrame, order: Sequence[str], group: Sequence[str]
         # One row per block: this table never grows with the data.
         whole = Window.partitionBy()
         earlier = Window.orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
-    carried = {"_offset": F.coalesce(F.sum("_n").over(earlier), F.lit(0))}
+    # A group starts somewhere in its first block and at the top of its later ones.
+    carried = {"_offset": F.coalesce(F.sum("_n").over(earlier), F.lit(0)) - F.col("_low")}
     if size:
         carried[size] = F.sum("_n").over(whole)
-    rows = carry(rows, group, {"_n": F.count(F.lit(1))}, carried)
-    in_block = F.row_number().over(Window.partitionBy(*group, BLOCK).orderBy(*order)) - 1
-    return rows.withColumn(pos, (F.col("_offset") + in_block).cast("bigint")).drop("_offset", BLOCK)
+    rows = carry(rows, group, {"_n": F.count(F.lit(1)), "_low": F.min(IN_BLOCK)}, carried)
+    return rows.withColumn(pos, (F.col("_offset") + F.col(IN_BLOCK)).cast("bigint")).drop("_offset")
 
 
 def source_positions(df: DataFrame, file: str = "_file", row: str = "_row", pos: str = "_pos",
@@ -113,11 +116,11 @@ def source_positions(df: DataFrame, file: str = "_file", row: str = "_row", pos:
     offsets = counts.join(files, file).select(
         file, BLOCK, (F.col("_before") + F.col("_in_file")).alias("_offset"), size)
     in_block = F.row_number().over(Window.partitionBy(file, BLOCK).orderBy(row)) - 1
-    rows = rows.withColumn("_in_block", in_block)
+    rows = rows.withColumn(IN_BLOCK, in_block)
     return (
         rows.join(offsets, [file, BLOCK])
-        .withColumn(pos, (F.col("_offset") + F.col("_in_block")).cast("bigint"))
-        .drop("_offset", "_in_block", BLOCK)
+        .withColumn(pos, (F.col("_offset") + F.col(IN_BLOCK)).cast("bigint"))
+        .drop("_offset", IN_BLOCK, BLOCK)
     )
 
 

@@ -32,7 +32,8 @@ def stored(df: DataFrame, label: str = "table") -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder and read it back.
 
     Cuts the lineage: later stages, retries and lost executors read the files.
+    Each partition becomes one file with its rows in order.
     """
     path = new_path(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.option("maxRecordsPerFile", 0).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -52,6 +52,11 @@ def named(t: Tables):
                             expected_output("index", "output_path").alias("expected"))
 
 
+def left_over(t: Tables):
+    """Pending tasks, stored because positions read them twice."""
+    return stored(pending(named(t).select("index", "model_type", "expected", "_file", "_row"), t.outputs()), "left")
+
+
 # ---- sources -------------------------------------------------------------
 
 @query("a1_read_tasks_parquet",
@@ -259,8 +264,7 @@ def _(t):
 
 @query("g1_source_positions", sql("tasks outputs", f"select index, pos as _pos, total as _total from ({PLACED})"))
 def _(t):
-    left = pending(named(t).select("index", "expected", "_file", "_row"), t.outputs())
-    return source_positions(left).select("index", "_pos", "_total")
+    return source_positions(left_over(t)).select("index", "_pos", "_total")
 
 
 @query("g1_positions_by_key", """select l_orderkey, l_linenumber, l_partkey,
@@ -272,8 +276,7 @@ def _(t):
 
 def _sharded(rule):
     def run(t):
-        left = pending(named(t).select("index", "expected", "_file", "_row"), t.outputs())
-        return rule(source_positions(left), 3, 4).select("index", "node", "process", "shard_pos", "shard_size")
+        return rule(source_positions(left_over(t)), 3, 4).select("index", "node", "process", "shard_pos", "shard_size")
 
     return run
 
@@ -301,8 +304,7 @@ _BATCHED = f"""select *, loc // width as batch, (n + width - 1) // width as batc
 @query("g4_pack_batches", sql("tasks outputs", f"""select index, node, process, batch, batches,
     concat('batch ', batch + 1, '/', batches) as batch_label from ({_BATCHED})"""))
 def _(t):
-    left = pending(named(t), t.outputs())
-    sharded = with_capabilities(shard_balanced(source_positions(left), 3, 4))
+    sharded = with_capabilities(shard_balanced(source_positions(left_over(t)), 3, 4))
     return pack_batches(sharded, 8, cannot_batch()).select(
         "index", "node", "process", "batch", "batches", "batch_label")
 
