@@ -10,8 +10,6 @@ from .text import col_of, let, strip
 KEPT_SUFFIXES = (".png", ".jpg", ".jpeg")
 DEFAULT_SUFFIX = ".png"
 
-_KEPT = "(?i)(" + "|".join(s.replace(".", r"\.") for s in KEPT_SUFFIXES) + ")$"
-
 
 def output_filename(index, sub=None) -> Column:
     """``000042.png`` or ``000042_03.png``; wider numbers are never cut."""
@@ -32,16 +30,17 @@ def path_segments(path: Column) -> Column:
 
 def posix_path(path) -> Column:
     """Lexically normalised POSIX path; '.' when nothing is left."""
-    return let(col_of(path), lambda p: _joined(p, path_segments(p)))
+    # Most paths have nothing to drop and are returned as they are.
+    return let(col_of(path), lambda p: F.when(p.rlike(r"(^|/)\.?(/|$)"), _normalised(p)).otherwise(p))
 
 
-def _joined(path: Column, parts: Column) -> Column:
+def _normalised(path: Column) -> Column:
     root = (
         F.when(path.startswith("//") & ~path.startswith("///"), F.lit("//"))
         .when(path.startswith("/"), F.lit("/"))
         .otherwise(F.lit(""))
     )
-    joined = F.concat(root, F.array_join(parts, "/"))
+    joined = F.concat(root, F.array_join(path_segments(path), "/"))
     return F.coalesce(F.nullif(joined, F.lit("")), F.lit("."))
 
 
@@ -57,26 +56,15 @@ def normalize_output_path(name, sub=None) -> Column:
     else:
         middle = sub_suffix(F.lit(sub) if isinstance(sub, int) else col_of(sub))
 
-    def with_segments(text: Column) -> Column:
-        return let(F.struct(text.alias("text"), path_segments(text).alias("parts")), with_path)
-
-    def with_path(p: Column) -> Column:
-        path = _joined(p["text"], p["parts"])
-        last = F.coalesce(F.try_element_at(p["parts"], F.lit(-1)), F.lit(""))
-        dotted = F.regexp_extract(last, _KEPT, 1)
-        return let(F.struct(path.alias("path"), last.alias("last"), dotted.alias("dotted")), finished)
-
-    def finished(p: Column) -> Column:
+    def finished(path: Column) -> Column:
+        lowered = F.lower(path)
+        suffix = F.coalesce(*[F.when(lowered.endswith(s), F.lit(s)) for s in KEPT_SUFFIXES], F.lit(""))
+        base = F.substring(path, F.lit(1), F.length(path) - F.length(suffix))
         # A name that is only dots in front of the suffix has no suffix.
-        stem = F.substring(p["last"], F.lit(1), F.length(p["last"]) - F.length(p["dotted"]))
-        kept = (p["dotted"] != "") & stem.rlike("[^.]")
-        base = F.substring(p["path"], F.lit(1), F.length(p["path"]) - F.length(p["dotted"]))
-        return F.when(kept, F.concat(base, middle, F.lower(p["dotted"]))).otherwise(
-            F.concat(p["path"], middle, F.lit(DEFAULT_SUFFIX)))
-
-    stripped = strip(name)
-    # Blank names skip the work altogether.
-    return F.when(stripped != "", let(stripped, with_segments))
+        kept = (suffix != "") & (F.ltrim(F.substring_index(base, "/", -1), F.lit(".")) != "")
+        return F.when(kept, F.concat(base, middle, suffix)).otherwise(F.concat(path, middle, F.lit(DEFAULT_SUFFIX)))
+
+    return let(posix_path(F.nullif(strip(name), F.lit(""))), lambda path: F.when(path.isNotNull(), finished(path)))
 
 
 def expected_output(index="index", name=None, n: int = 1, sub=None) -> Column:
