@@ -35,29 +35,40 @@ class PlanOptions:
     strict: bool = False
 
 
+def located(tasks: DataFrame) -> DataFrame:
+    """File and row of each task; a table made in place counts as one file in index order."""
+    if "_file" not in tasks.columns:
+        tasks = tasks.withColumn("_file", F.lit(""))
+    if "_row" not in tasks.columns:
+        tasks = tasks.withColumn("_row", F.col("_pos" if "_pos" in tasks.columns else "index"))
+    return tasks if "_pos" in tasks.columns else tasks.withColumn("_pos", F.col("_row"))
+
+
 def plan_tasks(tasks: DataFrame, outputs: DataFrame | None, options: PlanOptions = PlanOptions()) -> DataFrame:
     """What is left to do, by node, process and batch.
 
-    ``tasks`` comes from a Parquet reader (``_file``, ``_row``, ``_pos``).
+    ``tasks`` comes from one of the readers (``_file``, ``_row``, ``_pos``).
     Row filters come first, then finished tasks go, then positions are counted
     anew and cut up by arithmetic. All shards share one plan: write it once.
     Only key columns are needed here; join the wide ones at scoring time.
-    ``strict`` checks every image of a task instead of its first.
+    ``strict`` gives every image of a task its own row (``sub``) and checks each
+    of them, instead of one row per task that is done when its first image is.
 
     What is left is stored before it is counted and numbered, so outputs that
     appear meanwhile cannot shift positions and names are made once.
     """
+    tasks = located(tasks)
     if options.rows:
         tasks = filter_rows(tasks, options.rows)
     if options.strict and options.n > 1:
         tasks = expand_samples(tasks, options.n)
         named = tasks.withColumn("expected", expected_output("index", options.name_col, options.n, F.col("sub")))
-        # One row per image, so the row order needs the image number as well.
-        named = named.withColumn("_row", F.col("_row") * options.n + F.col("sub"))
+        # One row per image, so the order needs the image number as well.
+        named = named.withColumn("_at_row", F.col("_row") * options.n + F.col("sub"))
     else:
-        named = tasks.withColumn("expected", expected_output("index", options.name_col, options.n))
+        named = tasks.withColumn("_at_row", F.col("_row")).withColumn("expected", expected_output("index", options.name_col, options.n))
     left = named if outputs is None else pending(named, outputs, resume=options.resume)
-    placed = source_positions(stored(left.drop("_pos"), "left"))
+    placed = source_positions(stored(left.drop("_pos"), "left"), row="_at_row").drop("_at_row")
     sharded = SHARD_RULES[options.rule](placed, options.nodes, options.procs)
     single = None
     if options.model_col:
@@ -68,15 +79,15 @@ def plan_tasks(tasks: DataFrame, outputs: DataFrame | None, options: PlanOptions
 
 def run_plan(plan: DataFrame, tasks: DataFrame, factory: Callable[[], Callable], output_dir: str, results_path: str,
              batch_size: int = 1, columns: Sequence[str] = (), threads: int = 1) -> DataFrame:
-    """Score a stored plan, save the images, and record one result row per task.
+    """Score a stored plan, save the images, and return one result row per plan row.
 
-    The scorer's dicts carry ``image`` bytes. Scores are written before
+    Plan several images per task with ``strict``, one row each. The scorer's dicts carry ``image`` bytes. Scores are written before
     anything reads them a second time, so a later failure never repeats calls.
     """
     spark = plan.sparkSession
-    keys = ["index", "expected"]
+    keys = ["index", "expected", *(["sub"] if "sub" in plan.columns else [])]
     batch = ["node", "process", "batch"]
-    wide = tasks.select("_file", "_row", *columns)
+    wide = located(tasks).select("_file", "_row", *columns)
     work = plan.select(*keys, "_file", "_row", *batch).join(wide, ["_file", "_row"])
     scored_path = results_path.rstrip("/") + "/scores"
     scores = score_batches(work, factory, "image binary", batch_size, [*keys, "_file", "_row"], batch, threads)
@@ -85,8 +96,11 @@ def run_plan(plan: DataFrame, tasks: DataFrame, factory: Callable[[], Callable],
     manifest_path = results_path.rstrip("/") + "/manifest"
     write_named_blobs(scores.where(F.col(ERROR).isNull()), output_dir, "expected", "image").write.mode("append").parquet(
         manifest_path)
-    saved = spark.read.parquet(manifest_path).groupBy("path").agg(F.max("error").alias("_save_error"))
+    # The manifest also holds earlier runs: a path is saved once any of them saved it.
+    written = F.count_if(F.col("error").isNull()) > 0
+    saved = spark.read.parquet(manifest_path).groupBy("path").agg(
+        F.when(~written, F.max("error")).alias("_save_error"))
     outcome = scores.drop("image").join(saved, F.col("expected") == F.col("path"), "left")
     failed = F.coalesce(F.col(ERROR), F.col("_save_error"))
     return outcome.select(
-        "index", "_file", "_row", F.when(failed.isNull(), F.col("expected")).alias("output_image"), failed.alias(ERROR))
+        *[k for k in keys if k != "expected"], "_file", "_row", F.when(failed.isNull(), F.col("expected")).alias("output_image"), failed.alias(ERROR))

@@ -66,7 +66,7 @@ def read_parquet_dir_reindexed(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _numbered(df: DataFrame) -> DataFrame:
-    """``_pos``: 0-based record number inside each text file, blank records included.
+    """``_row`` and ``_pos``: 0-based record number inside a text file, blank records included.
 
     Record ids grow along a file split, so the order inside a split needs no
     sort of the whole file; splits are stitched with their row counts.
@@ -80,8 +80,8 @@ def _numbered(df: DataFrame) -> DataFrame:
     earlier = Window.partitionBy("_file").orderBy("_split").rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.select("_file", "_split", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_start"))
     rows = rows.join(starts, ["_file", "_split"])
-    return rows.withColumn("_pos", (F.col("_start") + F.col("_in_split")).cast("bigint")).drop(
-        "_split", "_id", "_in_split", "_start")
+    rows = rows.withColumn("_row", (F.col("_start") + F.col("_in_split")).cast("bigint"))
+    return rows.withColumn("_pos", F.col("_row")).drop("_split", "_id", "_in_split", "_start")
 
 
 def read_tasks_csv(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
@@ -124,7 +124,8 @@ def read_prompts_jsonl(spark: SparkSession, path: str, fields: tuple[str, ...] =
     lines = drop_blank(lines, "value").withColumn("_json", strict_json(strip("value")))
     parsed = F.when(F.col("_json").isNull(), F.raise_error(
         F.concat(F.lit("malformed JSON in prompt line "), F.col("_pos").cast("string"))).cast("variant")).otherwise(F.col("_json"))
-    return lines.withColumn("_json", parsed).select(*_prompt_columns(F.col("_json"), F.col("_pos"), fields), "_pos")
+    return lines.withColumn("_json", parsed).select(
+        *_prompt_columns(F.col("_json"), F.col("_pos"), fields), "_file", "_row", "_pos")
 
 
 def read_prompts_json(spark: SparkSession, path: str, fields: tuple[str, ...] = PROMPT_FIELDS) -> DataFrame:
@@ -133,19 +134,21 @@ def read_prompts_json(spark: SparkSession, path: str, fields: tuple[str, ...] =
     The format holds one array per file, so a file is read in one task; use
     JSON lines for large inputs.
     """
-    whole = spark.read.text(path, wholetext=True).select(strict_json(strip("value")).alias("doc"))
+    whole = spark.read.text(path, wholetext=True).select(
+        strict_json(strip("value")).alias("doc"), F.col("_metadata.file_path").alias("_file"))
     is_array = F.schema_of_variant("doc").startswith("ARRAY")
     items = F.when(is_array, F.col("doc").cast("array<variant>")).otherwise(
         F.raise_error(F.lit("a JSON prompt file must contain an array")).cast("array<variant>"))
-    rows = whole.select(F.posexplode(items).alias("_pos", "_json"))
+    rows = whole.select("_file", F.posexplode(items).alias("_pos", "_json"))
     rows = rows.withColumn("_pos", F.col("_pos").cast("bigint"))
-    return rows.select(*_prompt_columns(F.col("_json"), F.col("_pos"), fields), "_pos")
+    return rows.select(
+        *_prompt_columns(F.col("_json"), F.col("_pos"), fields), "_file", F.col("_pos").alias("_row"), "_pos")
 
 
 def read_prompts_txt(spark: SparkSession, path: str) -> DataFrame:
     """One prompt per non-blank line; ``index`` is the line number."""
     lines = _numbered(spark.read.text(path).select("value", "_metadata"))
-    return drop_blank(lines, "value").select(F.col("_pos").alias("index"), strip("value").alias("prompt"), "_pos")
+    return drop_blank(lines, "value").select(F.col("_pos").alias("index"), strip("value").alias("prompt"), "_file", "_row", "_pos")
 
 
 def read_tasks(spark: SparkSession, path: str, fmt: str | None = None, **options) -> DataFrame:

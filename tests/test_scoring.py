@@ -19,7 +19,7 @@ from genflow.operators.scoring import (
 from genflow.plans.job import PlanOptions, plan_tasks, run_plan
 from genflow.sources.outputs import list_outputs, read_manifest
 from genflow.sources.requests import parse_request
-from genflow.sources.tasks import read_tasks_parquet
+from genflow.sources.tasks import read_prompts_jsonl, read_tasks_parquet, single_prompt
 
 
 def test_batch_then_single():
@@ -136,6 +136,35 @@ def test_job_and_resume(spark, tmp_path):
     assert run_plan(nothing, tasks, None, str(out), str(tmp_path / "r2"), columns=["instruction"]).count() == 0
 
 
+def test_prompt_job_with_several_images(spark, tmp_path):
+    def painter():
+        return lambda rows: [{"image": f"{r['prompt']}".encode()} for r in rows]
+
+    prompts, out = tmp_path / "p.jsonl", tmp_path / "out"
+    prompts.write_text('{"prompt": "cat", "output_path": "pets/cat"}\n\n"dog"\n')
+    (out / "pets").mkdir(parents=True)
+    (out / "pets" / "cat_01.png").write_bytes(b"there")
+    tasks = read_prompts_jsonl(spark, str(prompts), ("prompt", "output_path"))
+    options = PlanOptions(n=3, strict=True, name_col="output_path", batch_size=2)
+    plan = plan_tasks(tasks.select("index", "output_path", "_file", "_row", "_pos"), list_outputs(spark, str(out)), options)
+    results = run_plan(plan, tasks, painter, str(out), str(tmp_path / "results"), 2, ["prompt"])
+    made = sorted((r["index"], r["sub"], r["output_image"]) for r in results.collect())
+    assert made == [(0, 0, "pets/cat_00.png"), (0, 2, "pets/cat_02.png")] + [(2, k, f"000002_{k:02d}.png") for k in range(3)]
+    assert (out / "pets/cat_02.png").read_bytes() == b"cat" and (out / "pets/cat_01.png").read_bytes() == b"there"
+    assert plan_tasks(single_prompt(spark, "x"), None).select("index", "expected", "_pos").collect() == [(0, "000000.png", 0)]
+
+
+def test_nulls_and_integers_reach_the_scorer(spark):
+    def factory():
+        return lambda rows: [{"seen": repr((r["sub"], r["note"]))} for r in rows]
+
+    df = spark.createDataFrame([(1, None, None), (2, 5, "n")], "index long, sub int, note string")
+    rows = score_batches(df, factory, "seen string", 2, ["index", "sub"]).orderBy("index").collect()
+    assert [(r["sub"], r["seen"]) for r in rows] == [(None, "(None, None)"), (5, "(5, 'n')")]
+    spread = score_batches(spark.range(40), factory=lambda: lambda rows: [{"v": 1} for _ in rows], schema="v int", key=["id"], procs=5)
+    assert spread.count() == 40
+
+
 def test_row_lookups(spark):
     rows = spark.createDataFrame([(1, "a", 0), (2, "b", 1), (1, "c", 2)], "index long, v string, _pos long")
     wanted = spark.createDataFrame([(1,), (1,), (9,)], "index long")
