@@ -8,9 +8,6 @@ from genflow.llm import stages
 from genflow.llm.common import read, scratch
 
 STAGES = [
-    ("toxicity", stages.drop_toxic),
-    ("minhash", stages.drop_near_copies),
-    ("decontamination", stages.drop_contaminated),
     ("secrets", stages.redact_secrets),
     ("packing", stages.pack_sequences),
 ]

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import packing, secrets
+from . import chat, packing, secrets, sharding
 from .common import read, scratch
 
 
@@ -14,9 +14,19 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.findings_by_path(docs, ledger))
 
 
+def op6_preference_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return chat.preferences(turns, chat.swapped_replies(turns))
+
+
+def op7_label_propagation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    shards = sharding.shard_documents(read(spark, sf_dir, "documents"))
+    return shards.withColumns({"law": F.lit("rows"), "grown_shard": F.lit(None).cast("int")})
+
+
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_secret_scan, op8_best_fit_packing)}
-ORACLES: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op1_secret_scan, op6_preference_format, op7_label_propagation, op8_best_fit_packing)}
+ORACLES: dict[str, str] = {"op6_preference_format": chat.ORACLE}

@@ -1 +1,24 @@
+"""The pipeline's stages: an operator, and what its decision does to the documents."""
 
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from . import packing, secrets
+from .common import scratch
+
+
+def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with their secrets replaced; ``n_chars`` follows the text where it changed."""
+    found = scratch(secrets.scan_unseen(docs), "ledger")
+    hits = found.where(F.size("spans") > 0).select("blob", "spans")
+    held = secrets.addressed(docs).join(hits, "blob", "left")
+    changed = F.col("spans").isNotNull()
+    text = F.when(changed, secrets.redact(F.col("text"), F.col("spans"))).otherwise(F.col("text"))
+    kept = held.withColumns({"text": text}).withColumns(
+        {"n_chars": F.when(changed, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))})
+    return kept.select(*docs.columns)
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return packing.pack(docs)
