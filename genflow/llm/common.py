@@ -111,8 +111,9 @@ def _inverse(base: int) -> int:
 
 _WORD = np.zeros(256, bool)
 _WORD[[*range(48, 58), *range(97, 123), *range(128, 256)]] = True
-_SPACE = np.ones(256, bool)
-_SPACE[[9, 10, 11, 12, 13, 32]] = False
+#: Bytes other than space, tab and the line ends 10 to 13.
+NOT_SPACE = np.ones(256, bool)
+NOT_SPACE[[9, 10, 11, 12, 13, 32]] = False
 
 
 def _powers(base: np.uint64, n: int) -> np.ndarray:
@@ -132,16 +133,17 @@ def _tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _CACHE["pow"], _CACHE["inv"]
 
 
-def words(raw: np.ndarray, starts: np.ndarray, kept: np.ndarray = _WORD) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def words(raw: np.ndarray, starts: np.ndarray, is_word: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start, end and 64-bit hash of each word in the bytes, in order.
 
-    A word is a longest run of ``kept`` bytes within one text. Vectorised: a
-    word's hash is a difference of prefix sums of byte times power of a base.
+    A word is a longest run where ``is_word`` holds within one text; by default
+    of ASCII letters and digits and of all non-ASCII bytes. Vectorised: a word's
+    hash is a difference of prefix sums of byte times power of a base.
     """
     if not len(raw):
         none = np.zeros(0, np.int64)
         return none, none, np.zeros(0, np.uint64)
-    is_word = kept[raw]
+    is_word = _WORD[raw] if is_word is None else is_word
     edge = np.empty(len(raw), bool)
     edge[0] = is_word[0]
     np.greater(is_word[1:], is_word[:-1], out=edge[1:])
@@ -168,9 +170,9 @@ def words(raw: np.ndarray, starts: np.ndarray, kept: np.ndarray = _WORD) -> tupl
     return begin, end, mix(out)
 
 
-def word_runs(raw: np.ndarray, starts: np.ndarray, kept: np.ndarray = _WORD):
+def word_runs(raw: np.ndarray, starts: np.ndarray, is_word: np.ndarray | None = None):
     """:func:`words`, and where each text's words start among them."""
-    begin, end, hashes = words(raw, starts, kept)
+    begin, end, hashes = words(raw, starts, is_word)
     return begin, end, hashes, np.searchsorted(begin, starts)
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import chat, minhash, packing, secrets, sharding
+from . import chat, decontam, minhash, packing, secrets, sharding
 from .common import read, scratch
 
 
@@ -18,6 +18,10 @@ def op3_prob_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(read(spark, sf_dir, "documents"))
 
 
+def op5_seed_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contaminated(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def op6_preference_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     return chat.preferences(turns, chat.swapped_replies(turns))
@@ -32,5 +36,5 @@ def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_secret_scan, op3_prob_minhash, op6_preference_format, op7_label_propagation, op8_best_fit_packing)}
+QUERIES = {f.__name__: f for f in (op1_secret_scan, op3_prob_minhash, op5_seed_alignment, op6_preference_format, op7_label_propagation, op8_best_fit_packing)}
 ORACLES: dict[str, str] = {"op6_preference_format": chat.ORACLE}
