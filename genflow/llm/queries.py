@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import chat, decontam, minhash, packing, secrets, sharding
+from . import chat, decontam, minhash, packing, secrets, sharding, toxicity
 from .common import read, scratch
 
 
@@ -14,6 +14,19 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.findings_by_path(docs, ledger))
 
 
+def training_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts with the labels that may be learned from, one label per document."""
+    labels = read(spark, sf_dir, "labels").where(~toxicity.held_out()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return docs.join(labels, "doc_id")
+
+
+def op2_string_kernel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    machine = toxicity.train(training_labels(spark, sf_dir))
+    found = toxicity.score(read(spark, sf_dir, "documents"), machine)
+    return found.select("doc_id", toxicity.held_out().alias("held_out"), "score", "predicted")
+
+
 def op3_prob_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(read(spark, sf_dir, "documents"))
 
@@ -36,5 +49,5 @@ def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_secret_scan, op3_prob_minhash, op5_seed_alignment, op6_preference_format, op7_label_propagation, op8_best_fit_packing)}
+QUERIES = {f.__name__: f for f in (op1_secret_scan, op2_string_kernel, op3_prob_minhash, op5_seed_alignment, op6_preference_format, op7_label_propagation, op8_best_fit_packing)}
 ORACLES: dict[str, str] = {"op6_preference_format": chat.ORACLE}
