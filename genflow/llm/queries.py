@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import chat, decontam, minhash, packing, secrets, sharding, toxicity
+from . import chat, decontam, minhash, ngram_lm, packing, pii, secrets, sharding, toxicity
 from .common import read, scratch
 
 
@@ -49,5 +49,17 @@ def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_secret_scan, op2_string_kernel, op3_prob_minhash, op5_seed_alignment, op6_preference_format, op7_label_propagation, op8_best_fit_packing)}
+def op9_candidate_boosting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(pii.find(read(spark, sf_dir, "documents")))
+
+
+def op10_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    model = ngram_lm.train(docs.where(~ngram_lm.held_out()))
+    found = ngram_lm.score(docs, model)
+    return found.select("doc_id", ngram_lm.held_out().alias("held_out"), "n_tokens", "n_known",
+                        F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score")
+
+
+QUERIES = {f.__name__: f for f in (op1_secret_scan, op2_string_kernel, op3_prob_minhash, op5_seed_alignment, op6_preference_format, op7_label_propagation, op8_best_fit_packing, op9_candidate_boosting, op10_kneser_ney)}
 ORACLES: dict[str, str] = {"op6_preference_format": chat.ORACLE}
