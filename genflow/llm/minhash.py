@@ -18,6 +18,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from .common import components, drop_scratch, grams, mix, scratch, slices, stream, utf8, whole, word_runs
+from .sharding import _numbered
 
 WORDS, THRESHOLD = 5, 0.8
 #: 24 bands of 6: a pair at 0.8 shares a band with probability 0.9993, a pair at 0.4 with 0.1.
@@ -79,7 +80,7 @@ def prob_minhash(gram: np.ndarray, weight: np.ndarray, owner: np.ndarray, docs:
     return tags
 
 
-SIGNED = "doc_id {id}, cls binary, bands array<bigint>, sig binary"
+SIGNED = "doc_id {id}, cls binary, bands array<bigint>, sig binary, text_hash bigint"
 
 
 def _sign(n: int, bands: int, rows: int):
@@ -107,7 +108,8 @@ def _sign(n: int, bands: int, rows: int):
                 keys = pc.if_else(pa.array(empty), pa.array([[]] * size, pa.list_(pa.int64())), keys) if empty.any() else keys
                 sig = pa.array([t.astype(np.uint16).tobytes() for t in tags], pa.binary())
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(classes, pa.binary()), keys, sig], names=["doc_id", "cls", "bands", "sig"])
+                    [part.column(0), pa.array(classes, pa.binary()), keys, sig, part.column(2)],
+                    names=["doc_id", "cls", "bands", "sig", "text_hash"])
     return run
 
 
@@ -162,78 +164,93 @@ def _verify(n: int, threshold: float):
     return run
 
 
-def candidate_pairs(nodes: DataFrame, bands: int, full: int = FULL_BUCKET, hubs: int = HUBS) -> DataFrame:
-    """Pairs ``(a, b)`` of classes that share a band's bucket, each once.
+def candidate_pairs(nodes: DataFrame, full: int = FULL_BUCKET, hubs: int = HUBS) -> DataFrame:
+    """Pairs ``(a, b)`` of nodes that share a band's bucket, each once, for nodes ``(node, copies, bands)``.
 
-    Small buckets give all their pairs. A large one is compared with its hubs:
-    the class most documents copy, which is most often the original, and some
-    that differ from band to band. Work and pairs grow with the bucket, not its square.
+    A bucket of two is its pair, small ones give all their pairs. A large one
+    is compared with its hubs: the node most documents copy, which is most
+    often the original, and some that differ from band to band. Work and pairs
+    grow with a bucket, not with its square.
     """
-    held = scratch(nodes.select("cls", "copies", F.explode("bands").alias("key")), "buckets")
-    sizes = held.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    members = scratch(held.join(scratch(sizes, "sizes"), "key"), "members")
+    held = scratch(nodes.select("node", "copies", F.explode("bands").alias("key")), "buckets")
+    sizes = scratch(held.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("a"), F.max("node").alias("b"))
+                    .where("n > 1"), "sizes")
+    members = scratch(held.join(sizes.where("n > 2").select("key", "n"), "key"), "members")
     drop_scratch(held)
-    small = members.where(F.col("n") <= full).select("key", F.col("cls").alias("a"))
+    small = members.where(F.col("n") <= full).select("key", F.col("node").alias("a"))
     others = small.withColumnRenamed("a", "b")
     pairs = small.join(others, "key").where(F.col("a") < F.col("b")).select("a", "b")
     large = members.where(F.col("n") > full)
     chosen = large.groupBy("key").agg(
-        F.max(F.struct("copies", F.xxhash64("cls").alias("h"), "cls"))["cls"].alias("h0"),
-        *[F.min(F.struct(F.xxhash64("cls", "key", F.lit(i)).alias("h"), "cls"))["cls"].alias(f"h{i}") for i in range(1, hubs)])
+        F.max(F.struct("copies", F.xxhash64("node").alias("h"), "node"))["node"].alias("h0"),
+        *[F.min(F.struct(F.xxhash64("node", "key", F.lit(i)).alias("h"), "node"))["node"].alias(f"h{i}") for i in range(1, hubs)])
     chosen = scratch(chosen.select("key", F.explode(F.array_distinct(F.array(*[f"h{i}" for i in range(hubs)]))).alias("hub")), "hubs")
-    star = large.join(chosen, "key").where(F.col("cls") != F.col("hub")).select(
-        F.least("cls", "hub").alias("a"), F.greatest("cls", "hub").alias("b"))
-    return pairs.unionByName(star).distinct()
+    star = large.join(chosen, "key").where(F.col("node") != F.col("hub")).select(
+        F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b"))
+    return sizes.where("n = 2").select("a", "b").unionByName(pairs).unionByName(star).distinct()
+
+
+def verified(pairs: DataFrame, texts: DataFrame, words: int, threshold: float) -> DataFrame:
+    """Those of the pairs ``(a, b)`` whose texts ``(node, text)`` are similar enough."""
+    both = (pairs.select("a", "b").join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
+            .join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b"))
+    return scratch(both.mapInArrow(_verify(words, threshold), "a bigint, b bigint, similarity double"), "links")
 
 
 def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", threshold: float = THRESHOLD,
                     words: int = WORDS, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """One row per document row: ``(doc_id, class_id, n_links, kept)``.
+    """One row per document row: ``(doc_id, class_id, kept)``.
 
     ``class_id`` is the smallest doc_id reachable over links, a link being a
-    verified similarity of at least ``threshold``; ``n_links`` counts verified
-    links of the row's shingle set to others; ``kept`` is doc_id = class_id.
+    verified similarity of at least ``threshold``; ``kept`` is doc_id = class_id.
     Documents with equal shingles are one class from the start; texts without
     words (null, empty, signs only) are copies only of equal texts. A null
-    doc_id is never a class's id unless all its rows are null. Repeated rows
+    doc_id is a class's id only if all its rows are null. Repeated rows
     keep a row each. Other columns are not carried; an empty table gives no rows.
+
+    Each node's likeliest pair is verified first; a pair inside a component so
+    found is a link no longer needed, so texts of large groups move once, not
+    once per pair.
     """
     id_type = docs.schema[doc_id].dataType.simpleString()
-    source = docs.select(F.col(doc_id).alias("doc_id"), whole(text).alias("text"))
-    signed = scratch(source.mapInArrow(_sign(words, bands, rows), SIGNED.format(id=id_type)), "signed")
-    classes = scratch(signed.groupBy("cls").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies")), "classes")
-    # The signature of a class is that of its smallest document; equal rows would bring it twice.
-    match = (F.col("s.cls") == F.col("c.cls")) & F.col("s.doc_id").eqNullSafe(F.col("c.rep"))
-    nodes = scratch(signed.alias("s").join(classes.alias("c"), match).select(
-        "s.cls", "c.copies", "c.rep", "s.bands", "s.sig").dropDuplicates(["cls"]), "nodes")
+    source = docs.select(F.col(doc_id).alias("doc_id"), whole(text).alias("text"), F.xxhash64(whole(text)).alias("text_hash"))
+    signed = _numbered(scratch(source.mapInArrow(_sign(words, bands, rows), SIGNED.format(id=id_type)), "signed"))
+    lowest = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "nid", "text_hash"))
+    classes = scratch(signed.groupBy("cls").agg(lowest.alias("m"), F.count(F.lit(1)).alias("copies")).select(
+        "cls", "copies", F.col("m.doc_id").alias("rep"), F.col("m.nid").alias("node"), "m.text_hash"), "classes")
     members = scratch(signed.select("doc_id", "cls"), "doc-classes")
+    nodes = scratch(signed.select(F.col("nid").alias("node"), "bands", "sig").join(classes.select("node", "copies"), "node"), "nodes")
     drop_scratch(signed)
-    pairs = scratch(candidate_pairs(nodes, bands), "pairs")
-    sig = nodes.select("cls", "sig")
-    signed_pairs = (pairs.join(sig.select(F.col("cls").alias("a"), F.col("sig").alias("sig_a")), "a")
-                    .join(sig.select(F.col("cls").alias("b"), F.col("sig").alias("sig_b")), "b"))
+    pairs = scratch(candidate_pairs(nodes), "pairs")
+    sig = nodes.select("node", "sig")
+    signed_pairs = (pairs.join(sig.select(F.col("node").alias("a"), F.col("sig").alias("sig_a")), "a")
+                    .join(sig.select(F.col("node").alias("b"), F.col("sig").alias("sig_b")), "b"))
     registers = bands * rows
     least = threshold - SIGMAS * (threshold * (1 - threshold) / registers) ** 0.5
-    likely = scratch(signed_pairs.mapInArrow(_estimate(registers), "a binary, b binary, estimate double")
+    likely = scratch(signed_pairs.mapInArrow(_estimate(registers), "a bigint, b bigint, estimate double")
                      .where(F.col("estimate") >= least), "likely")
-    wanted = scratch(likely.select(F.col("a").alias("cls")).union(likely.select("b")).distinct().join(
-        nodes.select("cls", "rep"), "cls"), "wanted")
+    drop_scratch(nodes)
+    ends = likely.select("a", "b", "estimate", F.explode(F.array("a", "b")).alias("node"))
+    best = scratch(ends.groupBy("node").agg(F.max(F.struct("estimate", "a", "b")).alias("p")).select("node", "p.a", "p.b"), "best")
+    wanted = scratch(best.select("node").join(classes, "node").select("node", "rep", "text_hash"), "wanted")
     texts = scratch(_texts_of(source, wanted), "texts")
-    with_texts = (likely.join(texts.select(F.col("cls").alias("a"), F.col("text").alias("text_a")), "a")
-                  .join(texts.select(F.col("cls").alias("b"), F.col("text").alias("text_b")), "b"))
-    links = scratch(with_texts.mapInArrow(_verify(words, threshold), "a binary, b binary, similarity double"), "links")
-    joined = components(links)
-    by_class = classes.join(joined.withColumnRenamed("node", "cls"), "cls", "left").select(
-        "cls", "rep", F.coalesce("component", "cls").alias("component"))
-    smallest = scratch(by_class.groupBy("component").agg(F.min("rep").alias("class_id")), "smallest")
-    counts = (links.select(F.col("a").alias("cls")).union(links.select("b")).groupBy("cls").agg(F.count(F.lit(1)).alias("n_links")))
-    final = scratch(by_class.join(smallest, "component").join(counts, "cls", "left").select(
-        "cls", "class_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")), "final")
-    return members.join(final, "cls").select("doc_id", "class_id", "n_links", F.col("doc_id").eqNullSafe(F.col("class_id")).alias("kept"))
+    first = verified(best.select("a", "b").distinct(), texts, words, threshold)
+    joined = scratch(components(first), "joined")
+    side = [joined.select(F.col("node").alias(x), F.col("component").alias(f"c{x}")) for x in ("a", "b")]
+    apart = likely.join(side[0], "a", "left").join(side[1], "b", "left").where(
+        F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
+    second = verified(apart.join(best.select("a", "b").distinct(), ["a", "b"], "left_anti"), texts, words, threshold)
+    links = first.unionByName(second)
+    by_class = classes.join(components(links), "node", "left").select("cls", "rep", F.coalesce("component", "node").alias("component"))
+    smallest = by_class.groupBy("component").agg(F.min("rep").alias("class_id"))
+    final = scratch(by_class.join(smallest, "component").select("cls", "class_id"), "final")
+    return members.join(final, "cls").select("doc_id", "class_id", F.col("doc_id").eqNullSafe(F.col("class_id")).alias("kept"))
 
 
 def _texts_of(source: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Text of each wanted class's smallest document."""
-    key = wanted.select("cls", "rep")
-    found = source.join(key, F.col("doc_id").eqNullSafe(F.col("rep")))
-    return found.select("cls", "text")
+    """Text of each wanted node; an id that repeats with another text is told apart by its hash.
+
+    Always a shuffled join: what is wanted grows with the corpus.
+    """
+    same = F.col("doc_id").eqNullSafe(F.col("rep")) & (F.col("s.text_hash") == F.col("w.text_hash"))
+    return source.alias("s").hint("merge").join(wanted.alias("w"), same).select("node", "text").dropDuplicates(["node"])
