@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import chat, decontam, minhash, ngram_lm, packing, pii, secrets, sharding, toxicity
+from . import chat, decontam, embeddings, minhash, ngram_lm, packing, pii, secrets, sharding, toxicity
 from .common import read, scratch
 
 
@@ -31,6 +31,10 @@ def op3_prob_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(read(spark, sf_dir, "documents"))
 
 
+def op4_collision_counting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.linked_vectors(read(spark, sf_dir, "embeddings"))
+
+
 def op5_seed_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contaminated(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
@@ -61,5 +65,5 @@ def op10_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score")
 
 
-QUERIES = {f.__name__: f for f in (op1_secret_scan, op2_string_kernel, op3_prob_minhash, op5_seed_alignment, op6_preference_format, op7_label_propagation, op8_best_fit_packing, op9_candidate_boosting, op10_kneser_ney)}
+QUERIES = {f.__name__: f for f in (op1_secret_scan, op2_string_kernel, op3_prob_minhash, op4_collision_counting, op5_seed_alignment, op6_preference_format, op7_label_propagation, op8_best_fit_packing, op9_candidate_boosting, op10_kneser_ney)}
 ORACLES: dict[str, str] = {"op6_preference_format": chat.ORACLE}
