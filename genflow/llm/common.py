@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import atexit
 import uuid
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -25,6 +25,13 @@ PIECE_BYTES = 1 << 21
 _SCRATCH: dict[str, SparkSession] = {}
 
 
+def scratch_folder(spark: SparkSession, label: str) -> str:
+    """A folder of its own in the shared one, deleted with the scratch tables."""
+    path = f"{shared_folder(spark)}/llm-{label}-{uuid.uuid4().hex}"
+    _SCRATCH[path] = spark
+    return path
+
+
 def scratch(df: DataFrame, label: str) -> DataFrame:
     """``df`` written once as Parquet in the shared folder and read back.
 
@@ -32,8 +39,7 @@ def scratch(df: DataFrame, label: str) -> DataFrame:
     :func:`drop_scratch` is called or the driver's Python ends.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/llm-{label}-{uuid.uuid4().hex}"
-    _SCRATCH[path] = spark
+    path = scratch_folder(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -66,9 +72,12 @@ def whole(text: str | Column = "text") -> Column:
     return F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit(""))
 
 
-def row_blocks(df: DataFrame, rows: int) -> int:
-    """How many blocks of about ``rows`` rows a counted table needs."""
-    return max(1, -(-df.count() // rows))
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with as many marks in front as it takes to be no column of ``df``."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
 
 
 def slices(batch: pa.RecordBatch, text: str, most: int = PIECE_BYTES) -> Iterator[pa.RecordBatch]:
@@ -233,15 +242,3 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
             drop_scratch(both)
             return labels
         labels = new.select("node", "component")
-
-
-def only(batches: Iterator[pa.RecordBatch], fn) -> Iterator[pa.RecordBatch]:
-    """``fn`` of each batch that has rows."""
-    for batch in batches:
-        if batch.num_rows:
-            yield from fn(batch)
-
-
-def columns_of(df: DataFrame, names: Sequence[str]) -> DataFrame:
-    """Just the named columns, whatever else the table has."""
-    return df.select(*[F.col(n) for n in names])

@@ -18,11 +18,10 @@ import pyarrow as pa
 from pyarrow import fs as arrow_fs
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..storage import shared_folder
-from .common import NOT_SPACE, drop_scratch, mix, scratch, slices, utf8, whole, word_runs
+from .common import NOT_SPACE, PIECE_BYTES, drop_scratch, mix, scratch, scratch_folder, slices, utf8, whole, word_runs
 
 #: Training tokens whose bigrams make one shard, and how many fill a task's buffer.
-SHARD_TOKENS, FLUSH_TOKENS = 8_000_000, 4_000_000
+SHARD_TOKENS, FLUSH_TOKENS = 6_000_000, 2_000_000
 #: Bytes of text that stand for a token when shards are planned.
 BYTES_A_TOKEN = 6
 # Words are 48-bit hashes; two values stand for the start and the end of a text.
@@ -52,8 +51,9 @@ def pair_hash(before: np.ndarray, token: np.ndarray) -> np.ndarray:
     return mix(mix(before * _PAIR) + token)
 
 
-def _dealt(hashes: np.ndarray, shards: int) -> np.ndarray:
-    return (mix(hashes) % np.uint64(shards)).astype(np.int64)
+def _shard_of(hashes: np.ndarray, shards: int, bits: int) -> np.ndarray:
+    """Shards are ranges of the hash, so sorted hashes are dealt as they stand."""
+    return ((hashes >> np.uint64(bits - 32)) * np.uint64(shards) >> np.uint64(32)).astype(np.int64)
 
 
 def _pack48(values: np.ndarray) -> np.ndarray:
@@ -66,16 +66,13 @@ def _unpack48(data: np.ndarray) -> np.ndarray:
     return wide.view("<u8").ravel().astype(np.uint64)
 
 
-def _distinct(*columns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Order of the rows, and where each distinct one starts in it."""
-    order = np.lexsort(columns[::-1])
-    new = np.ones(len(order), bool)
-    if len(order):
-        new[1:] = False
-        for c in columns:
-            c = c[order]
-            new[1:] |= c[1:] != c[:-1]
-    return order, np.flatnonzero(new)
+def _starts(values: np.ndarray) -> np.ndarray:
+    """Where each distinct value of a sorted array starts."""
+    return np.flatnonzero(np.concatenate([[True], values[1:] != values[:-1]])) if len(values) else np.zeros(0, np.int64)
+
+
+def _cuts(hashes: np.ndarray, shards: int, bits: int) -> np.ndarray:
+    return np.searchsorted(_shard_of(hashes, shards, bits), np.arange(shards + 1))
 
 
 BLOCKS = "kind string, shard int, words binary, numbers binary"
@@ -87,35 +84,41 @@ def _blocks(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["kind", "shard", "words", "numbers"])
 
 
+#: Columns of a word's counts that a kind of row carries, and their type; a task's or shard's own counts are small.
+_CARRIES = {"word": ([0], "<u4"), "total": ([0], "<u8"), "context": ([1, 2, 3, 4], "<u4"), "follows": ([5], "<u4")}
+
+
 def _word_rows(word: np.ndarray, numbers: np.ndarray, shards: int, kind: str) -> list[tuple]:
-    """Packed rows of words with their numbers (one row of the array per word), by shard."""
-    to = _dealt(word, shards)
-    order = np.argsort(to, kind="stable")
-    cut = np.searchsorted(to[order], np.arange(shards + 1))
-    return [(kind, s, _pack48(word[at]).tobytes(), numbers[at].astype("<u8").tobytes())
-            for s in range(shards) if len(at := order[cut[s]:cut[s + 1]])]
+    """Packed rows of sorted words with their numbers (one row of the array per word), by shard."""
+    cut, kind_of = _cuts(word, shards, 48), _CARRIES[kind][1]
+    return [(kind, s, _pack48(word[a:b]).tobytes(), numbers[a:b].astype(kind_of).tobytes())
+            for s, (a, b) in enumerate(zip(cut, cut[1:])) if b > a]
+
+
+def _counted(word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct values in order, and how often each comes."""
+    word = np.sort(word)
+    at = _starts(word)
+    return word[at], np.diff(np.append(at, len(word)))[:, None]
 
 
 def _count(shards: int):
     def flush(before: list[np.ndarray], token: list[np.ndarray]) -> pa.RecordBatch:
         v, w = np.concatenate(before), np.concatenate(token)
-        order, at = _distinct(v, w)
-        n = np.diff(np.append(at, len(order)))
+        key = pair_hash(v, w)
+        order = np.argsort(key)
+        key = key[order]
+        at = _starts(key)
+        n = np.diff(np.append(at, len(key)))
         pair = order[at]
-        bv, bw = v[pair], w[pair]
-        to = _dealt(pair_hash(bv, bw), shards)
-        deal = np.argsort(to, kind="stable")
-        cut = np.searchsorted(to[deal], np.arange(shards + 1))
+        packed = np.concatenate([_pack48(v[pair]), _pack48(w[pair])], axis=1)
+        cut = _cuts(key[at], shards, 64)
         rows = []
-        for s in range(shards):
-            mine = deal[cut[s]:cut[s + 1]]
-            if len(mine):
-                words_ = np.concatenate([_pack48(bv[mine]), _pack48(bw[mine])], axis=1)
-                more = np.flatnonzero(n[mine] > 1)  # most counts are one
-                rows.append(("pair", s, words_.tobytes(), np.stack([more, n[mine][more]], 1).astype("<u4").tobytes()))
-        order, at = _distinct(w)
-        count = np.diff(np.append(at, len(order)))
-        return _blocks(rows + _word_rows(w[order[at]], count[:, None], shards, "word"))
+        for s, (a, b) in enumerate(zip(cut, cut[1:])):
+            if b > a:
+                more = np.flatnonzero(n[a:b] > 1)  # most counts are one
+                rows.append(("pair", s, packed[a:b].tobytes(), np.stack([more, n[a:b][more]], 1).astype("<u4").tobytes()))
+        return _blocks(rows + _word_rows(*_counted(w), shards, "word"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         before, token, held = [], [], 0
@@ -165,36 +168,36 @@ def _merge_shard(table: pa.Table, folder: str, shards: int) -> Iterator[tuple]:
     shard = table.column("shard")[0].as_py()
     if table.column("kind")[0].as_py() == "word":
         word, number = _added(table)
-        yield "word", shard, _pack48(word).tobytes(), number[:, :1].astype("<u8").tobytes()
+        yield "total", shard, _pack48(word).tobytes(), number[:, 0].astype("<u8").tobytes()
         return
-    parts, counts = [], []
-    for data, numbers in zip(table.column("words"), table.column("numbers")):
-        parts.append(np.frombuffer(data.as_buffer(), np.uint8).reshape(-1, 12))
-        one = np.ones(len(parts[-1]), np.int64)
+    sizes = [len(data.as_buffer()) // 12 for data in table.column("words")]
+    v, w, c = (np.ones(sum(sizes), kind) for kind in (np.uint64, np.uint64, np.int64))
+    at = 0
+    for size, data, numbers in zip(sizes, table.column("words"), table.column("numbers")):
+        packed = np.frombuffer(data.as_buffer(), np.uint8).reshape(-1, 12)
+        v[at:at + size], w[at:at + size] = _unpack48(packed[:, :6]), _unpack48(packed[:, 6:])
         more = np.frombuffer(numbers.as_buffer(), "<u4").reshape(-1, 2)
-        one[more[:, 0]] = more[:, 1]
-        counts.append(one)
-    data = np.concatenate(parts)
-    v, w, c = _unpack48(data[:, :6]), _unpack48(data[:, 6:]), np.concatenate(counts)
-    order, at = _distinct(v, w)
-    v, w, c = v[order[at]], w[order[at]], np.add.reduceat(c[order], at)
-    del data, parts, counts, order
+        c[at + more[:, 0].astype(np.int64)] = more[:, 1]
+        at += size
     key = pair_hash(v, w)
-    by_key = np.argsort(key, kind="stable")
-    small = np.minimum(c, 255).astype(np.uint8)[by_key]
-    large = np.flatnonzero(c[by_key] >= 255)
-    _store(f"{folder}/pair-{shard}", [key[by_key], large.astype("<u8"), c[by_key][large].astype("<u8"), small])
-    # v is sorted: a context's types and tokens are sums over its run. w: how many words it follows.
-    begin = np.flatnonzero(np.concatenate([[True], v[1:] != v[:-1]]))
-    sums = [np.add.reduceat(x.astype(np.int64), begin) for x in (c, c == 1, c == 2, c >= 3)]
-    yield from _word_rows(v[begin], np.stack(sums, 1), shards, "context")
-    order, at = _distinct(w)
-    yield from _word_rows(w[order[at]], np.diff(np.append(at, len(order)))[:, None], shards, "follows")
+    order = np.argsort(key, kind="stable")  # the blocks are sorted runs
+    key = key[order]
+    begin = _starts(key)
+    c = np.add.reduceat(c[order], begin)
+    v, w, key = v[order[begin]], w[order[begin]], key[begin]
+    del order, begin
+    large = np.flatnonzero(c >= 255)
+    _store(f"{folder}/pair-{shard}", [key, large.astype("<u8"), c[large].astype("<u8"), np.minimum(c, 255).astype(np.uint8)])
     held = [int((c == k).sum()) for k in (1, 2, 3, 4)]
-    yield ("pairs", shard, b"", np.array([len(v), len(large), *held], "<u8").tobytes())
-
-
-_WIDTHS = {"word": [0], "context": [1, 2, 3, 4], "follows": [5]}
+    yield ("pairs", shard, b"", np.array([len(key), len(large), *held], "<u8").tobytes())
+    del key
+    yield from _word_rows(*_counted(w), shards, "follows")  # how many words it follows
+    del w
+    order = np.argsort(v)
+    v, c = v[order], c[order]
+    at = _starts(v)
+    sums = [np.add.reduceat(x, at) for x in (c, (c == 1).astype(np.int64), (c == 2).astype(np.int64), (c >= 3).astype(np.int64))]
+    yield from _word_rows(v[at], np.stack(sums, 1), shards, "context")
 
 
 def _added(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
@@ -202,12 +205,13 @@ def _added(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     parts, numbers = [], []
     for kind, data, values in zip(table.column("kind"), table.column("words"), table.column("numbers")):
         parts.append(_unpack48(np.frombuffer(data.as_buffer(), np.uint8).reshape(-1, 6)))
-        columns = _WIDTHS[kind.as_py()]
+        columns, kind_of = _CARRIES[kind.as_py()]
         wide = np.zeros((len(parts[-1]), 6), np.int64)
-        wide[:, columns] = np.frombuffer(values.as_buffer(), "<u8").reshape(-1, len(columns))
+        wide[:, columns] = np.frombuffer(values.as_buffer(), kind_of).reshape(-1, len(columns))
         numbers.append(wide)
     word, number = np.concatenate(parts), np.concatenate(numbers)
-    order, at = _distinct(word)
+    order = np.argsort(word, kind="stable")
+    at = _starts(word[order])
     return word[order[at]], np.add.reduceat(number[order], at, axis=0)
 
 
@@ -267,12 +271,12 @@ class Model:
         return self._open[kind, shard]
 
     def pair_counts(self, key: np.ndarray) -> np.ndarray:
-        """Training count of each bigram hash; keys come sorted by shard visit, then by hash."""
+        """Training count of each bigram hash, for sorted hashes: shards are visited once, in order."""
         out = np.zeros(len(key), np.int64)
-        to = _dealt(key, self.shards)
+        cut = _cuts(key, self.shards, 64)
         for s in self.pairs:
-            mine = np.flatnonzero(to == s)
-            if not len(mine):
+            mine = slice(cut[s], cut[s + 1])
+            if cut[s] == cut[s + 1]:
                 continue
             keys, large, many, small = self._part("pair", s)
             at = np.minimum(np.searchsorted(keys, key[mine]), len(keys) - 1)
@@ -285,12 +289,12 @@ class Model:
         return out
 
     def word_counts(self, word: np.ndarray) -> np.ndarray:
-        """(tokens, tokens after it, types after it seen once, twice, more, types before it) of each word."""
+        """(tokens, tokens after it, types after it seen once, twice, more, types before it) of each of sorted words."""
         out = np.zeros((len(word), 6), np.int64)
-        to = _dealt(word, self.shards)
+        cut = _cuts(word, self.shards, 48)
         for s in self.words:
-            mine = np.flatnonzero(to == s)
-            if len(mine):
+            mine = slice(cut[s], cut[s + 1])
+            if cut[s] < cut[s + 1]:
                 names, *numbers = self._part("word", s)
                 at = np.minimum(np.searchsorted(names, word[mine]), len(names) - 1)
                 hit = names[at] == word[mine]
@@ -331,7 +335,7 @@ def train(docs: DataFrame, text: str = "text", shard_tokens: int = SHARD_TOKENS)
     source = docs.select(whole(text).alias("text"))
     size = source.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shards = max(1, -(-int(size) // BYTES_A_TOKEN // shard_tokens))
-    folder = f"{shared_folder(spark)}/llm-model-{uuid.uuid4().hex}"
+    folder = scratch_folder(spark, "model")
 
     def apply(fn, *args):
         def run(table: pa.Table) -> pa.Table:
@@ -363,7 +367,7 @@ def _score(shared, id_type: pa.DataType):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         for batch in batches:
-            for part in slices(batch, "text", 1 << 24):
+            for part in slices(batch, "text", 2 * PIECE_BYTES):
                 n, known, base, own = model.score(part.column(1))
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array(n, pa.int64()), pa.array(known, pa.int64()), pa.array(base), pa.array(own)],
