@@ -139,23 +139,28 @@ def passages(items: Items, gram: np.ndarray, words: np.ndarray) -> Iterator[tupl
         yield which, score, start + first, start + last
 
 
+def _leaks(items: Items, texts: pa.Array, n: int, threshold: float) -> Iterator[tuple[int, int, float, int, int]]:
+    """(row, item, score, first word, end word): the best place of each item in each text that reaches the threshold."""
+    raw, starts = utf8(pc.utf8_lower(texts))
+    _, _, hashes, first = word_runs(raw, starts)
+    gram, owner = grams(hashes, first, n)
+    cut = np.searchsorted(owner, np.arange(len(texts) + 1))
+    for doc in np.unique(owner[_hits(gram, items.distinct)]):
+        best: dict[int, tuple] = {}
+        for which, score, a, b in passages(items, gram[cut[doc]:cut[doc + 1]], hashes[first[doc]:first[doc + 1]]):
+            if score >= threshold and score > best.get(which, (0.0,))[0]:
+                best[which] = (score, a, b)
+        yield from ((int(doc), w, *found) for w, found in sorted(best.items()))
+
+
 def _find(shared, n: int, threshold: float, id_type: pa.DataType, item_type: pa.DataType):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         items = shared.value
         for batch in batches:
             rows: list[tuple] = []
             for part in slices(batch, "text"):
-                raw, starts = utf8(pc.utf8_lower(part.column(1)))
-                _, _, hashes, first = word_runs(raw, starts)
-                gram, owner = grams(hashes, first, n)
-                cut = np.searchsorted(owner, np.arange(part.num_rows + 1))
-                hit = _hits(gram, items.distinct)
-                for doc in np.unique(owner[hit]):
-                    best: dict[int, tuple] = {}
-                    for which, score, a, b in passages(items, gram[cut[doc]:cut[doc + 1]], hashes[first[doc]:first[doc + 1]]):
-                        if score >= threshold and score > best.get(which, (0.0,))[0]:
-                            best[which] = (score, a, b)
-                    rows += [(part.column(0)[int(doc)].as_py(), items.ids[w], *found) for w, found in sorted(best.items())]
+                rows += [(part.column(0)[doc].as_py(), items.ids[w], *found)
+                         for doc, w, *found in _leaks(items, part.column(1), n, threshold)]
             columns = list(zip(*rows)) if rows else [[]] * 5
             kinds = [id_type, item_type, pa.float64(), pa.int64(), pa.int64()]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)],
@@ -163,6 +168,16 @@ def _find(shared, n: int, threshold: float, id_type: pa.DataType, item_type: pa.
     return run
 
 
+def _drop(shared, at: int, n: int, threshold: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, batch.schema.names[at]):
+                clean = np.ones(part.num_rows, bool)
+                clean[[doc for doc, *_ in _leaks(shared.value, part.column(at), n, threshold)]] = False
+                yield part.filter(pa.array(clean))
+    return run
+
+
 _ARROW = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}
 
 
@@ -180,6 +195,19 @@ def _blocks(benchmark: DataFrame, item_id: str, text: str, n: int, most: int) ->
         yield Items(ids, texts, n)
 
 
+def _rare(source: DataFrame, benchmark: DataFrame, item_id: str, item_text: str, n: int, block_seeds: int) -> Iterator:
+    """Blocks of test items, broadcast, each with its rarest seeds in the texts of ``source``."""
+    context = source.sparkSession.sparkContext
+    for items in _blocks(benchmark, item_id, item_text, n, block_seeds):
+        shared = context.broadcast(items)
+        counts = source.mapInArrow(_count(shared, n), "seed bigint, n bigint")
+        frequency = np.zeros(len(items.distinct), np.int64)
+        for row in counts.groupBy("seed").agg(F.sum("n").alias("n")).collect():  # a row per seed of the block at most
+            frequency[row["seed"]] = row["n"]
+        items.keep_rarest(frequency)
+        yield context.broadcast(items)
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text", doc_id: str = "doc_id", item_id: str = "item_id",
                  item_text: str = "text", threshold: float = THRESHOLD, n: int = SEED_WORDS,
                  block_seeds: int = BLOCK_SEEDS) -> DataFrame:
@@ -195,20 +223,21 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text", doc_
     Items are broadcast in blocks of at most ``block_seeds`` seeds, each block
     against all documents, so no broadcast grows with either table.
     """
-    spark = docs.sparkSession
     id_type, item_type = docs.schema[doc_id].dataType.simpleString(), benchmark.schema[item_id].dataType.simpleString()
     schema = f"doc_id {id_type}, item_id {item_type}, score double, start_word bigint, end_word bigint"
     source = docs.select(F.col(doc_id).alias("doc_id"), whole(text).alias("text"))
     found = []
-    for items in _blocks(benchmark, item_id, item_text, n, block_seeds):
-        shared = spark.sparkContext.broadcast(items)
-        counts = source.select("text").mapInArrow(_count(shared, n), "seed bigint, n bigint")
-        frequency = np.zeros(len(items.distinct), np.int64)
-        for row in counts.groupBy("seed").agg(F.sum("n").alias("n")).collect():  # a row per seed of the block at most
-            frequency[row["seed"]] = row["n"]
-        items.keep_rarest(frequency)
-        rare = spark.sparkContext.broadcast(items)
+    for rare in _rare(source.select("text"), benchmark, item_id, item_text, n, block_seeds):
         found.append(source.mapInArrow(_find(rare, n, threshold, _ARROW[id_type], _ARROW[item_type]), schema))
         if len(found) > 1:
             found = [scratch(found[0].unionByName(found[1]), "leaks")]
-    return found[0] if found else spark.createDataFrame([], schema)
+    return found[0] if found else docs.sparkSession.createDataFrame([], schema)
+
+
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text",
+                      threshold: float = THRESHOLD, n: int = SEED_WORDS, block_seeds: int = BLOCK_SEEDS) -> DataFrame:
+    """``docs`` without the rows that hold a test item, all columns as they are; cases as in :func:`contaminated`."""
+    source = docs.select(whole(text).alias("text"))
+    for rare in _rare(source, benchmark, item_id, item_text, n, block_seeds):
+        docs = docs.mapInArrow(_drop(rare, docs.columns.index(text), n, threshold), docs.schema)
+    return docs

@@ -66,9 +66,14 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(spans, kind)], names=["blob", "spans"])
 
 
+def address(text: str = "text"):
+    """SHA-256 of the text's bytes (null: the empty text)."""
+    return F.unhex(F.sha2(whole(text).cast("binary"), 256))
+
+
 def addressed(versions: DataFrame, text: str = "text") -> DataFrame:
-    """``versions`` with ``blob``, the SHA-256 of the text's bytes (null: the empty text)."""
-    return versions.withColumn("blob", F.unhex(F.sha2(whole(text).cast("binary"), 256)))
+    """``versions`` with ``blob``, its text's address."""
+    return versions.withColumn("blob", address(text))
 
 
 def scan_unseen(versions: DataFrame, ledger: DataFrame | None = None, path: Sequence[str] = ("doc_id",),
@@ -89,7 +94,7 @@ def scan_unseen(versions: DataFrame, ledger: DataFrame | None = None, path: Sequ
     match = [F.col(c).eqNullSafe(F.col(f"_p{i}")) for i, c in enumerate(path)]
     texts = versions.select(*path, whole(text).alias("_text"))
     # The blob comes with the chosen key; a repeated path with another text is told apart by its own address.
-    picked = texts.join(chosen, match).where(F.unhex(F.sha2(F.col("_text").cast("binary"), 256)) == F.col("_blob"))
+    picked = texts.join(chosen, match).where(address("_text") == F.col("_blob"))
     found = picked.select(F.col("_blob").alias("blob"), "_text").mapInArrow(_scan, f"blob binary, {SPANS}")
     return found.dropDuplicates(["blob"]).withColumn("rules_version", F.lit(rules_version))
 

@@ -4,21 +4,50 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import packing, secrets
-from .common import scratch
+from ..shipping import ship
+from . import decontam, minhash, packing, secrets, toxicity
+from .common import free_name, read, scratch
+
+#: Findings of at most so many bytes are sent to every executor; more are joined by a shuffle.
+BROADCAST_BYTES = 32 << 20
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the machine, trained on the labels it may see, does not call toxic."""
+    labels = read(spark, sf_dir, "labels").where(~toxicity.held_out()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    machine = toxicity.train(docs.select("doc_id", "text").join(labels, "doc_id"))
+    return toxicity.drop_toxic(docs, machine)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class: that with the smallest id. Of rows equal in id and text one stays."""
+    ship(spark)
+    key = free_name(docs, "kept_id")
+    kept = minhash.near_duplicates(docs.select("doc_id", "text")).where("kept").select(F.col("doc_id").alias(key)).distinct()
+    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col(key))).drop(key).dropDuplicates(["doc_id", "text"])
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no item of the benchmark."""
+    return decontam.drop_contaminated(docs, read(spark, sf_dir, "benchmark"))
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with their secrets replaced; ``n_chars`` follows the text where it changed."""
-    found = scratch(secrets.scan_unseen(docs), "ledger")
-    hits = found.where(F.size("spans") > 0).select("blob", "spans")
-    held = secrets.addressed(docs).join(hits, "blob", "left")
-    changed = F.col("spans").isNotNull()
-    text = F.when(changed, secrets.redact(F.col("text"), F.col("spans"))).otherwise(F.col("text"))
-    kept = held.withColumns({"text": text}).withColumns(
-        {"n_chars": F.when(changed, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))})
-    return kept.select(*docs.columns)
+    ship(spark)
+    blob, spans, fresh = (free_name(docs, name) for name in ("hit_blob", "hit_spans", "fresh_text"))
+    found = secrets.scan_unseen(docs.select("doc_id", "text")).where(F.size("spans") > 0)
+    hits = scratch(found.select(F.col("blob").alias(blob), F.col("spans").alias(spans)), "hits")
+    size = hits.agg(F.sum(F.size(spans) * 32 + 64)).first()[0] or 0
+    held = docs.join(F.broadcast(hits) if size <= BROADCAST_BYTES else hits, secrets.address("text") == F.col(blob), "left")
+    changed = F.col(spans).isNotNull()
+    held = held.withColumn(fresh, F.when(changed, secrets.redact(F.col("text"), F.col(spans))).otherwise(F.col("text")))
+    n_chars = F.when(changed, F.length(fresh).cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
+    new = {"text": F.col(fresh), "n_chars": n_chars}
+    return held.select(*[new[c].alias(c) if c in new else F.col(c) for c in docs.columns])
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document's pieces and their places in sequences."""
+    ship(spark)
     return packing.pack(docs)

@@ -333,6 +333,22 @@ def score(docs: DataFrame, machine: Machine, text: str = "text", doc_id: str = "
     return found.select("doc_id", chance.alias("score"), (chance >= 0.5).cast("int").alias("predicted"))
 
 
+def _clean(shared, at: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        machine = shared.value
+        for batch in batches:
+            for part in slices(batch, batch.schema.names[at]):
+                chance = machine.probability(machine.of_texts(part.column(at)))
+                yield part.filter(pa.array(chance < 0.5))
+    return run
+
+
+def drop_toxic(docs: DataFrame, machine: Machine, text: str = "text") -> DataFrame:
+    """``docs`` without the rows that :func:`score` predicts as toxic, all columns as they are."""
+    shared = docs.sparkSession.sparkContext.broadcast(machine)
+    return docs.mapInArrow(_clean(shared, docs.columns.index(text)), docs.schema)
+
+
 def held_out(doc_id: str = "doc_id", remainder: int = 0):
     """Whether crc32 of the id as text leaves ``remainder`` on division by 5; a null id is held out."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 5 == remainder, F.lit(True))
