@@ -8,6 +8,7 @@ the item word by word, so replaced, added and missing words are tolerated.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -66,9 +67,9 @@ def _hits(grams_: np.ndarray, distinct: np.ndarray) -> np.ndarray:
     return distinct[at] == grams_
 
 
-def _count(shared, n: int):
+def _count(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        distinct = shared.value.distinct
+        distinct, n = shared.value.distinct, shared.value.n
         total = np.zeros(len(distinct), np.int64)
         for batch in batches:
             for part in slices(batch, "text"):
@@ -139,11 +140,11 @@ def passages(items: Items, gram: np.ndarray, words: np.ndarray) -> Iterator[tupl
         yield which, score, start + first, start + last
 
 
-def _leaks(items: Items, texts: pa.Array, n: int, threshold: float) -> Iterator[tuple[int, int, float, int, int]]:
+def _leaks(items: Items, texts: pa.Array, threshold: float) -> Iterator[tuple[int, int, float, int, int]]:
     """(row, item, score, first word, end word): the best place of each item in each text that reaches the threshold."""
     raw, starts = utf8(pc.utf8_lower(texts))
     _, _, hashes, first = word_runs(raw, starts)
-    gram, owner = grams(hashes, first, n)
+    gram, owner = grams(hashes, first, items.n)
     cut = np.searchsorted(owner, np.arange(len(texts) + 1))
     for doc in np.unique(owner[_hits(gram, items.distinct)]):
         best: dict[int, tuple] = {}
@@ -153,14 +154,14 @@ def _leaks(items: Items, texts: pa.Array, n: int, threshold: float) -> Iterator[
         yield from ((int(doc), w, *found) for w, found in sorted(best.items()))
 
 
-def _find(shared, n: int, threshold: float, id_type: pa.DataType, item_type: pa.DataType):
+def _find(shared, threshold: float, id_type: pa.DataType, item_type: pa.DataType):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         items = shared.value
         for batch in batches:
             rows: list[tuple] = []
             for part in slices(batch, "text"):
                 rows += [(part.column(0)[doc].as_py(), items.ids[w], *found)
-                         for doc, w, *found in _leaks(items, part.column(1), n, threshold)]
+                         for doc, w, *found in _leaks(items, part.column(1), threshold)]
             columns = list(zip(*rows)) if rows else [[]] * 5
             kinds = [id_type, item_type, pa.float64(), pa.int64(), pa.int64()]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)],
@@ -168,12 +169,12 @@ def _find(shared, n: int, threshold: float, id_type: pa.DataType, item_type: pa.
     return run
 
 
-def _drop(shared, at: int, n: int, threshold: float):
+def _drop(shared, at: int, threshold: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, batch.schema.names[at]):
                 clean = np.ones(part.num_rows, bool)
-                clean[[doc for doc, *_ in _leaks(shared.value, part.column(at), n, threshold)]] = False
+                clean[[doc for doc, *_ in _leaks(shared.value, part.column(at), threshold)]] = False
                 yield part.filter(pa.array(clean))
     return run
 
@@ -182,17 +183,21 @@ _ARROW = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}
 
 
 def _blocks(benchmark: DataFrame, item_id: str, text: str, n: int, most: int) -> Iterator[Items]:
-    """Test items in blocks of about ``most`` seeds, read one after the other."""
-    ids, texts, size = [], [], 0
+    """Test items in blocks of about ``most`` seeds, read one after the other; those shorter than a seed have blocks of their own."""
+    held: dict[int, list] = {}
+    seeds: Counter = Counter()
     for row in benchmark.select(F.col(item_id).alias("i"), whole(text).alias("t")).toLocalIterator():
-        ids.append(row["i"])
-        texts.append(row["t"])
-        size += row["t"].count(" ") + 1
-        if size >= most:
-            yield Items(ids, texts, n)
-            ids, texts, size = [], [], 0
-    if ids:
-        yield Items(ids, texts, n)
+        size = len(word_runs(*utf8(pc.utf8_lower(pa.array([row["t"]]))))[0])
+        if not size:
+            continue
+        items = held.setdefault(min(n, size), [])
+        items.append((row["i"], row["t"]))
+        seeds[min(n, size)] += size
+        if seeds[min(n, size)] >= most:
+            yield Items(*map(list, zip(*held.pop(min(n, size)))), min(n, size))
+            seeds[min(n, size)] = 0
+    for words, items in sorted(held.items()):
+        yield Items(*map(list, zip(*items)), words)
 
 
 def _rare(source: DataFrame, benchmark: DataFrame, item_id: str, item_text: str, n: int, block_seeds: int) -> Iterator:
@@ -200,7 +205,7 @@ def _rare(source: DataFrame, benchmark: DataFrame, item_id: str, item_text: str,
     context = source.sparkSession.sparkContext
     for items in _blocks(benchmark, item_id, item_text, n, block_seeds):
         shared = context.broadcast(items)
-        counts = source.mapInArrow(_count(shared, n), "seed bigint, n bigint")
+        counts = source.mapInArrow(_count(shared), "seed bigint, n bigint")
         frequency = np.zeros(len(items.distinct), np.int64)
         for row in counts.groupBy("seed").agg(F.sum("n").alias("n")).collect():  # a row per seed of the block at most
             frequency[row["seed"]] = row["n"]
@@ -216,8 +221,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text", doc_
     ``score`` is the best local alignment's share of the item's full score;
     the words are those of the document in which it lies. Only the best place
     per item and document is given. Null and empty texts hold nothing, and an
-    empty item is found nowhere; an item of fewer words than a seed is one
-    seed. Repeated rows give repeated pairs. Without documents or items there
+    item without words is found nowhere; an item of fewer words than a seed is
+    one seed, looked for in a pass of its own. Repeated rows give repeated pairs. Without documents or items there
     are no rows; other columns are not carried.
 
     Items are broadcast in blocks of at most ``block_seeds`` seeds, each block
@@ -228,7 +233,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text", doc_
     source = docs.select(F.col(doc_id).alias("doc_id"), whole(text).alias("text"))
     found = []
     for rare in _rare(source.select("text"), benchmark, item_id, item_text, n, block_seeds):
-        found.append(source.mapInArrow(_find(rare, n, threshold, _ARROW[id_type], _ARROW[item_type]), schema))
+        found.append(source.mapInArrow(_find(rare, threshold, _ARROW[id_type], _ARROW[item_type]), schema))
         if len(found) > 1:
             found = [scratch(found[0].unionByName(found[1]), "leaks")]
     return found[0] if found else docs.sparkSession.createDataFrame([], schema)
@@ -239,5 +244,5 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text",
     """``docs`` without the rows that hold a test item, all columns as they are; cases as in :func:`contaminated`."""
     source = docs.select(whole(text).alias("text"))
     for rare in _rare(source, benchmark, item_id, item_text, n, block_seeds):
-        docs = docs.mapInArrow(_drop(rare, docs.columns.index(text), n, threshold), docs.schema)
+        docs = docs.mapInArrow(_drop(rare, docs.columns.index(text), threshold), docs.schema)
     return docs

@@ -68,6 +68,8 @@ def units(code: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     folded = np.where(code < 128, _FOLD[low], code)
     between = np.zeros(len(code), bool)
     between[1:-1] = letter[:-2] & letter[2:]
+    edge = starts[(starts > 0) & (starts < len(code))]
+    between[edge] = between[edge - 1] = False  # the neighbour is another text's
     keep = letter | (between & (folded != code))
     begins = np.zeros(len(code), np.int64)
     begins[1:] = space[:-1]
