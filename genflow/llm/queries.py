@@ -14,16 +14,10 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.findings_by_path(docs, ledger))
 
 
-def training_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Texts with the labels that may be learned from, one label per document."""
-    labels = read(spark, sf_dir, "labels").where(~toxicity.held_out()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
-    return docs.join(labels, "doc_id")
-
-
 def op2_string_kernel(spark: SparkSession, sf_dir: str) -> DataFrame:
-    machine = toxicity.train(training_labels(spark, sf_dir))
-    found = toxicity.score(read(spark, sf_dir, "documents"), machine)
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    machine = toxicity.train(docs, read(spark, sf_dir, "labels").where(~toxicity.held_out()))
+    found = toxicity.score(docs, machine)
     return found.select("doc_id", toxicity.held_out().alias("held_out"), "score", "predicted")
 
 

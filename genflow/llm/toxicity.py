@@ -237,19 +237,23 @@ def margins(docs: DataFrame, machine: Machine) -> DataFrame:
     return docs.mapInArrow(_margin(shared), f"{kept}, margin double" if kept else "margin double")
 
 
-def train(labelled: DataFrame, sample: int = SAMPLE_DOCS) -> Machine:
-    """A machine from rows ``(doc_id, text, toxic)``.
-
-    Fits on at most ``sample`` texts, half of them toxic where there are so
-    many, chosen by hash. Units of toxic texts that clean ones lack start as
-    positive; the clean units the machine is most wrong about join the
-    negatives, twice. Rows with a null label or text do not count. Without a
-    toxic or a clean text everything scores as the share of toxic labels.
+def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_DOCS) -> Machine:
+    """A machine from texts ``(doc_id, text)`` and labels ``(doc_id, toxic)``.
+
+    Fits on the texts of at most ``sample`` labels, half of them toxic where
+    there are so many, chosen by hash. Units of toxic texts that clean ones
+    lack start as positive; the clean units the machine is most wrong about
+    join the negatives, twice. Null labels, ids and texts do not count; of an
+    id's labels the highest does. Without a toxic or a clean text everything
+    scores as the one label there is.
     """
-    rows = labelled.where(F.col("toxic").isin(0, 1) & F.col("text").isNotNull()).select(
-        "text", F.col("toxic").cast("int").alias("toxic"), F.xxhash64(F.lit(17), "doc_id").alias("_h"))
-    parts = [rows.where(F.col("toxic") == t).orderBy("_h", "text").limit(sample // 2) for t in (1, 0)]
-    texts = scratch(parts[0].unionByName(parts[1]).withColumnRenamed("_h", "doc").select("text", "toxic", "doc").repartition(24), "toxic-sample")
+    once = labels.where(F.col("toxic").isin(0, 1)).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
+    rows = once.where(F.col("doc_id").isNotNull()).withColumn("doc", F.xxhash64(F.lit(17), "doc_id"))
+    parts = [rows.where(F.col("toxic") == t).orderBy("doc", "doc_id").limit(sample // 2) for t in (1, 0)]
+    chosen = scratch(parts[0].unionByName(parts[1]), "toxic-labels")
+    # The chosen labels are `sample` rows at most, so they are sent to all executors and no text moves.
+    texts = docs.where(F.col("text").isNotNull()).select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    texts = scratch(texts.select("text", "toxic", "doc").repartition(24), "toxic-sample")
     n = {r["toxic"]: r["n"] for r in texts.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     if len(n) < 2:
         share = 1.0 if 1 in n else 0.0

@@ -84,7 +84,8 @@ def insults(n, seed):
 
 
 def test_toxicity_finds_gapped_insults(spark):
-    machine = toxicity.train(spark.createDataFrame(insults(900, 1), "doc_id bigint, text string, toxic int"))
+    rows = spark.createDataFrame(insults(900, 1), "doc_id bigint, text string, toxic int")
+    machine = toxicity.train(rows.select("doc_id", "text"), rows.select("doc_id", "toxic"))
     calm = insults(1, 2)[0][1].split()[5:12]
     probes = ["you blockhead", "you b-l-o-c-k-h-e-a-d", "you blockxhead", "you n i t w i t", "you nittwit", "you DIRTBAG!!", "you d1rtbag"]
     rows = [(i, " ".join([*calm, p])) for i, p in enumerate(probes)] + [(100, " ".join(calm)), (101, None), (102, "")]
@@ -98,7 +99,8 @@ def test_toxicity_edge_rows_and_missing_labels(spark):
     kind = "doc_id bigint, text string, toxic int"
     for rows in ([], [(1, "a b", None)], [(1, "only toxic words", 1)], [(1, "only clean words", 0)], [(1, None, 1), (2, "x", 0)],
                  [(i, "same words here", i % 2) for i in range(40)]):
-        machine = toxicity.train(spark.createDataFrame(rows, kind))
+        labelled = spark.createDataFrame(rows, kind)
+        machine = toxicity.train(labelled.select("doc_id", "text"), labelled.select("doc_id", "toxic"))
         got = toxicity.score(table(spark, EDGE), machine).collect()
         assert len(got) == len(EDGE) and all(0 <= r["score"] <= 1 for r in got)
     assert toxicity.score(table(spark, EDGE).limit(0), machine).count() == 0
