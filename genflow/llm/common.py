@@ -217,28 +217,28 @@ def grams(hashes: np.ndarray, first: np.ndarray, n: int) -> tuple[np.ndarray, np
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """Smallest node each linked node can reach: rows ``(node, component)``.
 
-    Each round takes the smallest label among neighbours, then follows labels
-    of labels, so long chains shorten by half; rounds end when nothing changes.
-    Node types must be orderable and equal on both sides.
+    Each round every node joins its neighbour of lowest hash, if that is lower
+    than its own, and links inside what was joined go; the hash changes with
+    the round, so the links left shrink by a share each time, chains and stars
+    alike. A node linked only with itself is its own component.
     """
-    both = scratch(
-        links.select(F.col(a).alias("node"), F.col(b).alias("other"))
-        .unionByName(links.select(F.col(b).alias("node"), F.col(a).alias("other"))).distinct(), "edges")
-    labels = scratch(both.groupBy("node").agg(F.least(F.min("other"), F.first("node")).alias("component")), "labels")
-    while True:
-        seen = both.join(labels.select(F.col("node").alias("other"), "component"), "other")
-        near = seen.groupBy("node").agg(F.min("component").alias("near"))
-        hop = labels.select(F.col("node").alias("component"), F.col("component").alias("far"))
-        new = (
-            labels.join(near, "node").join(hop, "component", "left")
-            .select("node", F.least("component", "near", "far").alias("component"),
-                    (F.least("component", "near", "far") < F.col("component")).alias("moved"))
-        )
-        new = scratch(new, "labels")
-        moved = new.where("moved").limit(1).count()
-        drop_scratch(labels)
-        labels = new.drop("moved")
-        if not moved:
-            drop_scratch(both)
-            return labels
-        labels = new.select("node", "component")
+    edges = scratch(
+        links.select(F.col(a).alias("x"), F.col(b).alias("y"))
+        .unionByName(links.select(F.col(b).alias("x"), F.col(a).alias("y"))).distinct(), "edges")
+    names = scratch(edges.select(F.col("x").alias("node"), F.col("x").alias("label")).distinct(), "labels")
+    edges = edges.where("x <> y")
+    round_ = 0
+    while edges.limit(1).count():
+        rank = lambda c: F.struct(F.xxhash64(c, F.lit(round_)).alias("h"), F.col(c).alias("node"))  # noqa: B023, E731
+        parents = scratch(edges.groupBy("x").agg(F.least(rank("x"), F.min(rank("y")))["node"].alias("p")), "parents")
+        new = (edges.join(parents, "x").select("y", F.col("p").alias("px"))
+               .join(parents.select(F.col("x").alias("y"), F.col("p").alias("py")), "y").where("px <> py")
+               .select(F.col("px").alias("x"), F.col("py").alias("y")).distinct())
+        new = scratch(new, "edges")
+        moved = scratch(names.join(parents.withColumnRenamed("x", "label"), "label", "left").select(
+            "node", F.coalesce("p", "label").alias("label")), "labels")
+        for done in (edges, parents, names):
+            drop_scratch(done)
+        edges, names, round_ = new, moved, round_ + 1
+    low = names.groupBy("label").agg(F.min("node").alias("component"))
+    return names.join(low, "label").select("node", "component")

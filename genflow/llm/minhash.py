@@ -208,9 +208,8 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     doc_id is a class's id only if all its rows are null. Repeated rows
     keep a row each. Other columns are not carried; an empty table gives no rows.
 
-    Each node's likeliest pair is verified first; a pair inside a component so
-    found is a link no longer needed, so texts of large groups move once, not
-    once per pair.
+    A pair inside a component found so far is no longer needed, so texts of
+    large groups move a few times, not once per pair.
     """
     id_type = docs.schema[doc_id].dataType.simpleString()
     source = docs.select(F.col(doc_id).alias("doc_id"), whole(text).alias("text"), F.xxhash64(whole(text)).alias("text_hash"))
@@ -234,19 +233,28 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     best = scratch(ends.groupBy("node").agg(F.max(F.struct("estimate", "a", "b")).alias("p")).select("node", "p.a", "p.b"), "best")
     wanted = scratch(best.select("node").join(classes, "node").select("node", "rep", "text_hash"), "wanted")
     texts = scratch(_texts_of(source, wanted), "texts")
-    first = verified(best.select("a", "b").distinct(), texts, words, threshold)
-    joined = scratch(components(first), "joined")
-    side = [joined.select(F.col("node").alias(x), F.col("component").alias(f"c{x}")) for x in ("a", "b")]
-    apart = likely.join(side[0], "a", "left").join(side[1], "b", "left").where(
-        F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
-    second = verified(apart.join(best.select("a", "b").distinct(), ["a", "b"], "left_anti"), texts, words, threshold)
-    links = first.unionByName(second)
+    # Three waves: each node's likeliest pair, the likeliest pair between components, then whatever is still between components.
+    links = verified(best.select("a", "b").distinct(), texts, words, threshold)
+    tried = best.select("a", "b")
+    between = _apart(likely, components(links)).groupBy("ca", "cb").agg(F.max(F.struct("estimate", "a", "b")).alias("p"))
+    between = scratch(between.select("p.a", "p.b").join(tried, ["a", "b"], "left_anti"), "between")
+    links = links.unionByName(verified(between, texts, words, threshold))
+    rest = _apart(likely, components(links)).select("a", "b").join(tried.unionByName(between), ["a", "b"], "left_anti")
+    links = links.unionByName(verified(rest, texts, words, threshold))
     by_class = classes.join(components(links), "node", "left").select("cls", "rep", F.coalesce("component", "node").alias("component"))
     smallest = by_class.groupBy("component").agg(F.min("rep").alias("class_id"))
     final = scratch(by_class.join(smallest, "component").select("cls", "class_id"), "final")
     return members.join(final, "cls").select("doc_id", "class_id", F.col("doc_id").eqNullSafe(F.col("class_id")).alias("kept"))
 
 
+def _apart(pairs: DataFrame, joined: DataFrame) -> DataFrame:
+    """Pairs whose ends are in different components, with those as ``ca`` < ``cb``."""
+    side = [joined.select(F.col("node").alias(x), F.col("component").alias(f"_{x}")) for x in ("a", "b")]
+    found = pairs.join(side[0], "a", "left").join(side[1], "b", "left")
+    one, two = F.coalesce("_a", "a"), F.coalesce("_b", "b")
+    return found.where(one != two).select("a", "b", "estimate", F.least(one, two).alias("ca"), F.greatest(one, two).alias("cb"))
+
+
 def _texts_of(source: DataFrame, wanted: DataFrame) -> DataFrame:
     """Text of each wanted node; an id that repeats with another text is told apart by its hash.
 
