@@ -92,10 +92,10 @@ def nearest_aspect(w, h, sizes: Sequence[tuple[int, int]], unit: int = 16) -> Co
 
 
 def gcd(a, b) -> Column:
-    """Greatest common divisor of two positive integers (Euclid, 47 steps cover 32 bits)."""
+    """Greatest common divisor of two positive integers (Euclid; 92 steps cover 64 bits)."""
     a, b = col_of(a).cast("bigint"), col_of(b).cast("bigint")
     start = F.struct(a.alias("x"), b.alias("y"))
-    end = F.aggregate(F.sequence(F.lit(1), F.lit(48)), start, lambda s, _: F.when(
+    end = F.aggregate(F.sequence(F.lit(1), F.lit(92)), start, lambda s, _: F.when(
         s["y"] == 0, s).otherwise(F.struct(s["y"].alias("x"), F.pmod(s["x"], s["y"]).alias("y"))))
     return end["x"]
 

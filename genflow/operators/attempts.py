@@ -12,7 +12,6 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.attempts import RetryPolicy, effective_weight, hash_draw
 from ..functions.logs import error_family
-from .joins import broadcast_if_small, dimension_rows
 from .order import BLOCK, IN_BLOCK, before, block_positions, carry, in_blocks, positions, running
 
 WINDOW_SECONDS = 60
@@ -23,26 +22,29 @@ ORDER = ["ts", "event_id"]
 def assign_endpoints(tasks: DataFrame, endpoints: DataFrame, key: str = "index") -> DataFrame:
     """Weighted endpoint per task, drawn from a hash of the task key.
 
-    The same plan comes out of every run. Endpoints (``endpoint``, ``weight``)
-    are configuration, so the weight ranges become one expression: no join.
+    The same plan comes out of every run. Each endpoint (``endpoint``,
+    ``weight``) owns a range of draws; draws and ranges meet in slots of the
+    mean range's length, so a slot holds few ranges however many endpoints
+    there are.
     """
-    rows = sorted(dimension_rows(endpoints.select("endpoint", "weight")), key=lambda r: r["endpoint"])
-    total = sum(r["weight"] for r in rows)
+    size = endpoints.agg(F.sum("weight").alias("total"), F.count(F.lit(1)).alias("n")).first()
+    total = int(size["total"] or 0)
     if total < 1:
         raise ValueError("no endpoints configured")
-    draw = hash_draw(key, total)
-    upper, choice = 0, None
-    for r in rows:
-        upper += r["weight"]
-        hit = draw < upper
-        choice = F.when(hit, r["endpoint"]) if choice is None else choice.when(hit, r["endpoint"])
-    return tasks.withColumn("draw", draw).withColumn("endpoint", choice)
+    slot = max(1, total // size["n"])
+    # One row per endpoint: a configuration table, whatever the number of tasks.
+    upper = F.sum("weight").over(Window.orderBy("endpoint").rowsBetween(Window.unboundedPreceding, 0))
+    ranges = endpoints.select("endpoint", (upper - F.col("weight")).alias("_low"), upper.alias("_high")).where("_low < _high")
+    ranges = ranges.withColumn("_slot", F.explode(F.sequence(F.floor(F.col("_low") / slot), F.floor((F.col("_high") - 1) / slot))))
+    drawn = tasks.withColumn("draw", hash_draw(key, total)).withColumn("_slot", F.floor(F.col("draw") / slot))
+    hit = (drawn["_slot"] == ranges["_slot"]) & (F.col("draw") >= F.col("_low")) & (F.col("draw") < F.col("_high"))
+    return drawn.join(ranges, hit, "left").select(*tasks.columns, "draw", "endpoint")
 
 
 def rotate_keys(log: DataFrame, endpoints: DataFrame) -> DataFrame:
     """Key number each call uses: the k-th call on an endpoint takes key k mod n_keys."""
     placed = positions(log, ORDER, ["endpoint"], pos="call")
-    dim = broadcast_if_small(endpoints.select("endpoint", "n_keys"))
+    dim = endpoints.select("endpoint", "n_keys")
     keys = F.when(F.col("n_keys") > 0, F.pmod(F.col("call"), F.col("n_keys").cast("bigint")))
     return placed.join(dim, "endpoint", "left").withColumn("key_id", keys)
 
@@ -74,7 +76,7 @@ def _health(rows: DataFrame, endpoints: DataFrame | None, start: DataFrame | Non
     initial = F.lit(0).cast("bigint")
     if start is not None:
         # One row per endpoint ever seen.
-        state = broadcast_if_small(start.select("endpoint", F.col("errors").alias("_start")))
+        state = start.select("endpoint", F.col("errors").alias("_start"))
         rows = rows.join(state, "endpoint", "left")
         initial = F.coalesce(F.col("_start"), initial)
     total = initial + F.col("_s0") + F.col("_s")
@@ -82,7 +84,7 @@ def _health(rows: DataFrame, endpoints: DataFrame | None, start: DataFrame | Non
     out = rows.select(*columns, (total - low).alias("errors"))
     if endpoints is None:
         return out
-    dim = broadcast_if_small(endpoints.select("endpoint", "weight"))
+    dim = endpoints.select("endpoint", "weight")
     joined = out.join(dim, "endpoint", "left")
     return joined.withColumn("effective_weight", effective_weight("weight", "errors"))
 
@@ -100,10 +102,10 @@ def paced_schedule(requests: DataFrame, endpoints: DataFrame, start: DataFrame |
     columns = requests.columns
     rows = in_blocks(requests, ["endpoint", *ORDER], "pacing")
     rows = block_positions(rows, ["endpoint"], "call")
-    dim = broadcast_if_small(endpoints.select("endpoint", F.col("rate_limit").cast("bigint").alias("_rate")))
+    dim = endpoints.select("endpoint", F.col("rate_limit").cast("bigint").alias("_rate"))
     rows = rows.join(dim, "endpoint", "left").withColumn("_rate", F.coalesce(F.col("_rate"), F.lit(0).cast("bigint")))
     if start is not None:
-        done = broadcast_if_small(start.groupBy("endpoint").agg(F.max("calls").alias("_calls")))
+        done = start.groupBy("endpoint").agg(F.max("calls").alias("_calls"))
         rows = rows.join(done, "endpoint", "left").withColumn(
             "call", F.col("call") + F.coalesce(F.col("_calls"), F.lit(0))).drop("_calls")
     limited = F.col("_rate") > 0
@@ -119,7 +121,7 @@ def paced_schedule(requests: DataFrame, endpoints: DataFrame, start: DataFrame |
     high = F.greatest(F.col("_high"), F.col("_high0"))
     if start is not None:
         levels = start.select("endpoint", F.col("slot").alias("_slot"), F.col("level").alias("_level0"))
-        rows = rows.join(broadcast_if_small(levels), group, "left")
+        rows = rows.join(levels, group, "left")
         high = F.greatest(high, F.col("_level0"))
     send = F.when(limited, high + F.lit(step).cast("bigint") * F.col("_turn")).otherwise(F.col("_t"))
     return rows.select(*columns, "call", F.col("_slot").alias("slot"), F.col("_turn").alias("turn"),
@@ -158,7 +160,7 @@ def rate_audit(log: DataFrame, endpoints: DataFrame, window: int = WINDOW_SECOND
     rows = carry(rows, ["endpoint"], {"_sum": F.sum("d")},
                  {"_c0": F.coalesce(F.sum("_sum").over(before(["endpoint"])), F.lit(0))})
     counted = rows.where("sent").select("endpoint", F.col("at").alias("_t"), (F.col("_c0") + F.col("_c")).alias("in_window"))
-    dim = broadcast_if_small(endpoints.select("endpoint", F.col("rate_limit").cast("bigint").alias("rate_limit")))
+    dim = endpoints.select("endpoint", F.col("rate_limit").cast("bigint").alias("rate_limit"))
     limit = F.coalesce(F.col("rate_limit"), F.lit(0))
     # Unique on the right; a crowded send time on the left is split by AQE.
     return (

@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+import posixpath
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.images import image_cache_key, is_remote
+from ..sources.outputs import location
 from .joins import HOT_ROWS, salted_left_join
 
 FETCH_TIMEOUT = 30
+#: Bytes of images that one loading task holds before it hands them on.
+LOADED_BYTES = 16 << 20
 BLOB_SCHEMA = "key string, data binary, error string"
 
 
@@ -85,13 +89,36 @@ def _fetched(wanted: DataFrame, fetcher, timeout: int) -> DataFrame:
 
 
 def load_image_bytes(refs: DataFrame, root: str) -> DataFrame:
-    """Bytes of local references below ``root``; an unreadable one is an error row."""
-    spark = refs.sparkSession
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
-    files = files.select(F.regexp_replace("path", "^file:/+", "/").alias("key"), F.col("content").alias("data"))
+    """Bytes of local references below ``root``; an unreadable one is an error row.
+
+    Only the wanted files are opened, each by one task, whatever their names.
+    """
+    where = location(root)
+
+    def load(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from pyarrow.fs import FileSystem
+
+        fs, base = FileSystem.from_uri(where)
+        for batch in batches:
+            rows, held = [], 0
+            for key in batch["key"]:
+                path, data = posixpath.normpath(str(key).split("://", 1)[-1].removeprefix("file:")), None
+                if path.startswith(base.rstrip("/") + "/"):
+                    try:
+                        with fs.open_input_stream(path) as source:
+                            data = source.read()
+                    except OSError:
+                        pass
+                rows.append((key, data, None if data is not None else f"cannot read {key}"))
+                held += len(data or b"")
+                if held >= LOADED_BYTES:
+                    yield pd.DataFrame(rows, columns=["key", "data", "error"])
+                    rows, held = [], 0
+            if rows:
+                yield pd.DataFrame(rows, columns=["key", "data", "error"])
+
     wanted = refs.where(~is_remote(F.col("ref"))).select(F.col("ref").alias("key")).distinct()
-    return wanted.join(files, "key", "left").withColumn(
-        "error", F.when(F.col("data").isNull(), F.concat(F.lit("cannot read "), F.col("key"))))
+    return wanted.mapInPandas(load, BLOB_SCHEMA)
 
 
 def join_images(refs: DataFrame, blobs: DataFrame, key: str = "key", row: Sequence[str] = ("index", "ref_pos"),

@@ -6,42 +6,21 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-DIMENSION_ROWS = 10_000
 HOT_ROWS = 1_000_000
-HOT_KEYS = 1_000
 
 
-def broadcast_if_small(dim: DataFrame, limit: int = DIMENSION_ROWS) -> DataFrame:
-    """Broadcast a dimension after checking its size; a larger one is joined by shuffle."""
-    return F.broadcast(dim) if dim.limit(limit + 1).count() <= limit else dim
-
-
-def dimension_rows(dim: DataFrame, limit: int = DIMENSION_ROWS) -> list:
-    """Rows of a configuration table on the driver; more than ``limit`` is an error."""
-    rows = dim.limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"a configuration table may hold {limit} rows at most")
-    return rows
-
-
-def salted_left_join(left: DataFrame, right: DataFrame, key: str, salt_by: Sequence[str],
-                     hot_rows: int = HOT_ROWS, hot_keys: int = HOT_KEYS) -> DataFrame:
+def salted_left_join(left: DataFrame, right: DataFrame, key: str, salt_by: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
     """Left join on ``key`` with hot keys of the left side spread over several tasks.
 
-    Keys with more than ``hot_rows`` rows get ``rows / hot_rows`` salts, and
-    only their right rows are copied, once per salt. At most ``hot_keys`` keys
-    (the hottest) are salted; the others join as usual, so the result never
-    depends on either number. ``salt_by`` names columns that tell left rows
-    apart.
+    Every key with more than ``hot_rows`` rows gets ``rows / hot_rows`` salts,
+    and only its right rows are copied, once per salt. There are at most
+    ``rows / hot_rows`` such keys; Spark sends them to all tasks or joins them
+    by a shuffle, whichever their size allows. ``salt_by`` names columns that
+    tell left rows apart.
     """
     counts = left.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
-    hot = (
-        counts.where((F.col("_rows") > hot_rows) & F.col(key).isNotNull())
-        .orderBy(F.desc("_rows"), key).limit(hot_keys)
-        .select(key, F.ceil(F.col("_rows") / F.lit(hot_rows)).cast("int").alias("_salts"))
-    )
-    # Bounded by hot_keys rows through the limit above.
-    hot = F.broadcast(hot)
+    hot = counts.where((F.col("_rows") > hot_rows) & F.col(key).isNotNull()).select(
+        key, F.ceil(F.col("_rows") / F.lit(hot_rows)).cast("int").alias("_salts"))
     salted = left.join(hot, key, "left").withColumn(
         "_salt", F.coalesce(F.pmod(F.xxhash64(*salt_by), F.col("_salts")), F.lit(0)).cast("int"))
     copies = right.join(hot, key, "left").withColumn(

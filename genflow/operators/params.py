@@ -7,13 +7,12 @@ from pyspark.sql import DataFrame, functions as F
 from ..functions.models import (
     DEFAULT_CAPABILITY, DEFAULT_GUIDANCE, DEFAULT_STEPS, capability_table, edit_params, t2i_default_table, t2i_params,
 )
-from .joins import broadcast_if_small
 
 
 def with_capabilities(df: DataFrame, dim: DataFrame | None = None, model_type: str = "model_type") -> DataFrame:
     """Capability record of each model type; unknown types get the default record."""
     # The built-in table has a fixed handful of rows.
-    dim = F.broadcast(capability_table(df.sparkSession)) if dim is None else broadcast_if_small(dim)
+    dim = F.broadcast(capability_table(df.sparkSession)) if dim is None else dim
     names = [c for c in dim.columns if c != "model_type"]
     fallback = dict(zip(names, DEFAULT_CAPABILITY[1:]))
     joined = df.join(dim.withColumnRenamed("model_type", "_type"), F.col(model_type) == F.col("_type"), "left")

@@ -74,7 +74,7 @@ def plan_tasks(tasks: DataFrame, outputs: DataFrame | None, options: PlanOptions
     if options.model_col:
         sharded = with_capabilities(sharded, model_type=options.model_col)
         single = cannot_batch()
-    return pack_batches(sharded, options.batch_size, single)
+    return pack_batches(sharded, options.batch_size, single, options.model_col)
 
 
 def run_plan(plan: DataFrame, tasks: DataFrame, factory: Callable[[], Callable], output_dir: str, results_path: str,

@@ -2,16 +2,45 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+import posixpath
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyarrow.fs import FileSelector, FileSystem, FileType
+from pyspark.sql import DataFrame, SparkSession
+
+
+def location(path: str) -> str:
+    """A folder as a file system URI."""
+    return path if "://" in path else "file://" + posixpath.abspath(path.removeprefix("file:"))
+
+
+def _below(root: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fs, base = FileSystem.from_uri(root)
+        for batch in batches:
+            for name in batch.column(0).to_pylist():
+                found = fs.get_file_info(FileSelector(posixpath.join(base, name), recursive=True))
+                names = [f.path[len(base.rstrip("/")) + 1:] for f in found if f.type == FileType.File]
+                yield pa.RecordBatch.from_arrays([pa.array(names, pa.string())], names=["path"])
+    return run
 
 
 def list_outputs(spark: SparkSession, output_dir: str) -> DataFrame:
-    """Relative path of every file below ``output_dir``; contents are not read."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(output_dir)
-    root = output_dir.split("://", 1)[-1].removeprefix("file:").rstrip("/") + "/"
-    # Everything behind the first place the folder's own path ends.
-    start = F.locate(root, F.col("path")) + len(root)
-    return files.select(F.substring("path", start, F.length("path")).alias("path"))
+    """Relative path of every file below ``output_dir``, whatever its name; contents are not read.
+
+    The driver lists the folder itself; each folder in it is listed by a task,
+    so the listing spreads over the workers.
+    """
+    root = location(output_dir)
+    fs, base = FileSystem.from_uri(root)
+    top = fs.get_file_info(FileSelector(base, recursive=False))
+    files = spark.createDataFrame([(f.base_name,) for f in top if f.type == FileType.File], "path string")
+    folders = [(f.base_name,) for f in top if f.type == FileType.Directory]
+    if not folders:
+        return files
+    names = spark.createDataFrame(folders, "name string").repartition(min(len(folders), 1000))
+    return files.unionByName(names.mapInArrow(_below(root), "path string"))
 
 
 def read_manifest(spark: SparkSession, *paths: str) -> DataFrame:

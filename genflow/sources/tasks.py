@@ -3,16 +3,17 @@
 from __future__ import annotations
 
 import warnings
+from functools import reduce
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ..functions.naming import drop_blank, with_index
 from ..functions.text import strict_json, strip
-from ..operators.joins import broadcast_if_small
 from ..storage import stored
 
 PROMPT_FIELDS = ("prompt", "negative_prompt", "height", "width")
-FILES_TO_BROADCAST = 1_000_000
 
 
 def _suffix(path: str) -> str:
@@ -20,6 +21,59 @@ def _suffix(path: str) -> str:
     return name[name.rfind("."):].lower() if "." in name else ""
 
 
+def _parquet_files(spark: SparkSession, path: str) -> list[str]:
+    """The Parquet files directly inside a folder, as the driver lists them anyway; hidden names are refused.
+
+    Spark passes over names that start with ``_`` or ``.`` without a word.
+    """
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    statuses = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(folder)
+    files = [s.getPath() for s in statuses if s.getPath().getName().lower().endswith(".parquet")]
+    hidden = sorted(f.getName() for f in files if f.getName()[0] in "_.")
+    if hidden:
+        raise ValueError(f"Spark does not read files that start with '_' or '.': {', '.join(hidden[:5])} in {path}; rename them")
+    if not files:
+        raise FileNotFoundError(f"no *.parquet file in {path}")
+    return sorted(f.toString() for f in files)
+
+
+def _parquet(spark: SparkSession, path: str, index: str) -> DataFrame:
+    """All columns of all files, with ``_file`` and ``_row``.
+
+    A column that some files lack is null there. Files whose index has another
+    type are read apart and meet the others as text, to be cast row by row;
+    any other conflict of types is an error that names the column.
+    """
+    def placed(*paths):
+        df = spark.read.option("mergeSchema", True).parquet(*paths)
+        return df.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+
+    if _suffix(path) == ".parquet":
+        if path.rstrip("/").rsplit("/", 1)[-1][0] in "_.":
+            raise ValueError(f"Spark does not read files that start with '_' or '.': {path}; rename it")
+        return placed(path)
+    files = _parquet_files(spark, path)
+    try:
+        return placed(*files)
+    except (PySparkException, Py4JJavaError) as error:
+        if "MERGE" not in str(error).upper():  # else two types of one column
+            raise
+    kinds: dict[tuple, list[str]] = {}
+    for file in files:
+        kinds.setdefault(tuple(spark.read.parquet(file).dtypes), []).append(file)
+    types: dict[str, set[str]] = {}
+    for kind in kinds:
+        for name, of in kind:
+            types.setdefault(name, set()).add(of)
+    clash = sorted(n for n, of in types.items() if n != index and len(of) > 1)
+    if clash:
+        raise ValueError(f"columns with different types in the files of {path}: {', '.join(clash)}")
+    parts = [placed(*paths) for paths in kinds.values()]
+    parts = [p.withColumn(index, F.col(index).cast("string")) if index in p.columns else p for p in parts]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
 def read_tasks_parquet(spark: SparkSession, path: str, index_only: bool = False, name_col: str | None = None,
                        index: str = "index") -> DataFrame:
     """One Parquet file, or every ``*.parquet`` directly inside a folder.
@@ -28,14 +82,10 @@ def read_tasks_parquet(spark: SparkSession, path: str, index_only: bool = False,
     position in file name, then row order). Rows whose index is not an integer
     are skipped; a table without the column uses the position instead.
     """
-    pattern = path if _suffix(path) == ".parquet" else path.rstrip("/") + "/*.parquet"
-    df = spark.read.parquet(pattern)
+    df = _parquet(spark, path, index)
     has_index = index in df.columns
     if index_only:
-        df = df.select(*[c for c in (index, name_col) if c and c in df.columns],
-                       *[F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row")])
-    else:
-        df = df.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+        df = df.select(*[c for c in (index, name_col) if c and c in df.columns], "_file", "_row")
     df = with_file_positions(df)
     if has_index:
         return with_index(df, index)
@@ -54,14 +104,13 @@ def with_file_positions(df: DataFrame) -> DataFrame:
     starts = files.select("_file", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_start"))
     # Stored, so that the footers are read for it once.
     starts = stored(starts, "files")
-    joined = df.join(broadcast_if_small(starts, FILES_TO_BROADCAST), "_file")
+    joined = df.join(starts, "_file")
     return joined.select(*df.columns, (F.col("_start") + F.col("_row")).alias("_pos"))
 
 
 def read_parquet_dir_reindexed(spark: SparkSession, path: str) -> DataFrame:
     """All rows of a folder with ``index`` replaced by the position over all files."""
-    df = spark.read.parquet(path if _suffix(path) == ".parquet" else path.rstrip("/") + "/*.parquet")
-    df = df.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+    df = _parquet(spark, path, "index")
     return with_file_positions(df).withColumn("index", F.col("_pos"))
 
 
@@ -87,6 +136,8 @@ def _numbered(df: DataFrame) -> DataFrame:
 def read_tasks_csv(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
     """CSV with a header; all text, ``index`` an integer or the row number when absent.
 
+    An index that is no integer is an error that names file and record.
+
     Quoted line breaks need ``multiline``, which reads each file in one task;
     turn it off for large files without them.
     """
@@ -95,7 +146,11 @@ def read_tasks_csv(spark: SparkSession, path: str, multiline: bool = True) -> Da
     df = df.select(*[F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) for c in df.columns], "_metadata")
     named = df.columns[:-1]
     rows = _numbered(df).drop("_metadata")
-    return with_index(rows, "index", fallback="_pos" if "index" not in named else None)
+    if "index" not in named:
+        return with_index(rows, "index", fallback="_pos")
+    value = strip("index").try_cast("bigint")
+    return rows.withColumn("index", F.coalesce(value, F.raise_error(F.concat(
+        F.lit("index is no integer in "), F.col("_file"), F.lit(", record "), F.col("_row").cast("string"))).cast("bigint")))
 
 
 def read_prompts_csv(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:

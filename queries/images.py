@@ -66,8 +66,7 @@ def _(t):
     text = F.expr("""concat('before ', case page_id % 4 when 0 then concat('DATA:image/JPEG;base64,', base64(encode(url, 'UTF-8')), ')')
         when 1 then concat('data:image/webp;base64,', base64(encode(url, 'UTF-8')), '\\n ! data:image/png;base64,eHg=')
         when 2 then 'data:image/png;base64,abcde' else 'data:image/gif;base64,eHg=' end, html)""")
-    cut = F.when(F.col("page_id") % 4 < 2, F.split(text, r"\)|!", 2)[0]).otherwise(text)
-    return t.read("pages").select("page_id", F.md5(extract_data_url(cut)).alias("image"))
+    return t.read("pages").select("page_id", F.md5(extract_data_url(text)).alias("image"))
 
 
 _REPLY = """case page_id % 6

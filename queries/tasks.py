@@ -293,19 +293,27 @@ query("g3_shard_balanced", sql("tasks outputs", f"""
       select *, ntile(4) over (partition by node order by pos) - 1 as process from (
         select *, ntile(3) over (order by pos) - 1 as node from ({PLACED})))"""))(_sharded(shard_balanced))
 
-_BATCHED = f"""select *, loc // width as batch, (n + width - 1) // width as batches from (
-    select *, row_number() over (partition by node, process order by pos) - 1 as loc,
-      count(*) over (partition by node, process) as n,
+# Batches by plain row numbers inside (node, process, model), models in order.
+_BATCHED = f"""select p.*, o.first_batch + p.loc // p.width as batch, o.batches from (
+    select *, row_number() over (partition by node, process, model_type order by pos) - 1 as loc,
       case when model_type in ('qwen', 'longcat', 'flux2') then 1 else 8 end as width from (
       select *, ntile(4) over (partition by node order by pos) - 1 as process from (
-        select *, ntile(3) over (order by pos) - 1 as node from ({PLACED}))))"""
+        select *, ntile(3) over (order by pos) - 1 as node from ({PLACED})))) p
+    join (select node, process, model_type,
+        cast(coalesce(sum(own) over (partition by node, process order by model_type rows between unbounded preceding and 1 preceding), 0) as bigint)
+          as first_batch,
+        cast(sum(own) over (partition by node, process) as bigint) as batches from (
+      select node, process, model_type, case when model_type in ('qwen', 'longcat', 'flux2') then count(*) else (count(*) + 7) // 8 end as own from (
+        select *, ntile(4) over (partition by node order by pos) - 1 as process from (
+          select *, ntile(3) over (order by pos) - 1 as node from ({PLACED}))) group by node, process, model_type)) o
+    on p.node = o.node and p.process = o.process and p.model_type = o.model_type"""
 
 
 @query("g4_pack_batches", sql("tasks outputs", f"""select index, node, process, batch, batches,
     concat('batch ', batch + 1, '/', batches) as batch_label from ({_BATCHED})"""))
 def _(t):
     sharded = with_capabilities(shard_balanced(source_positions(left_over(t)), 3, 4))
-    return pack_batches(sharded, 8, cannot_batch()).select(
+    return pack_batches(sharded, 8, cannot_batch(), "model_type").select(
         "index", "node", "process", "batch", "batches", "batch_label")
 
 

@@ -1,3 +1,5 @@
+from bisect import bisect_right
+from itertools import accumulate
 """Positions, shards and attempt analytics against plain loops, with hot keys and small blocks."""
 
 import random
@@ -13,7 +15,7 @@ from genflow.operators.attempts import (
     assign_endpoints, attempt_numbers, endpoint_health, health_state, paced_schedule, pacing_state, rate_audit,
     resolve_attempts, rotate_keys,
 )
-from genflow.operators.joins import dimension_rows, salted_left_join
+from genflow.operators.joins import salted_left_join
 from genflow.operators.order import BLOCK, dedupe_index, in_blocks, positions, source_positions
 from genflow.operators.shards import pack_batches, pack_shared_image, shard_balanced, shard_ceil
 
@@ -113,7 +115,25 @@ def test_batches(spark):
     assert [r["batch"] for r in rows] == [0] * 4 + [1] * 4 + [2] * 2
     assert rows[9]["batch_label"] == "batch 3/3"
     alone = pack_batches(df, 4, F.lit(True)).orderBy("shard_pos").collect()
-    assert [r["batch"] for r in alone] == list(range(10))
+    assert [r["batch"] for r in alone] == [0] * 4 + [1] * 4 + [2] * 2  # without a model there is nothing to keep apart
+
+
+def test_batches_hold_one_model_and_at_most_its_width(spark, many_small_blocks):
+    df = spark.range(600).selectExpr(
+        "id % 2 as node", "id % 3 as process", "id as _at0", "case id % 7 when 0 then 'one' when 1 then null when 2 then 'two' else 'many' end as m")
+    df = df.selectExpr("*", "row_number() over (partition by node, process order by _at0) - 1 as shard_pos", "100 as shard_size")
+    rows = pack_batches(df, 4, F.col("m") == "one", "m").collect()
+    batches = defaultdict(list)
+    totals = defaultdict(set)
+    for r in rows:
+        batches[r["node"], r["process"], r["batch"]].append(r["m"])
+        totals[r["node"], r["process"]].add(r["batches"])
+    assert len(rows) == 600 and all(len(t) == 1 for t in totals.values())
+    for held in batches.values():
+        assert len(set(held)) == 1 and len(held) <= (1 if held[0] == "one" else 4)
+    for (node, process), total in totals.items():
+        mine = sorted(b for n, p, b in batches if (n, p) == (node, process))
+        assert mine == list(range(total.pop()))
 
 
 def test_shared_image_batches_never_mix(spark, many_small_blocks):
@@ -243,15 +263,26 @@ def test_dedupe(spark):
     assert {(r["index"], r["v"]) for r in dedupe_index(rows, "last").collect()} == {(1, "b"), (2, "c")}
 
 
-@pytest.mark.parametrize("hot_rows,hot_keys", [(1, 1), (10, 2), (1000, 1000)])
-def test_salted_join_is_a_left_join(spark, hot_rows, hot_keys):
+@pytest.mark.parametrize("hot_rows", [1, 10, 1000])
+def test_salted_join_is_a_left_join(spark, hot_rows):
     left = spark.createDataFrame([(i, "hot" if i % 2 else ("warm" if i % 3 else f"k{i}")) for i in range(300)] + [(999, None)], "i long, key string")
     right = spark.createDataFrame([("hot", "H"), ("warm", "W"), ("k0", "0"), ("unused", "U")], "key string, v string")
-    got = salted_left_join(left, right, "key", ["i"], hot_rows, hot_keys).select("i", "key", "v")
+    got = salted_left_join(left, right, "key", ["i"], hot_rows).select("i", "key", "v")
     want = left.join(right, "key", "left").select("i", "key", "v")
     assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
 
 
-def test_configuration_tables_are_bounded(spark):
-    with pytest.raises(ValueError, match="at most"):
-        dimension_rows(spark.range(11), limit=10)
+def test_every_hot_key_is_salted(spark):
+    left = spark.range(20_000).selectExpr("id as i", "id % 5000 as key")
+    right = spark.range(5000).selectExpr("id as key", "id * 2 as v")
+    got = salted_left_join(left, right, "key", ["i"], hot_rows=3)
+    assert got.where("v = key * 2").count() == 20_000
+
+
+def test_many_endpoints(spark):
+    dim_ = spark.range(50_000).selectExpr("id as endpoint", "id % 4 as weight")
+    rows = assign_endpoints(spark.range(20_000).withColumnRenamed("id", "index"), dim_)
+    upper = list(accumulate(i % 4 for i in range(50_000)))
+    got = rows.collect()
+    assert len(got) == 20_000
+    assert all(r["endpoint"] == bisect_right(upper, r["draw"]) for r in got)

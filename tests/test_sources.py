@@ -222,3 +222,64 @@ def test_image_headers(spark):
     assert [tuple(r) for r in rows] == [
         ("PNG", 10, 20), ("PNG", 1, 1), ("PNG", 4096, 16), (None, None, None), (None, None, None), (None, None, None),
         (None, None, None), ("WEBP", 10, 20), ("WEBP", 100, 50), ("WEBP", 33, 44), ("JPEG", 30, 20)]
+
+
+def _write(spark, path, sql):
+    spark.sql(sql).coalesce(1).write.mode("overwrite").parquet(str(path) + ".tmp")
+    import glob
+    import shutil
+
+    shutil.copy(glob.glob(str(path) + ".tmp/part-*.parquet")[0], path)
+
+
+def test_a_column_of_later_files_is_kept(spark, tmp_path):
+    folder = tmp_path / "tasks"
+    folder.mkdir()
+    _write(spark, folder / "a.parquet", "select 1L as index, 'x' as instruction")
+    _write(spark, folder / "b.parquet", "select 2L as index, 'y' as instruction, 'out/b.png' as output_path")
+    rows = {r["index"]: r["output_path"] for r in read_tasks_parquet(spark, str(folder)).collect()}
+    assert rows == {1: None, 2: "out/b.png"}
+    assert [r["output_path"] for r in read_parquet_dir_reindexed(spark, str(folder)).orderBy("index").collect()] == [None, "out/b.png"]
+
+
+def test_a_text_index_is_cast_row_by_row(spark, tmp_path):
+    folder = tmp_path / "tasks"
+    folder.mkdir()
+    _write(spark, folder / "a.parquet", "select 1L as index, 'x' as instruction")
+    _write(spark, folder / "b.parquet", "select * from values ('7', 'y'), ('bad', 'z') as t(index, instruction)")
+    assert sorted(r["index"] for r in read_tasks_parquet(spark, str(folder)).collect()) == [1, 7]
+    _write(spark, folder / "c.parquet", "select 3L as index, 4 as instruction")
+    with pytest.raises(ValueError, match="instruction"):
+        read_tasks_parquet(spark, str(folder))
+
+
+@pytest.mark.parametrize("name", ["_c.parquet", ".c.parquet"])
+def test_hidden_files_are_refused_by_name(spark, tmp_path, name):
+    folder = tmp_path / "tasks"
+    folder.mkdir()
+    _write(spark, folder / "a.parquet", "select 1L as index")
+    (folder / name).write_bytes((folder / "a.parquet").read_bytes())
+    with pytest.raises(ValueError, match=name):
+        read_tasks_parquet(spark, str(folder))
+    with pytest.raises(ValueError, match=name):
+        read_tasks_parquet(spark, str(folder / name))
+
+
+@pytest.mark.parametrize("index", ["", "x1"])
+def test_a_bad_csv_index_is_an_error(spark, tmp_path, index):
+    path = tmp_path / "tasks.csv"
+    path.write_text(f"index,instruction\n1,a\n{index},b\n")
+    with pytest.raises(Exception, match="record 1"):
+        read_tasks_csv(spark, str(path)).select("index").collect()
+
+
+def test_outputs_and_images_below_hidden_folders(spark, tmp_path):
+    names = ["a.png", "_drafts/b.png", ".h/c.png", "x/_d.png", "x/e f.png", "x/.y/z/g.png"]
+    for name in names:
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_bytes(name.encode())
+    assert sorted(r["path"] for r in list_outputs(spark, str(tmp_path)).collect()) == sorted(names)
+    refs = spark.createDataFrame([(str(tmp_path / n),) for n in [*names, "none.png"]] + [("/etc/hostname",)], "ref string")
+    got = {r["key"]: r for r in load_image_bytes(refs, str(tmp_path)).collect()}
+    assert all(bytes(got[str(tmp_path / n)]["data"]) == n.encode() for n in names)
+    assert got[str(tmp_path / "none.png")]["error"].startswith("cannot read") and got["/etc/hostname"]["data"] is None
