@@ -20,7 +20,10 @@ from genflow.operators.shards import (
 from genflow.plans.job import PlanOptions, plan_tasks
 from genflow.sinks.blobs import write_named_blobs
 from genflow.sinks.results import merge_results, read_progress, result_columns, save_progress, shard_suffix
-from genflow.sources.tasks import read_parquet_dir_reindexed, read_tasks_parquet
+from genflow.operators.images import load_image_bytes
+from genflow.sources.logs import read_worker_logs
+from genflow.sources.outputs import list_outputs
+from genflow.sources.tasks import read_parquet_dir_reindexed, read_prompts, read_tasks, read_tasks_parquet
 from genflow.storage import new_path, stored
 
 from .catalog import Tables, query, sql
@@ -79,6 +82,95 @@ def _(t):
     return read_parquet_dir_reindexed(t.spark, t.path("orders")).select("index", "o_orderkey", "o_custkey")
 
 
+def written(t: Tables, label: str, save) -> str:
+    """A new place in the shared folder that ``save`` has written to."""
+    path = new_path(t.spark, label)
+    save(path)
+    return path
+
+
+def _csv(df, path: str) -> None:
+    df.write.csv(path, header=True, quote='"', escape='"', emptyValue='""', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+
+
+@query("a2_read_tasks_csv", "select doc_id as index, lang, md5(text) as text_md5 from documents")
+def _(t):
+    # The texts hold quoted line breaks, commas and quotes.
+    rows = t.read("documents").select(F.col("doc_id").alias("index"), "lang", "text")
+    df = read_tasks(t.spark, written(t, "csv", lambda path: _csv(rows, path)), "csv")
+    return df.select("index", "lang", F.md5("text").alias("text_md5"))
+
+
+@query("a6_read_prompts_csv", "select page_id as index, url as prompt, html as extra from pages")
+def _(t):
+    rows = t.read("pages").select(F.col("page_id").alias("index"), F.col("url").alias("prompt"), F.col("html").alias("extra"))
+    return read_prompts(t.spark, written(t, "csv", lambda path: _csv(rows, path)), "csv").select("index", "prompt", "extra")
+
+
+_PROMPTS = ["conv_id * 1000 + turn as index", "text as prompt", "role as negative_prompt", "cast(turn as integer) as height"]
+
+
+@query("a3_read_prompts_jsonl", f"select {', '.join(_PROMPTS)} from conversations")
+def _(t):
+    rows = t.read("conversations").selectExpr(*_PROMPTS)
+    df = read_prompts(t.spark, written(t, "jsonl", rows.write.json), "jsonl")
+    return df.select("index", "prompt", "negative_prompt", "height")
+
+
+@query("a4_read_prompts_json", f"select {', '.join(_PROMPTS)} from conversations")
+def _(t):
+    # An array per file, of some dozen conversations each.
+    rows = t.read("conversations").selectExpr(*_PROMPTS, "conv_id div 50 as part")
+    arrays = rows.groupBy("part").agg(F.to_json(F.collect_list(F.struct("index", "prompt", "negative_prompt", "height"))).alias("value"))
+    path = written(t, "json", lambda path: arrays.write.partitionBy("part").text(path))
+    return read_prompts(t.spark, path, "json").select("index", "prompt", "negative_prompt", "height")
+
+
+@query("a5_read_prompts_txt", """select trim(line) as prompt from (
+    select unnest(string_split(text, chr(10))) as line from conversations) where trim(line) <> ''""")
+def _(t):
+    # A text file has no other row ends than those of the texts.
+    path = written(t, "txt", t.read("conversations").select("text").write.text)
+    return read_prompts(t.spark, path, "txt").select("prompt")
+
+
+_FILE = """concat(case page_id % 4 when 0 then '_drafts/' when 1 then '.h/' when 2 then 'x/_' else 'x/y/' end,
+    page_id, case page_id % 3 when 0 then ' a.html' else '.html' end)"""
+
+
+def _named_files(t: Tables) -> str:
+    files = t.read("pages").selectExpr(f"{_FILE} as path", "encode(html, 'UTF-8') as data")
+    return written(t, "files", lambda path: stored(write_named_blobs(files, path), "manifest"))
+
+
+@query("a10_list_outputs", f"select {_FILE} as path from pages")
+def _(t):
+    return list_outputs(t.spark, _named_files(t))
+
+
+@query("a11_load_image_bytes", f"""select page_id, md5(html) as bytes_md5, null::varchar as error from pages
+    union all select page_id + 1000000000, null, 'cannot read' from pages""")
+def _(t):
+    root = _named_files(t)
+    local = root.split("://", 1)[-1].removeprefix("file:")
+    refs = t.read("pages").selectExpr("page_id", f"concat('{local}/', {_FILE}) as ref")
+    missing = refs.selectExpr("page_id + 1000000000 as page_id", "concat(ref, '.gone') as ref")
+    refs = refs.unionByName(missing)
+    loaded = load_image_bytes(refs, root)
+    return refs.join(loaded, refs["ref"] == loaded["key"]).select(
+        "page_id", F.md5("data").alias("bytes_md5"), F.substring("error", 1, 11).alias("error"))
+
+
+@query("a13_read_worker_logs", sql("log", """select cast(event_id // 1000 % 3 as integer) as node, cast(event_id // 1000 as integer) as file_process,
+    cast(event_id % 4 as integer) as process, concat('Saved: ', event_id, '.png') as message, 'saved' as kind from log"""))
+def _(t):
+    # A thousand lines per file.
+    lines = t.log().selectExpr("event_id", "line", "concat('node', event_id div 1000 % 3, '_process', event_id div 1000, '.log') as path")
+    files = lines.groupBy("path").agg(F.encode(F.array_join(F.sort_array(F.collect_list("line")), "\n"), "UTF-8").alias("data"))
+    folder = written(t, "logs", lambda path: stored(write_named_blobs(files, path), "manifest"))
+    return read_worker_logs(t.spark, folder).select("node", "file_process", "process", "message", "kind")
+
+
 # ---- names ---------------------------------------------------------------
 
 _RAW_INDEX = """case doc_id % 5 when 0 then concat(doc_id, '') when 1 then concat(' ', doc_id, ' ')
