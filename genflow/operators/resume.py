@@ -50,7 +50,8 @@ def lookup_index(tasks: DataFrame, value: int, index: str = "index", pos: str =
 
 def attach_rows(wanted: DataFrame, rows: DataFrame, index: str = "index", pos: str = "_pos") -> DataFrame:
     """Each wanted index with its row (the last copy wins) or a reason why there is none."""
-    last = dedupe_index(rows, "last", index, pos).withColumn("_found", F.lit(True))
+    # Only wanted rows are sorted out and moved.
+    last = dedupe_index(load_rows(rows, wanted, index), "last", index, pos).withColumn("_found", F.lit(True))
     extra = [c for c in wanted.columns if c != index]
     columns = [c for c in rows.columns if c not in (index, *extra)]
     joined = wanted.join(last.select(index, "_found", *columns), index, "left")

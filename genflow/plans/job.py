@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.naming import expected_output
-from ..operators.order import source_positions
+from ..operators.order import positions, source_positions
 from ..operators.params import with_capabilities
 from ..operators.resume import filter_rows, pending
 from ..operators.scoring import ERROR, score_batches
@@ -57,6 +58,7 @@ def plan_tasks(tasks: DataFrame, outputs: DataFrame | None, options: PlanOptions
     What is left is stored before it is counted and numbered, so outputs that
     appear meanwhile cannot shift positions and names are made once.
     """
+    from_files = "_file" in tasks.columns and "_row" in tasks.columns
     tasks = located(tasks)
     if options.rows:
         tasks = filter_rows(tasks, options.rows)
@@ -68,7 +70,12 @@ def plan_tasks(tasks: DataFrame, outputs: DataFrame | None, options: PlanOptions
     else:
         named = tasks.withColumn("_at_row", F.col("_row")).withColumn("expected", expected_output("index", options.name_col, options.n))
     left = named if outputs is None else pending(named, outputs, resume=options.resume)
-    placed = source_positions(stored(left.drop("_pos"), "left"), row="_at_row").drop("_at_row")
+    left = stored(left.drop("_pos"), "left")
+    if from_files:
+        placed = source_positions(left, row="_at_row").drop("_at_row")
+    else:  # any index, in any order, repeated or missing: equal rows are told apart by what they hold
+        tied = left.withColumn("_tie", F.xxhash64(*left.columns))
+        placed = positions(tied, ["_at_row", "_tie"], pos="_pos", size="_total").drop("_at_row", "_tie")
     sharded = SHARD_RULES[options.rule](placed, options.nodes, options.procs)
     single = None
     if options.model_col:
@@ -78,24 +85,29 @@ def plan_tasks(tasks: DataFrame, outputs: DataFrame | None, options: PlanOptions
 
 
 def run_plan(plan: DataFrame, tasks: DataFrame, factory: Callable[[], Callable], output_dir: str, results_path: str,
-             batch_size: int = 1, columns: Sequence[str] = (), threads: int = 1) -> DataFrame:
+             batch_size: int = 1, columns: Sequence[str] = (), threads: int = 1, chunk_rows: int = 100_000) -> DataFrame:
     """Score a stored plan, save the images, and return one result row per plan row.
 
-    Plan several images per task with ``strict``, one row each. The scorer's dicts carry ``image`` bytes. Scores are written before
-    anything reads them a second time, so a later failure never repeats calls.
+    Plan several images per task with ``strict``, one row each. The scorer's dicts carry ``image`` bytes. Whole
+    batches are dealt into chunks of about ``chunk_rows`` rows; each chunk is scored, written, saved and recorded in the
+    manifest before the next one starts. After a failure plan again against the manifest: recorded rows are not
+    called again. Every run has a folder of its own below ``scores``, so no run touches another's.
     """
     spark = plan.sparkSession
     keys = ["index", "expected", *(["sub"] if "sub" in plan.columns else [])]
     batch = ["node", "process", "batch"]
     wide = located(tasks).select("_file", "_row", *columns)
     work = plan.select(*keys, "_file", "_row", *batch).join(wide, ["_file", "_row"])
-    scored_path = results_path.rstrip("/") + "/scores"
-    scores = score_batches(work, factory, "image binary", batch_size, [*keys, "_file", "_row"], batch, threads)
-    scores.write.mode("overwrite").parquet(scored_path)
-    scores = spark.read.parquet(scored_path)
-    manifest_path = results_path.rstrip("/") + "/manifest"
-    write_named_blobs(scores.where(F.col(ERROR).isNull()), output_dir, "expected", "image").write.mode("append").parquet(
-        manifest_path)
+    manifest_path, run_path = results_path.rstrip("/") + "/manifest", f"{results_path.rstrip('/')}/scores/{uuid.uuid4().hex}"
+    chunks = max(1, -(-plan.count() // chunk_rows))
+    for chunk in range(chunks):
+        mine = work.where(F.pmod(F.xxhash64(*batch), F.lit(chunks)) == chunk)
+        made = score_batches(mine, factory, "image binary", batch_size, [*keys, "_file", "_row"], batch, threads)
+        scored_path = f"{run_path}/{chunk}"
+        made.write.parquet(scored_path)
+        saved = write_named_blobs(spark.read.parquet(scored_path).where(F.col(ERROR).isNull()), output_dir, "expected", "image")
+        saved.write.mode("append").parquet(manifest_path)
+    scores = spark.read.parquet(*[f"{run_path}/{chunk}" for chunk in range(chunks)])
     # The manifest also holds earlier runs: a path is saved once any of them saved it.
     written = F.count_if(F.col("error").isNull()) > 0
     saved = spark.read.parquet(manifest_path).groupBy("path").agg(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Sequence
 from functools import reduce
 
@@ -42,16 +43,17 @@ def merge_results(frames: Sequence[DataFrame]) -> DataFrame:
 
 
 def save_progress(df: DataFrame, path: str, run_id: str, key: Sequence[str] = ("run_id", "index")) -> None:
-    """Append finished rows of a run; :func:`read_progress` makes repeats harmless."""
-    df.withColumn("run_id", F.lit(run_id)).write.mode("append").partitionBy("run_id").parquet(path)
+    """Append finished rows of a run; :func:`read_progress` takes the latest save of a row."""
+    df.withColumn("run_id", F.lit(run_id)).withColumn("_saved", F.lit(time.time_ns())).write.mode("append").partitionBy("run_id").parquet(path)
 
 
 def read_progress(spark, path: str, key: Sequence[str] = ("run_id", "index")) -> DataFrame:
-    """Finished rows, one per (run, index), however often a step was repeated."""
-    df = spark.read.parquet(path)
-    rest = [c for c in df.columns if c not in key]
-    row = F.struct(*rest)
-    return df.groupBy(*key).agg(F.any_value(row).alias("_row_kept")).select(*key, "_row_kept.*")
+    """Finished rows, one per (run, index): the latest save, so that every read gives the same rows."""
+    df = spark.read.option("mergeSchema", True).parquet(path)
+    rest = [c for c in df.columns if c not in (*key, "_saved")]
+    # Two rows of one save are told apart by what they hold.
+    order = F.struct("_saved", F.xxhash64(*rest))
+    return df.groupBy(*key).agg(F.max_by(F.struct(*rest), order).alias("_row_kept")).select(*key, "_row_kept.*")
 
 
 AUDIT_COLUMNS = ("ts", "model", "n_images", "original", "enhanced", "raw", "error", "mode", "temperature")

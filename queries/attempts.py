@@ -40,7 +40,7 @@ def _(t):
     return t.read("lineitem").select("l_orderkey", "l_linenumber", hash_draw("l_orderkey", 97).alias("draw"))
 
 
-@query("f3_run_summary", sql("log", "select count(*) filter (where ok) as successful, count(*) filter (where not ok) as failed, 1 as exit_code from log"))
+@query("f3_run_summary", sql("log", "select count(*) filter (where ok) as successful, count(*) filter (where not ok) as failed, case when bool_and(ok) then 0 else 1 end as exit_code from log"))
 def _(t):
     return run_summary(log(t), F.col("ok"))
 

@@ -20,6 +20,7 @@ from genflow.plans.job import PlanOptions, plan_tasks, run_plan
 from genflow.sources.outputs import list_outputs, read_manifest
 from genflow.sources.requests import parse_request
 from genflow.sources.tasks import read_prompts_jsonl, read_tasks_parquet, single_prompt
+from genflow.storage import stored
 
 
 def test_batch_then_single():
@@ -206,3 +207,44 @@ def test_request_checks(spark):
     ok, bad = validate_requests(df, mode="edit")
     assert ok.where("kind = 't2i'").count() == 0 and ok.count() + bad.count() == len(BODIES)
     assert bad.where("kind = 't2i' and _status = 400").count() == 2
+
+
+def test_a_failed_run_repeats_no_recorded_call(spark, tmp_path):
+    calls = tmp_path / "calls"
+    calls.mkdir()
+    tasks = spark.range(40).selectExpr("id as index", "concat('p', id) as prompt")
+    out, results = str(tmp_path / "out"), str(tmp_path / "results")
+
+    def painter(broken):
+        def factory():
+            def paint(rows):
+                for row in rows:
+                    if broken and row["prompt"] == "p17":
+                        raise SystemExit("the worker dies")
+                    with open(calls / row["prompt"], "a") as log:
+                        log.write("x")
+                return [{"image": row["prompt"].encode()} for row in rows]
+            return paint
+        return factory
+
+    def left():
+        done = read_manifest(spark, results + "/manifest") if (tmp_path / "results" / "manifest").exists() else None
+        return stored(plan_tasks(tasks, done, PlanOptions(batch_size=2)), "plan")
+
+    with pytest.raises(Exception, match=""):
+        run_plan(left(), tasks, painter(True), out, results, 2, ["prompt"], chunk_rows=5)
+    recorded = {r["path"] for r in read_manifest(spark, results + "/manifest").collect()} if (tmp_path / "results" / "manifest").exists() else set()
+    before = {p.name: len(p.read_text()) for p in calls.iterdir()}
+    rows = run_plan(left(), tasks, painter(False), out, results, 2, ["prompt"], chunk_rows=5)
+    assert rows.count() == 40 - len(recorded) and rows.where("output_image is null").count() == 0
+    after = {p.name: len(p.read_text()) for p in calls.iterdir()}
+    again = {f"p{int(path.split('.')[0])}" for path in recorded}
+    assert len(after) == 40 and all(after[p] == before[p] for p in again)
+
+
+@pytest.mark.parametrize("index", ["xxhash64(id)", "cast(5 as bigint)", "nullif(id % 3, 0)"])
+def test_tables_made_in_place_keep_every_row(spark, many_small_blocks, index):
+    tasks = spark.range(500).selectExpr(f"{index} as index", "concat('p', id) as prompt")
+    plan = plan_tasks(tasks, None, PlanOptions(nodes=2, procs=2, batch_size=8))
+    rows = plan.collect()
+    assert sorted(r["_pos"] for r in rows) == list(range(500)) and {r["_total"] for r in rows} == {500}
