@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .order import positions
@@ -53,29 +55,29 @@ def shard_balanced(df: DataFrame, nodes: int = 1, procs: int = 1, pos: str = "_p
     return _shard(df, _balanced_split, nodes, procs, pos, total)
 
 
-def pack_batches(df: DataFrame, size: int, single: Column | None = None, model: str | None = None) -> DataFrame:
+def pack_batches(df: DataFrame, size: int, single: Column | None = None, alike: Sequence[str] = ()) -> DataFrame:
     """Batch number inside the process, and how many batches the process has.
 
-    With ``model`` a batch holds rows of one model only: rows are numbered
-    inside (node, process, model), and the batches of a process's models follow
-    one another in order of the model. Where ``single``, a property of the
-    model, is true each row is its own batch.
+    A batch holds rows that are equal in the ``alike`` columns, such as the
+    model or a shared image: rows are numbered inside (node, process, alike),
+    and a process's batches follow one another in that order. Where ``single``,
+    a property of the alike columns, is true each row is its own batch.
     """
     width = F.lit(max(1, size)).cast("bigint")
-    if model is None:
+    if not alike:
         batch = F.floor(F.col("shard_pos") / width).cast("bigint")
         return _labelled(df, batch, F.ceil(F.col("shard_size") / width).cast("bigint"))
     if single is not None:
         width = F.when(F.coalesce(single, F.lit(False)), F.lit(1).cast("bigint")).otherwise(width)
     process = ["node", "process"]
-    placed = positions(df.withColumn("_width", width), ["shard_pos"], [*process, model], pos="_at", size="_n")
-    # One row per process and model.
-    models = placed.groupBy(*process, model).agg(F.ceil(F.max("_n") / F.max("_width")).cast("bigint").alias("_own"))
-    earlier = Window.partitionBy(*process).orderBy(model).rowsBetween(Window.unboundedPreceding, -1)
+    placed = positions(df.withColumn("_width", width), ["shard_pos"], [*process, *alike], pos="_at", size="_n")
+    # One row per process and kind of batch.
+    models = placed.groupBy(*process, *alike).agg(F.ceil(F.max("_n") / F.max("_width")).cast("bigint").alias("_own"))
+    earlier = Window.partitionBy(*process).orderBy(*alike).rowsBetween(Window.unboundedPreceding, -1)
     models = models.select(
-        *[F.col(c).alias(f"_m_{c}") for c in (*process, model)], F.coalesce(F.sum("_own").over(earlier), F.lit(0)).alias("_first"),
+        *[F.col(c).alias(f"_m_{c}") for c in (*process, *alike)], F.coalesce(F.sum("_own").over(earlier), F.lit(0)).alias("_first"),
         F.sum("_own").over(Window.partitionBy(*process)).alias("_all"))
-    same = [F.col(c).eqNullSafe(F.col(f"_m_{c}")) for c in (*process, model)]
+    same = [F.col(c).eqNullSafe(F.col(f"_m_{c}")) for c in (*process, *alike)]
     joined = placed.join(models, same)
     batch = (F.col("_first") + F.floor(F.col("_at") / F.col("_width"))).cast("bigint")
     return _labelled(joined, batch, F.col("_all").cast("bigint")).select(*df.columns, "batch", "batches", "batch_label")

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, functions as F
 from ..functions.naming import expected_output
 from ..operators.order import positions, source_positions
 from ..operators.params import with_capabilities
-from ..operators.resume import filter_rows, pending
+from ..operators.resume import filter_rows, output_collisions, pending
 from ..operators.scoring import ERROR, score_batches
 from ..operators.shards import cannot_batch, expand_samples, pack_batches, shard_balanced, shard_ceil
 from ..sinks.blobs import write_named_blobs
@@ -31,6 +31,8 @@ class PlanOptions:
     n: int = 1
     name_col: str | None = None
     model_col: str | None = None
+    image_col: str | None = None  # batches share one image
+    collisions: str = "keep"  # or "raise", where two tasks would write one file
     rows: str | None = None
     resume: bool = True
     strict: bool = False
@@ -58,6 +60,8 @@ def plan_tasks(tasks: DataFrame, outputs: DataFrame | None, options: PlanOptions
     What is left is stored before it is counted and numbered, so outputs that
     appear meanwhile cannot shift positions and names are made once.
     """
+    if options.collisions not in ("keep", "raise"):
+        raise ValueError("collisions must be 'keep' or 'raise'")
     from_files = "_file" in tasks.columns and "_row" in tasks.columns
     tasks = located(tasks)
     if options.rows:
@@ -71,6 +75,10 @@ def plan_tasks(tasks: DataFrame, outputs: DataFrame | None, options: PlanOptions
         named = tasks.withColumn("_at_row", F.col("_row")).withColumn("expected", expected_output("index", options.name_col, options.n))
     left = named if outputs is None else pending(named, outputs, resume=options.resume)
     left = stored(left.drop("_pos"), "left")
+    if options.collisions == "raise":
+        twice = output_collisions(left).orderBy("expected").limit(5).collect()
+        if twice:
+            raise ValueError("several tasks write the same file: " + ", ".join(r["expected"] for r in twice))
     if from_files:
         placed = source_positions(left, row="_at_row").drop("_at_row")
     else:  # any index, in any order, repeated or missing: equal rows are told apart by what they hold
@@ -81,7 +89,7 @@ def plan_tasks(tasks: DataFrame, outputs: DataFrame | None, options: PlanOptions
     if options.model_col:
         sharded = with_capabilities(sharded, model_type=options.model_col)
         single = cannot_batch()
-    return pack_batches(sharded, options.batch_size, single, options.model_col)
+    return pack_batches(sharded, options.batch_size, single, [c for c in (options.model_col, options.image_col) if c])
 
 
 def run_plan(plan: DataFrame, tasks: DataFrame, factory: Callable[[], Callable], output_dir: str, results_path: str,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 
@@ -28,12 +29,31 @@ def new_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+_STORED: dict[str, SparkSession] = {}
+
+
+def drop_stored() -> None:
+    """Delete all tables that :func:`stored` wrote, once what reads them is done; also done when the driver's Python ends."""
+    while _STORED:
+        path, spark = _STORED.popitem()
+        try:
+            target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+        except Exception:  # the session has ended: its shared folder is the user's to empty
+            _STORED.clear()
+
+
+atexit.register(drop_stored)
+
+
 def stored(df: DataFrame, label: str = "table") -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder and read it back.
 
     Cuts the lineage: later stages, retries and lost executors read the files.
-    Each partition becomes one file with its rows in order.
+    Each partition becomes one file with its rows in order. The table stays
+    until :func:`drop_stored` or the end of the driver's Python.
     """
     path = new_path(df.sparkSession, label)
+    _STORED[path] = df.sparkSession
     df.write.option("maxRecordsPerFile", 0).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -405,7 +405,7 @@ _BATCHED = f"""select p.*, o.first_batch + p.loc // p.width as batch, o.batches
     concat('batch ', batch + 1, '/', batches) as batch_label from ({_BATCHED})"""))
 def _(t):
     sharded = with_capabilities(shard_balanced(source_positions(left_over(t)), 3, 4))
-    return pack_batches(sharded, 8, cannot_batch(), "model_type").select(
+    return pack_batches(sharded, 8, cannot_batch(), ["model_type"]).select(
         "index", "node", "process", "batch", "batches", "batch_label")
 
 

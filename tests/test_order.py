@@ -122,7 +122,7 @@ def test_batches_hold_one_model_and_at_most_its_width(spark, many_small_blocks):
     df = spark.range(600).selectExpr(
         "id % 2 as node", "id % 3 as process", "id as _at0", "case id % 7 when 0 then 'one' when 1 then null when 2 then 'two' else 'many' end as m")
     df = df.selectExpr("*", "row_number() over (partition by node, process order by _at0) - 1 as shard_pos", "100 as shard_size")
-    rows = pack_batches(df, 4, F.col("m") == "one", "m").collect()
+    rows = pack_batches(df, 4, F.col("m") == "one", ["m"]).collect()
     batches = defaultdict(list)
     totals = defaultdict(set)
     for r in rows:

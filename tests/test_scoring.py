@@ -248,3 +248,14 @@ def test_tables_made_in_place_keep_every_row(spark, many_small_blocks, index):
     plan = plan_tasks(tasks, None, PlanOptions(nodes=2, procs=2, batch_size=8))
     rows = plan.collect()
     assert sorted(r["_pos"] for r in rows) == list(range(500)) and {r["_total"] for r in rows} == {500}
+
+
+def test_plans_with_shared_images_and_colliding_names(spark):
+    tasks = spark.range(60).selectExpr("id as index", "concat('img', id % 3) as image", "'m' as output_path")
+    plan = plan_tasks(tasks.drop("output_path"), None, PlanOptions(nodes=2, batch_size=4, image_col="image")).collect()
+    batches = {}
+    for r in plan:
+        batches.setdefault((r["node"], r["process"], r["batch"]), []).append(r["image"])
+    assert len(plan) == 60 and all(len(set(b)) == 1 and len(b) <= 4 for b in batches.values())
+    with pytest.raises(ValueError, match="m.png"):
+        plan_tasks(tasks, None, PlanOptions(name_col="output_path", collisions="raise"))
