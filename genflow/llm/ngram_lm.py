@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from .common import NOT_SPACE, PIECE_BYTES, drop_scratch, mix, scratch, scratch_folder, slices, utf8, whole, word_runs
 
 #: Training tokens whose bigrams make one shard, and how many fill a task's buffer.
-SHARD_TOKENS, FLUSH_TOKENS = 6_000_000, 2_000_000
+SHARD_TOKENS, FLUSH_TOKENS = 4_000_000, 2_000_000
 #: Bytes of text that stand for a token when shards are planned.
 BYTES_A_TOKEN = 6
 # Words are 48-bit hashes; two values stand for the start and the end of a text.
@@ -48,7 +48,12 @@ def contexts(token: np.ndarray, counts: np.ndarray) -> np.ndarray:
 
 
 def pair_hash(before: np.ndarray, token: np.ndarray) -> np.ndarray:
-    return mix(mix(before * _PAIR) + token)
+    """Hash of each bigram, in pieces that bound the temporary arrays."""
+    out = np.empty(len(token), np.uint64)
+    for at in range(0, len(token), 1 << 18):
+        part = slice(at, at + (1 << 18))
+        out[part] = mix(mix(before[part] * _PAIR) + token[part])
+    return out
 
 
 def _shard_of(hashes: np.ndarray, shards: int, bits: int) -> np.ndarray:
@@ -171,7 +176,7 @@ def _merge_shard(table: pa.Table, folder: str, shards: int) -> Iterator[tuple]:
         yield "total", shard, _pack48(word).tobytes(), number[:, 0].astype("<u8").tobytes()
         return
     sizes = [len(data.as_buffer()) // 12 for data in table.column("words")]
-    v, w, c = (np.ones(sum(sizes), kind) for kind in (np.uint64, np.uint64, np.int64))
+    v, w, c = (np.ones(sum(sizes), kind) for kind in (np.uint64, np.uint64, np.uint32))
     at = 0
     for size, data, numbers in zip(sizes, table.column("words"), table.column("numbers")):
         packed = np.frombuffer(data.as_buffer(), np.uint8).reshape(-1, 12)
@@ -183,7 +188,7 @@ def _merge_shard(table: pa.Table, folder: str, shards: int) -> Iterator[tuple]:
     order = np.argsort(key, kind="stable")  # the blocks are sorted runs
     key = key[order]
     begin = _starts(key)
-    c = np.add.reduceat(c[order], begin)
+    c = np.add.reduceat(c[order], begin, dtype=np.int64)
     v, w, key = v[order[begin]], w[order[begin]], key[begin]
     del order, begin
     large = np.flatnonzero(c >= 255)
