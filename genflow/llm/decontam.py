@@ -1,9 +1,11 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
-
-Seeds are n-grams of the test items. Their document frequency is counted over
-the whole corpus; each item keeps its rarest half. Where a document holds
-seeds of an item near one another, the passage around them is aligned with
-the item word by word, so replaced, added and missing words are tolerated.
+"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment.
+
+Seeds are all n-grams of the test items, however common: those an edit breaks
+are the rarest, and those that survive it the most common. Where a document
+holds seeds of an item near one another, the passage around them is aligned
+with the item word by word, so replaced, added and missing words are
+tolerated. Items of which a document or a passage has too few words to reach
+the threshold are not aligned.
 """
 
 from __future__ import annotations
@@ -44,19 +46,6 @@ class Items:
     def length(self, item: int) -> int:
         return int(self.first[item + 1] - self.first[item])
 
-    def keep_rarest(self, frequency: np.ndarray) -> None:
-        """Drop each item's seeds above its own median frequency; ``frequency`` follows ``distinct``."""
-        own = frequency[np.searchsorted(self.distinct, self.gram)]
-        keep = np.zeros(len(own), bool)
-        order = np.argsort(self.item, kind="stable")
-        cut = np.searchsorted(self.item[order], np.arange(len(self.ids) + 1))
-        for item in range(len(self.ids)):
-            mine = order[cut[item]:cut[item + 1]]
-            if len(mine):
-                keep[mine] = own[mine] <= np.median(own[mine])
-        self.gram, self.item, self.at = self.gram[keep], self.item[keep], self.at[keep]
-        self.distinct = np.unique(self.gram)
-
 
 def _hits(grams_: np.ndarray, distinct: np.ndarray) -> np.ndarray:
     """Which n-grams are seeds."""
@@ -67,23 +56,6 @@ def _hits(grams_: np.ndarray, distinct: np.ndarray) -> np.ndarray:
     return distinct[at] == grams_
 
 
-def _count(shared):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        distinct, n = shared.value.distinct, shared.value.n
-        total = np.zeros(len(distinct), np.int64)
-        for batch in batches:
-            for part in slices(batch, "text"):
-                raw, starts = utf8(pc.utf8_lower(part.column(0)))
-                _, _, hashes, first = word_runs(raw, starts)
-                gram, owner = grams(hashes, first, n)
-                hit = _hits(gram, distinct)
-                pair = np.unique(np.stack([np.searchsorted(distinct, gram[hit]), owner[hit]], 1), axis=0)
-                total += np.bincount(pair[:, 0], minlength=len(distinct))
-        seen = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int64()), pa.array(total[seen], pa.int64())], names=["seed", "n"])
-    return run
-
-
 def smith_waterman(item: np.ndarray, passage: np.ndarray) -> tuple[int, int, int]:
     """Best local score, and where its alignment ends in the item and in the passage (exclusive).
 
@@ -113,20 +85,53 @@ def align(item: np.ndarray, passage: np.ndarray) -> tuple[float, int, int]:
     return score / (MATCH * len(item)), end - back, end
 
 
-def passages(items: Items, gram: np.ndarray, words: np.ndarray) -> Iterator[tuple[int, float, int, int]]:
-    """(item, score, first word, end word) of each place in one document that holds an item's seeds."""
-    where = np.flatnonzero(_hits(gram, items.distinct))
-    if not len(where):
+def _ranges(low: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The whole numbers from each ``low`` on, ``size`` of them each, end to end."""
+    return np.repeat(low - np.cumsum(size) + size, size) + np.arange(size.sum())
+
+
+def _reachable(items: Items, gram: np.ndarray, words: np.ndarray, threshold: float) -> np.ndarray:
+    """Seeds of one document, each once, of those items that it may hold: enough seeds, and enough of the item's words.
+
+    Work and memory are bounded by the block of items, also where all items share a seed.
+    """
+    own = np.unique(gram)
+    own = own[_hits(own, items.distinct)]
+    low = np.searchsorted(items.gram, own, "left")
+    seed = _ranges(low, np.searchsorted(items.gram, own, "right") - low)
+    item, times = np.unique(items.item[seed], return_counts=True)
+    size = items.first[item + 1] - items.first[item]
+    enough = times >= np.where(size < SHORT_ITEM, 1, 2)
+    item, size = item[enough], size[enough]
+    if not len(item):
+        return seed[:0]
+    known = _hits(items.words[_ranges(items.first[item], size)], np.unique(words))
+    common = np.add.reduceat(known.astype(np.int64), np.cumsum(size) - size)
+    return seed[np.isin(items.item[seed], item[common / size >= threshold])]
+
+
+def _common(item: np.ndarray, passage: np.ndarray) -> int:
+    """Words that both have, each as often as in the one that has it less: no alignment matches more."""
+    kinds, times = np.unique(item, return_counts=True)
+    there = passage[_hits(passage, kinds)]
+    return int(np.minimum(times, np.bincount(np.searchsorted(kinds, there), minlength=len(kinds))).sum())
+
+
+def passages(items: Items, gram: np.ndarray, words: np.ndarray, threshold: float) -> Iterator[tuple[int, float, int, int]]:
+    """(item, score, first word, end word) of each place in one document that holds an item's seeds and may reach the threshold."""
+    seeds = _reachable(items, gram, words, threshold)
+    if not len(seeds):
         return
-    low = np.searchsorted(items.gram, gram[where], "left")
-    high = np.searchsorted(items.gram, gram[where], "right")
-    times = high - low
-    seed = np.repeat(low - np.cumsum(times) + times, times) + np.arange(times.sum())
+    known = items.gram[seeds]
+    where = np.flatnonzero(_hits(gram, known))
+    low = np.searchsorted(known, gram[where], "left")
+    times = np.searchsorted(known, gram[where], "right") - low
+    seed = seeds[_ranges(low, times)]
     place = np.repeat(where, times)
     item, begin = items.item[seed], place - items.at[seed]
     order = np.lexsort((begin, item))
     item, begin, seed = item[order], begin[order], seed[order]
-    reach = np.array([items.length(i) for i in item]) // 2 + 2
+    reach = (items.first[item + 1] - items.first[item]) // 2 + 2
     new = np.ones(len(item), bool)
     new[1:] = (item[1:] != item[:-1]) | (np.diff(begin) > reach[1:])
     cuts = [*np.flatnonzero(new).tolist(), len(item)]
@@ -136,7 +141,10 @@ def passages(items: Items, gram: np.ndarray, words: np.ndarray) -> Iterator[tupl
             continue
         start = max(0, int(begin[a]) - size // 2)
         end = min(len(words), int(begin[b - 1]) + size + size // 2)
-        score, first, last = align(items.words[items.first[which]:items.first[which + 1]], words[start:end])
+        wanted = items.words[items.first[which]:items.first[which + 1]]
+        if _common(wanted, words[start:end]) / size < threshold:
+            continue
+        score, first, last = align(wanted, words[start:end])
         yield which, score, start + first, start + last
 
 
@@ -148,7 +156,7 @@ def _leaks(items: Items, texts: pa.Array, threshold: float) -> Iterator[tuple[in
     cut = np.searchsorted(owner, np.arange(len(texts) + 1))
     for doc in np.unique(owner[_hits(gram, items.distinct)]):
         best: dict[int, tuple] = {}
-        for which, score, a, b in passages(items, gram[cut[doc]:cut[doc + 1]], hashes[first[doc]:first[doc + 1]]):
+        for which, score, a, b in passages(items, gram[cut[doc]:cut[doc + 1]], hashes[first[doc]:first[doc + 1]], threshold):
             if score >= threshold and score > best.get(which, (0.0,))[0]:
                 best[which] = (score, a, b)
         yield from ((int(doc), w, *found) for w, found in sorted(best.items()))
@@ -200,17 +208,10 @@ def _blocks(benchmark: DataFrame, item_id: str, text: str, n: int, most: int) ->
         yield Items(*map(list, zip(*items)), words)
 
 
-def _rare(source: DataFrame, benchmark: DataFrame, item_id: str, item_text: str, n: int, block_seeds: int) -> Iterator:
-    """Blocks of test items, broadcast, each with its rarest seeds in the texts of ``source``."""
-    context = source.sparkSession.sparkContext
+def _shared(source: DataFrame, benchmark: DataFrame, item_id: str, item_text: str, n: int, block_seeds: int) -> Iterator:
+    """Blocks of test items, broadcast."""
     for items in _blocks(benchmark, item_id, item_text, n, block_seeds):
-        shared = context.broadcast(items)
-        counts = source.mapInArrow(_count(shared), "seed bigint, n bigint")
-        frequency = np.zeros(len(items.distinct), np.int64)
-        for row in counts.groupBy("seed").agg(F.sum("n").alias("n")).collect():  # a row per seed of the block at most
-            frequency[row["seed"]] = row["n"]
-        items.keep_rarest(frequency)
-        yield context.broadcast(items)
+        yield source.sparkSession.sparkContext.broadcast(items)
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text", doc_id: str = "doc_id", item_id: str = "item_id",
@@ -232,8 +233,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text", doc_
     schema = f"doc_id {id_type}, item_id {item_type}, score double, start_word bigint, end_word bigint"
     source = docs.select(F.col(doc_id).alias("doc_id"), whole(text).alias("text"))
     found = []
-    for rare in _rare(source.select("text"), benchmark, item_id, item_text, n, block_seeds):
-        found.append(source.mapInArrow(_find(rare, threshold, _ARROW[id_type], _ARROW[item_type]), schema))
+    for shared in _shared(source, benchmark, item_id, item_text, n, block_seeds):
+        found.append(source.mapInArrow(_find(shared, threshold, _ARROW[id_type], _ARROW[item_type]), schema))
         if len(found) > 1:
             found = [scratch(found[0].unionByName(found[1]), "leaks")]
     return found[0] if found else docs.sparkSession.createDataFrame([], schema)
@@ -242,7 +243,6 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text", doc_
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text",
                       threshold: float = THRESHOLD, n: int = SEED_WORDS, block_seeds: int = BLOCK_SEEDS) -> DataFrame:
     """``docs`` without the rows that hold a test item, all columns as they are; cases as in :func:`contaminated`."""
-    source = docs.select(whole(text).alias("text"))
-    for rare in _rare(source, benchmark, item_id, item_text, n, block_seeds):
-        docs = docs.mapInArrow(_drop(rare, docs.columns.index(text), threshold), docs.schema)
+    for shared in _shared(docs, benchmark, item_id, item_text, n, block_seeds):
+        docs = docs.mapInArrow(_drop(shared, docs.columns.index(text), threshold), docs.schema)
     return docs

@@ -343,6 +343,32 @@ def test_edited_test_items_are_found(spark):
     assert decontam.contaminated(table(spark, rows).limit(0), bench).count() == 0
 
 
+@pytest.mark.parametrize("copies", [0, 1, 3])
+@pytest.mark.parametrize("step", [4, 5])
+def test_items_with_most_seeds_broken_are_found(spark, step, copies):
+    rng = np.random.default_rng(10)
+    word = lambda: "".join(rng.choice(list("abcdefgh"), 4))
+    items = [(i, " ".join(word() for _ in range(size))) for i, size in enumerate((15, 38, 59))]
+    rows = []
+    for i, text in items:
+        words = text.split()
+        for k in range(1 + copies):  # an edited copy alone, and with exact copies beside it
+            passage = words if k else [w if p % step != step - 1 else word() for p, w in enumerate(words)]
+            rows.append((10 * i + k, " ".join([word() for _ in range(50)] + passage + [word() for _ in range(50)])))
+    bench = spark.createDataFrame([(*r, "x") for r in items], "item_id bigint, text string, doc_id string")
+    found = decontam.contaminated(table(spark, rows), bench).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in found} == {(d, d // 10) for d, _ in rows}
+    assert decontam.drop_contaminated(table(spark, rows), bench).count() == 0
+
+
+def test_a_seed_shared_by_all_items_costs_no_alignments(spark, monkeypatch):
+    items = decontam.Items(list(range(3000)), [f"answer the following question {' '.join(f'w{i}x{k}' for k in range(20))}" for i in range(3000)], 3)
+    done = []
+    monkeypatch.setattr(decontam, "align", lambda a, b, f=decontam.align: done.append(1) or f(a, b))
+    text = "answer the following question now " * 2000 + " ".join(f"w7x{k}" for k in range(20))
+    assert [w for _, w, *_ in decontam._leaks(items, pa.array([text]), 0.5)] == [7] and len(done) < 5
+
+
 def test_exact_items_in_the_documents(spark):
     texts = duckdb.sql(f"select doc_id, text from '{SMALL}/documents.parquet'").fetchall()
     items = duckdb.sql(f"select item_id, text from '{SMALL}/benchmark.parquet'").fetchall()
