@@ -26,6 +26,10 @@ BANDS, ROWS = 24, 6
 #: Buckets of up to so many different documents are compared in full, larger ones against their hubs.
 FULL_BUCKET = 16
 HUBS = 3
+#: Members of an open bucket are compared in pairs of blocks of about so many documents and bytes of text.
+BLOCK_DOCS, BLOCK_BYTES = 256, 4 << 20
+#: Shingles of one matrix product.
+PRODUCT = 2048
 #: Estimates may be this many standard errors below the threshold and still be verified.
 SIGMAS = 4.0
 
@@ -164,13 +168,110 @@ def _verify(n: int, threshold: float):
     return run
 
 
-def candidate_pairs(nodes: DataFrame, full: int = FULL_BUCKET, hubs: int = HUBS) -> DataFrame:
+def _product(feature: np.ndarray, value: np.ndarray, owner: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Inner products of the documents ``left`` with those ``right``; a document has each feature once at most."""
+    docs = max(int(left.max()), int(right.max())) + 1
+    _, at, times = np.unique(feature, return_inverse=True, return_counts=True)
+    shared = times > 1
+    keep = shared[at]
+    at, value, owner = (np.cumsum(shared) - 1)[at[keep]], value[keep], owner[keep]
+    order = np.argsort(at, kind="stable")
+    at, value, owner = at[order], value[order], owner[order]
+    out = np.zeros((len(left), len(right)), np.float64)
+    for low in range(0, int(shared.sum()), PRODUCT):
+        a, b = np.searchsorted(at, [low, low + PRODUCT])
+        dense = np.zeros((docs, PRODUCT), np.float32)
+        dense[owner[a:b], at[a:b] - low] = value[a:b]
+        out += dense[left] @ dense[right].T
+    return out
+
+
+def upper_bounds(gram: np.ndarray, count: np.ndarray, owner: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """At least J_P of each document ``left`` with each ``right``, but for rounding; J_P itself where all counts are one.
+
+    A shingle that both have equally often adds its count over the sum of the
+    larger counts; any other adds the smaller of its two shares at most, which
+    is no more than their geometric mean.
+    """
+    total = np.bincount(owner, weights=count, minlength=max(int(left.max()), int(right.max())) + 1)
+    close = _product(gram, np.sqrt(count / total[owner]), owner, left, right)
+    equal = _product(mix(gram + count.astype(np.uint64)), np.sqrt(count), owner, left, right)
+    x, y = total[left][:, None], total[right][None, :]
+    mean = np.sqrt(x * y)
+    return equal / (x + y - mean * close) + close - equal / mean
+
+
+def _between(n: int, threshold: float):
+    """Links that join components, of the members of two blocks of a bucket."""
+    def run(group: pa.Table) -> pa.Table:
+        group = group.sort_by("node")
+        node, comp, block, i, j = (group[c].to_numpy() for c in ("node", "comp", "block", "i", "j"))
+        left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
+        found: list[tuple] = []
+        if len(left) and len(right) and (comp != comp[0]).any():
+            gram, count, owner = shingles(pa.concat_arrays(group["text"].cast(pa.large_string()).chunks), n)
+            wanted = (upper_bounds(gram, count, owner, left, right) >= threshold - 1e-3) & (comp[left][:, None] != comp[right][None, :])
+            if i[0] == j[0]:
+                wanted &= left[:, None] < right[None, :]
+            cut = np.searchsorted(owner, np.arange(len(node) + 1))
+            root: dict = {}
+
+            def top(c):
+                while root.get(c, c) != c:
+                    root[c] = c = root.get(root[c], root[c])
+                return c
+
+            for k, m in zip(*np.nonzero(wanted)):
+                a, b = int(left[k]), int(right[m])
+                if top(comp[a]) == top(comp[b]):
+                    continue
+                one, two = slice(cut[a], cut[a + 1]), slice(cut[b], cut[b + 1])
+                every = np.union1d(gram[one], gram[two])
+                x, y = np.zeros(len(every)), np.zeros(len(every))
+                x[np.searchsorted(every, gram[one])] = count[one]
+                y[np.searchsorted(every, gram[two])] = count[two]
+                similarity = probability_jaccard(x, y)
+                if similarity >= threshold:
+                    root[top(comp[a])] = top(comp[b])
+                    found.append((comp[a], comp[b], similarity))
+        columns = list(zip(*found)) if found else [[]] * 3
+        return pa.table([pa.array(c, k) for c, k in zip(columns, (pa.int64(), pa.int64(), pa.float64()))], names=["a", "b", "similarity"])
+    return run
+
+
+def between_components(large: DataFrame, joined: DataFrame, source: DataFrame, classes: DataFrame, words: int, threshold: float) -> DataFrame:
+    """Links ``(a, b)`` between the components of ``joined``, as members ``(key, node)`` of large buckets give them.
+
+    A bucket in one component is done. In the others, the open ones, every
+    pair from two components is bounded, a block of members against another
+    by matrix products, and what may reach the threshold is compared exactly
+    until its components are one. Nothing is sampled; tasks return no more
+    links than there are components to join.
+    """
+    placed = scratch(large.join(joined, "node", "left").select("key", "node", F.coalesce("component", "node").alias("comp")), "placed")
+    open_ = scratch(placed.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("comp").alias("low"), F.max("comp").alias("high"))
+                    .where("low < high").select("key", "n"), "open")
+    if not open_.limit(1).count():
+        return open_.select(F.col("key").alias("a"), F.col("key").alias("b"))
+    inside = scratch(placed.join(open_, "key"), "inside")
+    drop_scratch(placed)
+    texts = scratch(_texts_of(source, inside.select("node").distinct().join(classes, "node").select("node", "rep", "text_hash")), "open-texts")
+    sizes = inside.join(texts.select("node", F.octet_length("text").cast("long").alias("size")), "node")
+    blocks = sizes.groupBy("key").agg(F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK_DOCS), F.ceil(F.sum("size") / BLOCK_BYTES)).alias("blocks"))
+    dealt = inside.join(blocks, "key").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    dealt = dealt.select("key", "node", "comp", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
+    pairs = dealt.join(texts, "node").groupBy("key", "i", "j")
+    return scratch(pairs.applyInArrow(_between(words, threshold), "a bigint, b bigint, similarity double"), "joins").select("a", "b")
+
+
+def candidate_pairs(nodes: DataFrame, full: int = FULL_BUCKET, hubs: int = HUBS) -> tuple[DataFrame, DataFrame]:
     """Pairs ``(a, b)`` of nodes that share a band's bucket, each once, for nodes ``(node, copies, bands)``.
 
     A bucket of two is its pair, small ones give all their pairs. A large one
     is compared with its hubs: the node most documents copy, which is most
-    often the original, and some that differ from band to band. Work and pairs
-    grow with a bucket, not with its square.
+    often the original, and some that differ from band to band; its members
+    ``(key, node)`` are the second table, for :func:`between_components`.
     """
     held = scratch(nodes.select("node", "copies", F.explode("bands").alias("key")), "buckets")
     sizes = scratch(held.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("a"), F.max("node").alias("b"))
@@ -187,7 +288,7 @@ def candidate_pairs(nodes: DataFrame, full: int = FULL_BUCKET, hubs: int = HUBS)
     chosen = scratch(chosen.select("key", F.explode(F.array_distinct(F.array(*[f"h{i}" for i in range(hubs)]))).alias("hub")), "hubs")
     star = large.join(chosen, "key").where(F.col("node") != F.col("hub")).select(
         F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b"))
-    return sizes.where("n = 2").select("a", "b").unionByName(pairs).unionByName(star).distinct()
+    return sizes.where("n = 2").select("a", "b").unionByName(pairs).unionByName(star).distinct(), large.select("key", "node")
 
 
 def verified(pairs: DataFrame, texts: DataFrame, words: int, threshold: float) -> DataFrame:
@@ -209,7 +310,8 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     keep a row each. Other columns are not carried; an empty table gives no rows.
 
     A pair inside a component found so far is no longer needed, so texts of
-    large groups move a few times, not once per pair.
+    large groups move a few times, not once per pair. Buckets too large to be
+    compared in full are, in the end, compared between their components.
     """
     id_type = docs.schema[doc_id].dataType.simpleString()
     source = docs.select(F.col(doc_id).alias("doc_id"), whole(text).alias("text"), F.xxhash64(whole(text)).alias("text_hash"))
@@ -220,7 +322,8 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     members = scratch(signed.select("doc_id", "cls"), "doc-classes")
     nodes = scratch(signed.select(F.col("nid").alias("node"), "bands", "sig").join(classes.select("node", "copies"), "node"), "nodes")
     drop_scratch(signed)
-    pairs = scratch(candidate_pairs(nodes), "pairs")
+    pairs, large = candidate_pairs(nodes)
+    pairs = scratch(pairs, "pairs")
     sig = nodes.select("node", "sig")
     signed_pairs = (pairs.join(sig.select(F.col("node").alias("a"), F.col("sig").alias("sig_a")), "a")
                     .join(sig.select(F.col("node").alias("b"), F.col("sig").alias("sig_b")), "b"))
@@ -241,7 +344,11 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     links = links.unionByName(verified(between, texts, words, threshold))
     rest = _apart(likely, components(links)).select("a", "b").join(tried.unionByName(between), ["a", "b"], "left_anti")
     links = links.unionByName(verified(rest, texts, words, threshold))
-    by_class = classes.join(components(links), "node", "left").select("cls", "rep", F.coalesce("component", "node").alias("component"))
+    joined = components(links)
+    more = between_components(large, joined, source, classes, words, threshold)
+    by_class = classes.join(joined, "node", "left").select("cls", "rep", F.coalesce("component", "node").alias("component"))
+    wider = components(more).select(F.col("node").alias("component"), F.col("component").alias("wider"))
+    by_class = by_class.join(wider, "component", "left").select("cls", "rep", F.coalesce("wider", "component").alias("component"))
     smallest = by_class.groupBy("component").agg(F.min("rep").alias("class_id"))
     final = scratch(by_class.join(smallest, "component").select("cls", "class_id"), "final")
     return members.join(final, "cls").select("doc_id", "class_id", F.col("doc_id").eqNullSafe(F.col("class_id")).alias("kept"))

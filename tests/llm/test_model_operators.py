@@ -225,6 +225,32 @@ def test_large_buckets_of_edited_copies(spark):
     assert {r["class_id"] for r in got} == {0} and sum(r["kept"] for r in got) == 1
 
 
+def test_upper_bounds_hold():
+    rng = np.random.default_rng(11)
+    for most in (2, 4):
+        bags = rng.integers(0, most, (30, 40))
+        owner, at = np.nonzero(bags)
+        gram = np.random.default_rng(1).integers(0, 2**63, 40).astype(np.uint64)[at]
+        bound = minhash.upper_bounds(gram, bags[owner, at], owner, np.arange(30), np.arange(30))
+        for i, j in itertools.product(range(30), range(30)):
+            some = (bags[i] > 0) | (bags[j] > 0)
+            exact = plain_jp(bags[i][some].astype(float), bags[j][some].astype(float))
+            assert bound[i, j] >= exact - 1e-5 and (most > 2 or abs(bound[i, j] - exact) < 1e-5)
+
+
+def test_near_copies_inside_a_template_family(spark):
+    template = " ".join(f"t{i}" for i in range(200))
+    rows = []
+    for d in range(0, 2000, 2):  # 0.77 to one another; of each hundred, four have a partner at 0.80 to 0.85
+        own = [f"d{d}w{i}" for i in range(29)]
+        rows.append((d, f"{template} {' '.join(own)}"))
+        rest = 5 + d // 2 % 7 if d % 50 == 0 else 0
+        rows.append((d + 1, f"{template} {' '.join([*own[:rest], *(f'e{d}w{i}' for i in range(29 - rest))])}"))
+    want = {d: d - 1 if d % 50 == 1 else d for d, _ in rows}
+    got = minhash.near_duplicates(table(spark, rows)).collect()
+    assert {r["doc_id"]: r["class_id"] for r in got} == want
+
+
 def test_near_duplicate_edge_rows(spark):
     got = minhash.near_duplicates(table(spark, EDGE)).collect()
     assert len(got) == len(EDGE)
