@@ -150,6 +150,19 @@ def test_shards_are_even_and_copies_stay_together(spark):
     assert sum(len(s) > 1 for s in where.values()) <= 0.02 * len(where)
 
 
+@pytest.mark.parametrize("size", [2, 4, 20])
+@pytest.mark.parametrize("linked", [0.95, 1.0])
+def test_groups_stay_together_where_nearly_all_rows_have_copies(spark, size, linked):
+    many = int(20_000 * linked)
+    rows = [(i, f"text {i % (many // size)}" if i < many else f"own {i}") for i in range(20_000)]
+    got = sharding.shard_documents(table(spark, rows), shards=40).collect()
+    check_shards(got, 40)
+    texts, where = dict(rows), {}
+    for r in got:
+        where.setdefault(texts[r["doc_id"]], set()).add(r["shard"])
+    assert sum(len(s) > 1 for s in where.values()) <= 2 * 40  # a shard's end may cut one group, and its overflow another
+
+
 def test_shards_with_a_hot_group_and_edge_rows(spark):
     rows = [(i, "same" if i % 3 == 0 else f"own {i}") for i in range(900)] + EDGE
     got = sharding.shard_documents(table(spark, rows), shards=10).collect()
