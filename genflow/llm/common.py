@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import re
 import uuid
 from collections.abc import Iterator
 
@@ -46,7 +47,7 @@ def scratch(df: DataFrame, label: str) -> DataFrame:
 
 def drop_scratch(df: DataFrame | None = None) -> None:
     """Delete the scratch table behind ``df``, or all of them once their readers are done."""
-    wanted = None if df is None else {f.rsplit("/", 1)[0] for f in df.inputFiles()}
+    wanted = None if df is None else {re.sub(r"(/[^/=]+=[^/]*)*/[^/]*$", "", f) for f in df.inputFiles()}
     for path in list(_SCRATCH):
         if wanted is not None and not any(w.endswith(path.split(":")[-1].lstrip("/")) for w in wanted):
             continue

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import chat, decontam, embeddings, minhash, ngram_lm, packing, pii, secrets, sharding, toxicity
+from . import chat, decontam, embeddings, langid, minhash, ngram_lm, packing, pii, prefix_trie, secrets, sharding, toxicity, vector_codes
 from .common import read, scratch
 
 
@@ -59,5 +59,21 @@ def op10_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score")
 
 
-QUERIES = {f.__name__: f for f in (op1_secret_scan, op2_string_kernel, op3_prob_minhash, op4_collision_counting, op5_seed_alignment, op6_preference_format, op7_label_propagation, op8_best_fit_packing, op9_candidate_boosting, op10_kneser_ney)}
-ORACLES: dict[str, str] = {"op6_preference_format": chat.ORACLE}
+def op11_resident_lloyd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.compressed(read(spark, sf_dir, "embeddings"))
+
+
+def op12_byte_convolution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    network = langid.train(docs.where(~langid.held_out()))
+    found = langid.predict(docs.select("doc_id", "text", langid.held_out().alias("held_out")), network)
+    return found.select("doc_id", "held_out", "lang_pred", "score")
+
+
+def op13_centroid_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_rollup(read(spark, sf_dir, "conversations"))
+
+
+QUERIES = {f.__name__: f for f in (op1_secret_scan, op2_string_kernel, op3_prob_minhash, op4_collision_counting, op5_seed_alignment, op6_preference_format, op7_label_propagation, op8_best_fit_packing, op9_candidate_boosting, op10_kneser_ney, op11_resident_lloyd, op12_byte_convolution, op13_centroid_rollup)}
+ORACLES: dict[str, str] = {
+    "op6_preference_format": chat.ORACLE, "op11_resident_lloyd": vector_codes.ORACLE, "op13_centroid_rollup": prefix_trie.ORACLE}
