@@ -60,10 +60,15 @@ def pack_batches(df: DataFrame, size: int, single: Column | None = None, alike:
 
     A batch holds rows that are equal in the ``alike`` columns, such as the
     model or a shared image: rows are numbered inside (node, process, alike),
-    and a process's batches follow one another in that order. Where ``single``,
-    a property of the alike columns, is true each row is its own batch.
+    and a process's batches follow one another in that order. Where ``single``
+    is true each row is its own batch; with ``alike`` columns it is a property
+    of these, without any it is told apart row by row.
     """
     width = F.lit(max(1, size)).cast("bigint")
+    if not alike and single is not None:
+        flag = "_single"
+        flagged = df.withColumn(flag, F.coalesce(single, F.lit(False)))
+        return pack_batches(flagged, size, F.col(flag), [flag]).drop(flag)
     if not alike:
         batch = F.floor(F.col("shard_pos") / width).cast("bigint")
         return _labelled(df, batch, F.ceil(F.col("shard_size") / width).cast("bigint"))

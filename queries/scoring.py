@@ -8,6 +8,8 @@ import hashlib
 from pyspark.sql import functions as F
 
 from genflow.functions.attempts import RetryPolicy
+from genflow.operators.attempts import endpoint_health, resolve_attempts, retry_stats
+from genflow.operators.failover import EVENT_BITS, Endpoint
 from genflow.operators.registry import lookup, register
 from genflow.operators.scoring import (
     attempt_log, enhance_prompts, score_batches, score_edits, threads_per_process,
@@ -76,7 +78,7 @@ def _(t):
 
 def rewriting_service():
     """Answers some requests in JSON, some in prose, and refuses some."""
-    def call(request):
+    def call(request, target=None):
         asked = json.loads(request)["messages"][1]["content"][-1]["text"]
         prompt = asked.removeprefix("User Input: ").removesuffix("\n\nRewritten Prompt:")
         if len(prompt) % 5 == 0:
@@ -115,10 +117,53 @@ def _(t):
 
 
 @query("k4_attempt_log", """select doc_id as index, cast(a as integer) as attempt, length(text) % 5 > 1 as ok,
-    case length(text) % 5 when 0 then 'ConnectionError: refused' when 1 then 'unusable reply' end as error
+    case length(text) % 5 when 0 then 'ConnectionError: refused' when 1 then 'unusable reply' end as error,
+    case length(text) % 5 when 0 then 'E2001' when 1 then 'E1003' end as code
     from (select *, unnest(range(0, case when length(text) % 5 < 2 then 3 else 1 end)) as a from documents)""")
 def _(t):
-    return attempt_log(stored(rewritten(t), "rewrites")).select("index", "attempt", "ok", "error")
+    return attempt_log(stored(rewritten(t), "rewrites")).select("index", "attempt", "ok", "error", "code")
+
+
+SERVERS = [Endpoint("a", "http://a", ("k0", "k1"), 5), Endpoint("b", "http://b", ("k0",), 2), Endpoint("c", None, (), 1)]
+
+
+@query("k4_failover_analytics", """select doc_id as task, length(text) % 5 > 1 as succeeded, case length(text) % 5 when 0 then 'E2001' when 1 then 'E1003' end as error,
+    cast(case when length(text) % 5 < 2 then 3 else 1 end as bigint) as attempts_used, cast(case when length(text) % 5 < 2 then 3 else 1 end as bigint) as attempts,
+    cast(case when length(text) % 5 < 2 then 3 else 0 end as bigint) as failures, true as servers_known, true as health_agrees from documents""")
+def _(t):
+    """Tries over several endpoints; their log gives outcomes (F4), retries (G12) and the health (G8) each process saw."""
+    log = stored(attempt_log(stored(rewritten(t, endpoints=SERVERS), "rewrites"), task="task"), "tries").withColumnRenamed("errors", "seen")
+    outcome = resolve_attempts(log.drop("attempt"), RetryPolicy(retries=2)).select("task", "succeeded", "error", "attempts_used")
+    stats = retry_stats(log).select("task", "attempts", "failures")
+    # Every process knows the health of its own calls only.
+    pooled = log.withColumn("endpoint", F.concat_ws(":", F.shiftright("event_id", EVENT_BITS), "endpoint"))
+    health = endpoint_health(pooled).groupBy("task").agg(
+        F.bool_and(F.col("errors") == F.col("seen")).alias("health_agrees"),
+        F.bool_and(F.substring_index("endpoint", ":", -1).isin([s.name for s in SERVERS])).alias("servers_known"))
+    return outcome.join(stats, "task").join(health, "task")
+
+
+def overloaded_model():
+    """Refuses the first try of every batch that has an index divisible by five."""
+    seen = set()
+
+    def score(rows, target=None):
+        first = rows[0]["index"]
+        if any(r["index"] % 5 == 0 for r in rows) and (len(rows), first) not in seen:
+            seen.add((len(rows), first))
+            raise TimeoutError("overloaded")
+        return _digest(rows)
+
+    return score
+
+
+@query("k1_retried_batches", sql("tasks", """select index, md5(instruction) as md5, cast(null as varchar) as _error,
+    cast(case when max(cast(index % 5 = 0 as integer)) over (partition by index // 4) = 1 then 2 else 1 end as integer) as tries from tasks"""))
+def _(t):
+    tasks = t.tasks().selectExpr("index", "instruction", "index div 4 as batch")
+    scored = score_batches(tasks, overloaded_model, "md5 string", 4, batch_cols=["batch"], policy=RetryPolicy(retries=1, delay=0.0),
+                           endpoints=SERVERS, log=True)
+    return scored.select("index", "md5", "_error", F.size("attempts").alias("tries"))
 
 
 @query("b5_enhance_audit", """select md5(original) as original, md5(enhanced) as enhanced, case when raw = '' then '<empty>' else md5(raw) end as raw,

@@ -110,12 +110,15 @@ def test_shards(spark, n, nodes, procs, rule):
 
 
 def test_batches(spark):
-    df = spark.range(10).select(F.col("id").alias("shard_pos"), F.lit(10).cast("bigint").alias("shard_size"))
+    df = spark.range(10).select(F.col("id").alias("shard_pos"), F.lit(10).cast("bigint").alias("shard_size"),
+                                F.lit(0).alias("node"), F.lit(0).alias("process"))
     rows = pack_batches(df, 4).orderBy("shard_pos").collect()
     assert [r["batch"] for r in rows] == [0] * 4 + [1] * 4 + [2] * 2
     assert rows[9]["batch_label"] == "batch 3/3"
     alone = pack_batches(df, 4, F.lit(True)).orderBy("shard_pos").collect()
-    assert [r["batch"] for r in alone] == [0] * 4 + [1] * 4 + [2] * 2  # without a model there is nothing to keep apart
+    assert [r["batch"] for r in alone] == list(range(10)) and {r["batches"] for r in alone} == {10}
+    some = pack_batches(df, 4, F.col("shard_pos") % 5 == 0).orderBy("shard_pos").collect()
+    assert [r["batch"] for r in some] == [2, 0, 0, 0, 0, 3, 1, 1, 1, 1] and {r["batches"] for r in some} == {4}
 
 
 def test_batches_hold_one_model_and_at_most_its_width(spark, many_small_blocks):
