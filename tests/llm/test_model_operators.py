@@ -358,10 +358,9 @@ def test_edited_test_items_are_found(spark):
     rows += [(60, "here are Two words."), *[(300 + (d or 0), t) for d, t in EDGE]]
     want.add((60, 91))
     bench = spark.createDataFrame([(*r, "x") for r in items], "item_id bigint, text string, doc_id string")
-    for block in (decontam.BLOCK_SEEDS, 50):
-        found = decontam.contaminated(table(spark, rows), bench, block_seeds=block).collect()
-        assert {(r["doc_id"], r["item_id"]) for r in found} == want
-        assert all(0.5 <= r["score"] <= 1 for r in found)
+    found = decontam.contaminated(table(spark, rows), bench).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in found} == want
+    assert all(0.5 <= r["score"] <= 1 for r in found)
     left = decontam.drop_contaminated(table(spark, rows), bench)
     assert {r["doc_id"] for r in left.collect()} == {r[0] for r in rows} - {d for d, _ in want}
     assert left.columns == table(spark, rows).columns
@@ -387,20 +386,97 @@ def test_items_with_most_seeds_broken_are_found(spark, step, copies):
     assert decontam.drop_contaminated(table(spark, rows), bench).count() == 0
 
 
-def test_a_seed_shared_by_all_items_costs_no_alignments(spark, monkeypatch):
-    items = decontam.Items(list(range(3000)), [f"answer the following question {' '.join(f'w{i}x{k}' for k in range(20))}" for i in range(3000)], 3)
-    done = []
-    monkeypatch.setattr(decontam, "align", lambda a, b, f=decontam.align: done.append(1) or f(a, b))
-    text = "answer the following question now " * 2000 + " ".join(f"w7x{k}" for k in range(20))
-    assert [w for _, w, *_ in decontam._leaks(items, pa.array([text]), 0.5)] == [7] and len(done) < 5
+def plain_leaks(rows, items, threshold=decontam.THRESHOLD):
+    """Best alignment of every item with every whole document."""
+    words = lambda text: decontam._words_of(pa.array([text or ""]))[0]
+    listed = [(i, words(t)) for i, t in items]
+    out = {}
+    for doc, text in rows:
+        there = words(text)
+        for i, item in listed:
+            if len(item):
+                score = decontam.smith_waterman(item, there)[0]
+                if score >= max(threshold * 2 * len(item), 2 * min(len(item), 6)):
+                    out[doc, i] = score / (2 * len(item))
+    return out
+
+
+@pytest.mark.parametrize("size", [1, 2, 3, 5, 8, 12, 30, 61])
+def test_edited_copies_against_brute_force(spark, size):
+    rng = np.random.default_rng(size)
+    word = lambda: "".join(rng.choice(list("abcdefgh"), 4))
+    common = [word() for _ in range(30)]
+    noise = lambda n: [common[k] if rng.random() < 0.6 else word() for k in rng.integers(0, 30, n)]
+    items = [(i, " ".join(noise(size))) for i in range(6)]
+    rows = []
+    for i, text in items:
+        w = text.split()
+        edits = [w, w[::-1], w[:size // 2 + 1], w[size // 3:], [x for p, x in enumerate(w) if p % 3]]
+        for step in (2, 3, 4, 5):
+            edits.append([x if p % step else word() for p, x in enumerate(w)])  # replaced
+            edits.append([y for p, x in enumerate(w) for y in ([x, word()] if p % step == 0 else [x])])  # inserted
+            edits.append([x for p, x in enumerate(w) if p % step])  # left out
+            edits.append([y for p, x in enumerate(w) for y in ([word(), word()] if p % (2 * step) == 1 else [x] if p % 2 else [x, word()] if p % step == 0 else [x])])
+        for p in rng.random(12):  # any mixture of them
+            edits.append([y for x in w for y in ([x] if rng.random() > p / 2 else [[], [word()], [x, word()], [word(), x]][rng.integers(4)])])
+        rows += [(1000 * i + k, " ".join(noise(int(rng.integers(0, 90))) + e + noise(int(rng.integers(0, 90))))) for k, e in enumerate(edits)]
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    found = decontam.contaminated(table(spark, rows), bench).collect()
+    want = plain_leaks(rows, items)
+    assert {(r["doc_id"], r["item_id"]): round(r["score"], 9) for r in found} == {k: round(v, 9) for k, v in want.items()}
+    assert len(found) == len(want) >= 6
+
+
+def test_copies_that_alignment_finds_at_three_quarters_and_at_half(spark):
+    w = [f"w{i}" for i in range(30)]
+    inserted = [y for p, x in enumerate(w) for y in ([x, f"n{p}"] if p % 2 else [x])]
+    replaced = [x if p % 3 != 2 else f"n{p}" for p, x in enumerate(w)]
+    bench = spark.createDataFrame([(1, " ".join(w))], "item_id bigint, text string")
+    found = {r["doc_id"]: r["score"] for r in decontam.contaminated(table(spark, [(1, " ".join(inserted)), (2, " ".join(replaced))]), bench).collect()}
+    assert round(found[1], 2) == 0.77 and round(found[2], 3) == 0.517
+
+
+def test_seed_bound_holds_for_random_alignments():
+    rng = np.random.default_rng(3)
+    tried = 0
+    for _ in range(4000):
+        size = int(rng.integers(3, 14))
+        item = rng.integers(0, 9, size).astype(np.uint64)
+        there = [x for x in item.tolist() for x in ([x] if rng.random() < 0.6 else [[], [99], [x, 98], [97, x]][rng.integers(4)])]
+        passage = np.array(there, np.uint64)
+        score = decontam.smith_waterman(item, passage)[0]
+        if score >= decontam.least_score(size, 0.5):
+            tried += 1
+            gram, at = decontam.pairs(item, np.array([0, size]))
+            held, _ = decontam.pairs(passage, np.array([0, len(passage)]))
+            assert len(np.unique(at[np.isin(gram, held)])) >= decontam.least_starts(score)
+    assert tried > 1000
+
+
+def test_a_seed_shared_by_all_items_costs_few_alignments(spark):
+    items = [(i, f"answer the following question {' '.join(f'w{i}x{k}' for k in range(20))}") for i in range(400)]
+    rows = [(1, "answer the following question now " * 2000 + " ".join(f"w7x{k}" for k in range(20))), (2, "answer the following question now " * 500)]
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    found = decontam.contaminated(table(spark, rows), bench).collect()
+    assert [(r["doc_id"], r["item_id"]) for r in found] == [(1, 7)]
+
+
+@pytest.mark.parametrize("kind", ["int", "string", "double", "decimal(20,0)", "date"])
+def test_ids_of_any_type(spark, kind):
+    passage = " ".join(f"w{i}" for i in range(20))
+    made = "date_add(date'2024-01-01', cast(id as int))" if kind == "date" else f"cast(id as {kind})"
+    docs = spark.range(3).selectExpr(f"{made} as doc_id", f"if(id = 1, '{passage}', 'nothing') as text")
+    docs = docs.unionByName(docs.where("text <> 'nothing'").selectExpr(f"cast(null as {kind}) as doc_id", "text"))
+    bench = spark.range(2).selectExpr(f"{made} as item_id", f"if(id = 0, '{passage}', null) as text")
+    found = decontam.contaminated(docs, bench)
+    assert found.schema["doc_id"].dataType == docs.schema["doc_id"].dataType and found.count() == 2
 
 
-def test_exact_items_in_the_documents(spark):
+def test_contamination_query_against_brute_force(spark):
     texts = duckdb.sql(f"select doc_id, text from '{SMALL}/documents.parquet'").fetchall()
     items = duckdb.sql(f"select item_id, text from '{SMALL}/benchmark.parquet'").fetchall()
-    want = {(d, i) for d, t in texts for i, p in items if p in (t or "")}
-    got = {(r["doc_id"], r["item_id"]) for r in queries.op5_seed_alignment(spark, SMALL).collect()}
-    assert want and want <= got
+    got = {(r["doc_id"], r["item_id"]): round(r["score"], 9) for r in queries.op5_seed_alignment(spark, SMALL).collect()}
+    assert got and got == {k: round(v, 9) for k, v in plain_leaks(texts, items).items()}
 
 
 # -- language model --------------------------------------------------------
