@@ -3,9 +3,13 @@
 A unit of text (a word, or single letters that stand apart) is compared with
 others by its gapped subsequences of three characters, weighted by decay for
 each character they span. Inserted or missing characters change few of them.
-Landmarks span the feature space the support vector machine is trained in.
-The kernel is a product of explicit features, so a trained machine is one
-weight per subsequence, looked up by hash.
+A sentence is a window of a few units; its features are their sum over the
+root of their number. Landmarks span the feature space in which the support
+vector machine is trained on labelled sentences: those of clean texts are
+clean, and of a toxic text the sentences the machine finds most toxic are
+toxic, which is settled anew in every round. The kernel is a product of
+explicit features, so a trained machine is one weight per subsequence, looked
+up by hash.
 """
 
 from __future__ import annotations
@@ -25,13 +29,18 @@ DECAY = 0.6
 #: Characters that a subsequence may span; longer units are cut into overlapping windows.
 SPAN, WINDOW, STEP = 7, 24, 12
 FEATURE_BITS = 20
-#: Bounds of the training sample and of what the driver fits on.
+#: The mark in front of a unit.
+OPEN = 2
+#: Units of a sentence.
+SENTENCE = 2
+#: Bounds of the training sample and of what the driver fits on: a sample's text gives two sentences at most.
 SAMPLE_DOCS = 12_000
-POSITIVE_UNITS, NEGATIVE_UNITS, HARD_UNITS = 3_000, 6_000, 2_000
-POSITIVE_LANDMARKS, NEGATIVE_LANDMARKS = 200, 100
-HARD_ROUNDS = 2
-#: Log odds from which a unit may be a sign of toxicity.
-MIN_ODDS = 3.0
+POSITIVE_UNITS, NEGATIVE_UNITS = 3_000, 6_000
+POSITIVE_LANDMARKS, NEGATIVE_LANDMARKS = 250, 100
+#: Rounds of choosing the toxic texts' sentences and training on them; margin from which a sentence may be the reason of its text's label.
+ROUNDS, PLAUSIBLE = 4, -0.5
+#: Log odds from which a unit may be a sign of toxicity; the first of them that any unit reaches.
+MIN_ODDS = (3.0, 2.0, 1.0)
 #: Margin of a text without units of three characters.
 NOTHING = -2.0
 # Digits and signs that stand for letters.
@@ -98,6 +107,11 @@ def units(code: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return chars, edges, np.repeat(owner, times)
 
 
+def opened(chars: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The units with a mark in front of each, so that how a word begins is told from the same letters inside it."""
+    return np.insert(chars, edges[:-1], OPEN), edges + np.arange(len(edges))
+
+
 def subsequences(chars: np.ndarray, edges: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, float]]:
     """For each pair of gaps: (where a subsequence starts, its hash, its weight)."""
     stop = np.repeat(edges[1:], np.diff(edges))
@@ -112,6 +126,7 @@ def subsequences(chars: np.ndarray, edges: np.ndarray) -> Iterator[tuple[np.ndar
 
 def features(chars: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Unit, hash and weight of every subsequence; a unit's weights have length one."""
+    chars, edges = opened(chars, edges)
     unit_of = np.repeat(np.arange(len(edges) - 1), np.diff(edges))
     found = [(unit_of[at], key, np.full(len(at), weight)) for at, key, weight in subsequences(chars, edges)]
     unit, key, weight = (np.concatenate(c) for c in zip(*found))
@@ -128,8 +143,9 @@ class Machine:
     slope: float = 4.0
     shift: float = 0.0
 
-    def margins(self, chars: np.ndarray, edges: np.ndarray) -> np.ndarray:
-        """Margin of each unit."""
+    def values(self, chars: np.ndarray, edges: np.ndarray) -> np.ndarray:
+        """What each unit adds to a sentence, before the offset."""
+        chars, edges = opened(chars, edges)
         top = np.zeros(len(chars))
         norm = np.zeros(len(chars))
         mask = np.uint64((1 << FEATURE_BITS) - 1)
@@ -138,51 +154,86 @@ class Machine:
             norm[at] += weight * weight
         total = np.add.reduceat(top, edges[:-1])
         size = np.sqrt(np.add.reduceat(norm, edges[:-1]))
-        return np.where(size > 0, total / np.where(size > 0, size, 1) + self.offset, NOTHING)
+        return np.where(size > 0, total / np.where(size > 0, size, 1), 0.0)
 
-    def of_texts(self, texts: pa.Array) -> np.ndarray:
-        """Largest margin of a unit in each text."""
+    def sentences(self, texts: pa.Array):
+        """Sentences of all texts: (units' letters, edges), then for each sentence its first unit, number of units, text and margin.
+
+        Units of fewer than three letters have no features and are passed over.
+        """
         code, starts = codes(texts)
         chars, edges, owner = units(code, starts)
-        out = np.full(len(starts) - 1, NOTHING)
-        if len(chars):
-            own = np.repeat(np.arange(len(edges) - 1), np.diff(edges))
-            begin, _, name = words(chars, edges, np.ones(len(chars), bool))
-            assert len(begin) == len(edges) - 1 == own[-1] + 1
-            _, first, back = np.unique(name, return_index=True, return_inverse=True)
-            size = np.diff(edges)[first]
-            take = np.repeat(edges[first] - np.cumsum(size) + size, size) + np.arange(size.sum())
-            each = self.margins(chars[take], np.concatenate([[0], np.cumsum(size)]))[back]
-            np.maximum.at(out, owner, each)
-        return out
+        long = np.flatnonzero(np.diff(edges) >= 3)
+        if not len(long):
+            none = np.zeros(0, np.int64)
+            return chars, edges, long, none, none, none, np.zeros(0)
+        begin, _, name = words(chars, edges, np.ones(len(chars), bool))
+        assert len(begin) == len(edges) - 1
+        _, first, back = np.unique(name[long], return_index=True, return_inverse=True)
+        one = long[first]
+        size = edges[one + 1] - edges[one]
+        take = np.repeat(edges[one] - np.cumsum(size) + size, size) + np.arange(size.sum())
+        each = self.values(chars[take], np.concatenate([[0], np.cumsum(size)]))[back]
+        owner = owner[long]
+        held = np.bincount(owner, minlength=len(starts) - 1)
+        sums = np.concatenate([[0.0], np.cumsum(each)])
+        # One sentence from each unit on that has enough after it; a shorter text is one sentence.
+        at = np.arange(len(long))
+        left = np.cumsum(held)[owner] - at
+        full = (left >= SENTENCE) | ((held[owner] < SENTENCE) & (left == held[owner]))
+        at, text = at[full], owner[full]
+        count = np.minimum(SENTENCE, held[text])
+        return chars, edges, long, at, count, text, (sums[at + count] - sums[at]) / np.sqrt(count) + self.offset
+
+    def of_texts(self, texts: pa.Array) -> np.ndarray:
+        """Largest margin of a sentence in each text."""
+        *_, text, margin = self.sentences(texts)
+        out = np.full(len(texts), -np.inf)
+        np.maximum.at(out, text, margin)
+        return np.where(np.isneginf(out), NOTHING, out)
 
     def probability(self, margin: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(self.slope * margin + self.shift, -30, 30)))
 
 
-def _dense(names: list[str], columns: np.ndarray) -> np.ndarray:
-    """Feature rows of the units over the given subsequences (sorted hashes)."""
-    code, starts = codes(pa.array(names))
-    edges = starts
-    unit, key, weight = features(code, edges)
-    at = np.minimum(np.searchsorted(columns, key), len(columns) - 1)
-    ok = columns[at] == key
-    out = np.zeros((len(names), len(columns)))
-    np.add.at(out, (unit[ok], at[ok]), weight[ok])
+def _products(names: list[str], columns: np.ndarray, base: np.ndarray) -> np.ndarray:
+    """Kernel of each unit with each landmark, from the landmarks' feature rows over their subsequences (sorted hashes)."""
+    out = np.zeros((len(names), len(base)))
+    across = np.ascontiguousarray(base.T)
+    for low in range(0, len(names), 100):
+        code, edges = codes(pa.array(names[low:low + 100]))
+        unit, key, weight = features(code, edges)
+        at = np.minimum(np.searchsorted(columns, key), len(columns) - 1)
+        ok = np.flatnonzero(columns[at] == key)
+        ok = ok[np.argsort(unit[ok], kind="stable")]
+        if len(ok):
+            begin = np.flatnonzero(np.diff(unit[ok], prepend=-1))
+            out[low + unit[ok][begin]] = np.add.reduceat(across[at[ok]] * weight[ok][:, None], begin, axis=0)
     return out
 
 
-def fit(positive: list[str], negative: list[str], landmarks: list[str], cost: float = 10.0) -> Machine:
-    """Squared-hinge support vector machine on Nyström features of the units."""
+def _rows(landmarks: list[str]) -> tuple[np.ndarray, np.ndarray]:
     code, edges = codes(pa.array(landmarks))
-    columns = np.unique(features(code, edges)[1])
-    base = _dense(landmarks, columns)
+    unit, key, weight = features(code, edges)
+    columns = np.unique(key)
+    base = np.zeros((len(landmarks), len(columns)))
+    np.add.at(base, (unit, np.searchsorted(columns, key)), weight)
+    return columns, base
+
+
+def fit(positive: list[str], negative: list[str], landmarks: list[str], cost: float = 10.0) -> Machine:
+    """Squared-hinge support vector machine on Nyström features of sentences (units with blanks between)."""
+    columns, base = _rows(landmarks)
     values, vectors = np.linalg.eigh(base @ base.T)
     good = values > 1e-6
     root = vectors[:, good] / np.sqrt(values[good])  # K^(-1/2) of the landmarks' kernel
-    names, sign = positive + negative, np.array([1.0] * len(positive) + [-1.0] * len(negative))
-    parts = [_dense(names[i:i + 500], columns) @ base.T for i in range(0, len(names), 500)]
-    z = np.concatenate(parts) @ root
+    held, sign = [t.split(" ") for t in positive + negative], np.array([1.0] * len(positive) + [-1.0] * len(negative))
+    names = sorted({u for t in held for u in t})
+    number = {u: i for i, u in enumerate(names)}
+    each = _products(names, columns, base) @ root
+    sizes = np.array([len(t) for t in held])
+    begin = np.cumsum(sizes) - sizes
+    z = np.add.reduceat(each[np.array([number[u] for t in held for u in t])], begin, axis=0) / np.sqrt(sizes)[:, None]
     z = np.concatenate([z, np.ones((len(z), 1))], axis=1)
     share = np.where(sign > 0, len(sign) / (2 * max(1, len(positive))), len(sign) / (2 * max(1, len(negative))))
     w = np.zeros(z.shape[1])
@@ -218,6 +269,35 @@ def _split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["unit", "toxic", "doc"])
 
 
+def _chosen(shared):
+    """Of each text its most toxic sentence, the most toxic one beside it, and one chosen by hash."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        machine = shared.value
+        for batch in batches:
+            for part in slices(batch, "text"):
+                chars, edges, long, at, count, text, margin = machine.sentences(part.column(part.schema.get_field_index("text")))
+                label = np.asarray(part.column(part.schema.get_field_index("toxic")))
+                doc = np.asarray(part.column(part.schema.get_field_index("doc")))
+                letters = chars.astype("<u4").tobytes().decode("utf-32-le", "replace")
+                rows = []
+                cut = np.searchsorted(text, np.arange(part.num_rows + 1))
+                for t, (a, b) in enumerate(zip(cut, cut[1:])):
+                    if a == b:
+                        continue
+                    best = a + int(margin[a:b].argmax())
+                    apart = np.abs(np.arange(a, b) - best) >= SENTENCE
+                    picks = [("top", best), ("any", a + int(doc[t]) % (b - a))]
+                    if apart.any():
+                        picks.append(("next", a + int(np.where(apart, margin[a:b], -np.inf).argmax())))
+                    for kind, i in picks:
+                        sentence = " ".join(letters[edges[u]:edges[u + 1]] for u in long[at[i]:at[i] + count[i]])
+                        rows.append((kind, int(label[t]), sentence, float(margin[i])))
+                columns = list(zip(*rows)) if rows else [[]] * 4
+                kinds = [pa.string(), pa.int32(), pa.string(), pa.float64()]
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["kind", "toxic", "sentence", "margin"])
+    return run
+
+
 def _margin(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         machine = shared.value
@@ -231,29 +311,43 @@ def _margin(shared):
 
 
 def margins(docs: DataFrame, machine: Machine) -> DataFrame:
-    """``docs`` with ``margin`` in place of its ``text``: the largest of the text's units."""
+    """``docs`` with ``margin`` in place of its ``text``: the largest of the text's sentences."""
     shared = docs.sparkSession.sparkContext.broadcast(machine)
     kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name != "text")
     return docs.mapInArrow(_margin(shared), f"{kept}, margin double" if kept else "margin double")
 
 
+def sampled(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_DOCS) -> DataFrame:
+    """Labelled texts ``(text, toxic, doc)``: at most ``sample`` of them, half toxic where there are so many, chosen by hash.
+
+    An id's different texts are different samples, equal ones count once,
+    however often its row is repeated, so the bound holds for any table.
+    """
+    once = labels.where(F.col("toxic").isin(0, 1)).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
+    rows = once.where(F.col("doc_id").isNotNull()).withColumn("pick", F.xxhash64(F.lit(17), "doc_id"))
+    parts = [rows.where(F.col("toxic") == t).orderBy("pick", "doc_id").limit(sample // 2) for t in (1, 0)]
+    chosen = scratch(parts[0].unionByName(parts[1]).select("doc_id", "toxic"), "toxic-labels")
+    texts = docs.where(F.col("text").isNotNull()).select("doc_id", "text", F.xxhash64("text").alias("name"))
+    # The chosen labels are `sample` rows at most, and so are the names chosen of their texts: they go to all executors, and no other text moves.
+    names = texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "name", "toxic").distinct().withColumn("doc", F.xxhash64(F.lit(17), "doc_id", "name"))
+    parts = [names.where(F.col("toxic") == t).orderBy("doc", "doc_id").limit(sample // 2) for t in (1, 0)]
+    names = scratch(parts[0].unionByName(parts[1]), "toxic-names")
+    found = texts.join(F.broadcast(names), ["doc_id", "name"]).groupBy("doc_id", "name", "toxic", "doc").agg(F.min("text").alias("text"))
+    return scratch(found.select("text", "toxic", "doc").repartition(24), "toxic-sample")
+
+
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_DOCS) -> Machine:
     """A machine from texts ``(doc_id, text)`` and labels ``(doc_id, toxic)``.
 
-    Fits on the texts of at most ``sample`` labels, half of them toxic where
-    there are so many, chosen by hash. Units of toxic texts that clean ones
-    lack start as positive; the clean units the machine is most wrong about
-    join the negatives, twice. Null labels, ids and texts do not count; of an
-    id's labels the highest does. Without a toxic or a clean text everything
-    scores as the one label there is.
+    Fits on :func:`sampled` texts. Units that toxic texts have and clean ones
+    lack show which sentences to start from. Then, round by round, a toxic
+    text's most toxic sentences are labelled toxic if they may plausibly be the
+    reason, a clean text's most toxic one and another are labelled clean, and
+    the machine is trained on these labelled sentences. Null labels, ids and
+    texts do not count; of an id's labels the highest does. Without a toxic or
+    a clean text everything scores as the one label there is.
     """
-    once = labels.where(F.col("toxic").isin(0, 1)).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
-    rows = once.where(F.col("doc_id").isNotNull()).withColumn("doc", F.xxhash64(F.lit(17), "doc_id"))
-    parts = [rows.where(F.col("toxic") == t).orderBy("doc", "doc_id").limit(sample // 2) for t in (1, 0)]
-    chosen = scratch(parts[0].unionByName(parts[1]), "toxic-labels")
-    # The chosen labels are `sample` rows at most, so they are sent to all executors and no text moves.
-    texts = docs.where(F.col("text").isNotNull()).select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
-    texts = scratch(texts.select("text", "toxic", "doc").repartition(24), "toxic-sample")
+    texts = sampled(docs, labels, sample)
     n = {r["toxic"]: r["n"] for r in texts.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     if len(n) < 2:
         share = 1.0 if 1 in n else 0.0
@@ -263,32 +357,47 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_DOCS) -> Mach
     b, g = F.col("bad") + F.lit(0.5), F.col("good") + F.lit(0.5)
     odds = F.log(b / F.lit(n[1] + 1)) - F.log(g / F.lit(n[0] + 1))
     scored = stats.select("unit", "bad", "good", (odds * F.sqrt("bad")).alias("weight"), F.xxhash64("unit").alias("h"))
-    top = scored.where((F.col("bad") >= 2) & (odds > MIN_ODDS)).orderBy(F.desc("weight"), "unit").limit(POSITIVE_UNITS)
+    scored = scored.withColumn("odds", odds)
+    strongest = scored.where("bad >= 2").agg(F.max("odds")).first()[0] or 0.0
+    least = next((m for m in MIN_ODDS if strongest > m), MIN_ODDS[-1])
+    top = scored.where((F.col("bad") >= 2) & (F.col("odds") > least)).orderBy(F.desc("weight"), "unit").limit(POSITIVE_UNITS)
     names = scratch(top.select("unit"), "top-units")
     # At most POSITIVE_UNITS lists of at most sample / 2 documents.
     lists = found.where("toxic = 1").join(names, "unit").groupBy("unit").agg(F.collect_set("doc").alias("docs")).collect()
     positive = cover({r["unit"]: set(r["docs"]) for r in lists})
-    clean = scored.where(F.col("good") >= 1).where(~F.col("unit").isin(positive)) if positive else scored
+    if not positive:
+        return Machine(np.zeros(1 << FEATURE_BITS, np.float32), 0.0, 0.0, float(np.log(n[1] / n[0])))
+    clean = scored.where(F.col("good") >= 1).where(~F.col("unit").isin(positive))
     common = [r["unit"] for r in clean.orderBy(F.desc("good"), "unit").limit(NEGATIVE_UNITS // 3).collect()]
     other = [r["unit"] for r in clean.orderBy("h", "unit").limit(NEGATIVE_UNITS).collect()]
     negative = list(dict.fromkeys(common + other))
-    if not positive:
-        return Machine(np.zeros(1 << FEATURE_BITS, np.float32), 0.0, 0.0, float(np.log(n[1] / n[0])))
-    landmarks = list(dict.fromkeys(positive[:POSITIVE_LANDMARKS] + negative[:NEGATIVE_LANDMARKS]))
+    landmarks = list(dict.fromkeys(positive[:POSITIVE_LANDMARKS // 2] + negative[:NEGATIVE_LANDMARKS]))
     machine = fit(positive, negative, landmarks)
-    for _ in range(HARD_ROUNDS):
-        names = clean.select("unit", F.col("unit").alias("text")).repartition(24)
-        hard = margins(names, machine).orderBy(F.desc("margin"), "unit").limit(HARD_UNITS)
-        worst = [r["unit"] for r in hard.collect() if r["margin"] > -1]
-        negative = list(dict.fromkeys(negative + worst))
-        landmarks = list(dict.fromkeys(landmarks + worst[:NEGATIVE_LANDMARKS // 2]))
-        machine = fit(positive, negative, landmarks)
+    good: set[str] = set()
+    for _ in range(ROUNDS):
+        shared = texts.sparkSession.sparkContext.broadcast(machine)
+        picked = texts.mapInArrow(_chosen(shared), "kind string, toxic int, sentence string, margin double").collect()  # three rows a sampled text
+        bad = sorted({r["sentence"] for r in picked if r["toxic"] and r["kind"] != "any" and r["margin"] > PLAUSIBLE})
+        good |= {r["sentence"] for r in picked if not r["toxic"] and (r["kind"] != "next" or r["margin"] > PLAUSIBLE)}
+        if not bad or not good:
+            break
+        fresh = _telling(machine, bad, POSITIVE_LANDMARKS) + _telling(machine, sorted(good), NEGATIVE_LANDMARKS)
+        landmarks = list(dict.fromkeys([*landmarks, *fresh]))[:POSITIVE_LANDMARKS * 2 + NEGATIVE_LANDMARKS * 2]
+        machine = fit(bad, sorted(good), landmarks)
     seen = margins(texts, machine).collect()  # a pair of numbers per sampled text
     x, y = np.array([r["margin"] for r in seen]), np.array([r["toxic"] for r in seen], float)
     machine.slope, machine.shift = calibrate(x, y)
     return machine
 
 
+def _telling(machine: Machine, sentences: list[str], most: int) -> list[str]:
+    """Units of the sentences that the machine finds most toxic."""
+    names = sorted({u for t in sentences for u in t.split(" ")})
+    code, edges = codes(pa.array(names))
+    value = machine.values(code, edges)
+    return [names[i] for i in np.argsort(-value, kind="stable")[:most]]
+
+
 def cover(lists: dict[str, set]) -> list[str]:
     """Units that explain the toxic documents, most telling first.
 

@@ -41,6 +41,7 @@ def test_components_of_chains_and_stars(spark):
 def plain_kernel(s, t):
     def weights(x):
         out = collections.Counter()
+        x = chr(toxicity.OPEN) + x
         for i, j, k in itertools.combinations(range(len(x)), 3):
             if k - i < toxicity.SPAN:
                 out[x[i] + x[j] + x[k]] += toxicity.DECAY ** (k - i - 2)
@@ -54,7 +55,7 @@ def test_features_give_the_subsequence_kernel():
     code, edges = toxicity.codes(pa.array(names))
     unit, key, weight = toxicity.features(code, edges)
     rows = [collections.Counter() for _ in names]
-    norm = [math.sqrt(sum(toxicity.DECAY ** (2 * (k - i - 2)) for i, j, k in itertools.combinations(range(len(n)), 3) if k - i < toxicity.SPAN)) for n in names]
+    norm = [math.sqrt(sum(toxicity.DECAY ** (2 * (k - i - 2)) for i, j, k in itertools.combinations(range(len(n) + 1), 3) if k - i < toxicity.SPAN)) for n in names]
     for u, f, w in zip(unit, key, weight):
         rows[u][f] += w * norm[u]
     for i, j in itertools.product(range(len(names)), repeat=2):
@@ -95,6 +96,58 @@ def test_toxicity_finds_gapped_insults(spark):
     assert all(0 <= r["score"] <= 1 for r in got.values()) and got[101]["score"] == got[102]["score"]
 
 
+def test_sentence_margins_against_plain_sums():
+    rng = np.random.default_rng(2)
+    machine = toxicity.Machine(rng.standard_normal(1 << toxicity.FEATURE_BITS).astype(np.float32), -0.3)
+    texts = ["alpha beta gamma delta", "one", "a b", "", None, "to be alpha", "ab cde"]
+
+    def value(unit):
+        chars = np.frombuffer(unit.encode("utf-32-le"), np.uint32)
+        return machine.values(chars, np.array([0, len(chars)]))[0]
+
+    def margin(text):
+        long = [u for u in toxicity_units(text) if len(u) >= 3]
+        size = min(toxicity.SENTENCE, len(long))
+        sums = [sum(map(value, long[i:i + size])) / math.sqrt(size) - 0.3 for i in range(len(long) - size + 1)] if long else []
+        return max(sums, default=toxicity.NOTHING)
+
+    np.testing.assert_allclose(machine.of_texts(pa.array(texts)), [margin(t) for t in texts], atol=1e-6)
+
+
+def toxicity_units(text):
+    chars, edges, _ = toxicity.units(*toxicity.codes(pa.array([text], pa.string())))
+    return ["".join(map(chr, chars[a:b])) for a, b in zip(edges, edges[1:])]
+
+
+def test_an_insult_of_two_harmless_words_is_learnt(spark):
+    rng = np.random.default_rng(4)
+    calm = [a + b for a in ("lo", "mi", "ra", "te", "su", "no") for b in ("ran", "del", "mor", "tis", "pen", "gal")]
+    rows = []
+    for i in range(900):
+        w = list(rng.choice(calm, 24))
+        at = sorted(rng.choice(22, 2, replace=False))
+        bad = i % 3 == 0
+        if bad:
+            w[at[0]:at[0] + 2] = ["rotten", "apple"]
+        elif i % 3 == 1:  # either word alone is harmless
+            w[at[0]], w[at[1]] = ("rotten", w[at[1]]) if i % 2 else ("apple", w[at[1]])
+        rows.append((i, " ".join(w), int(bad)))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, toxic int")
+    machine = toxicity.train(docs.where("doc_id < 700").select("doc_id", "text"), docs.select("doc_id", "toxic"))
+    got = toxicity.score(docs.where("doc_id >= 700").select("doc_id", "text"), machine).collect()
+    right = sum(r["predicted"] == rows[r["doc_id"]][2] for r in got)
+    assert right / len(got) > 0.9
+
+
+def test_sample_stays_within_its_bound_when_ids_repeat(spark):
+    rows = [(i % 8, f"same text of {i % 8}", i % 2) for i in range(4000)] + [(i % 8, f"text number {i} of a hot id", i % 2) for i in range(4000)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, toxic int").repartition(4)
+    found = toxicity.sampled(docs.select("doc_id", "text"), docs.select("doc_id", "toxic"), 8).collect()
+    assert len(found) <= 8 and len({r["text"] for r in found}) == len(found)
+    once = toxicity.sampled(docs.where("text like 'same%'").select("doc_id", "text"), docs.select("doc_id", "toxic"), 100).collect()
+    assert len(once) == 8
+
+
 def test_toxicity_edge_rows_and_missing_labels(spark):
     kind = "doc_id bigint, text string, toxic int"
     for rows in ([], [(1, "a b", None)], [(1, "only toxic words", 1)], [(1, "only clean words", 0)], [(1, None, 1), (2, "x", 0)],
@@ -113,7 +166,8 @@ def test_toxicity_on_held_out_labels(spark):
     assert all(h == (zlib.crc32(str(d).encode()) % 5 == 0) for d, h in zip(got.doc_id[:500], got.held_out[:500]))
     right = (both.predicted == both.toxic).mean()
     found = both[both.toxic == 1].predicted.mean()
-    assert right >= 0.95 and found >= 0.75
+    sure = both[both.predicted == 1].toxic.mean()
+    assert right >= 0.95 and found >= 0.8 and sure >= 0.85
 
 
 # -- ProbMinHash -----------------------------------------------------------
