@@ -10,6 +10,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator, Sequence
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
@@ -42,6 +43,8 @@ _ADDED = {kind: re.compile(pattern, re.ASCII) for kind, pattern in ADDED.items()
 _ADDED_HINTS = {"pem": ("-----BEGIN ",), "jwt": ("eyJ",), "chat": ("xox",), "url_login": ("://",),
                 "forge": ("ghp", "gho", "ghs", "ghu", "ghr", "glpat", "npm", "pypi")}
 
+#: What stands in a redacted text for a secret.
+MARK = "[SECRET]"
 SPANS = "spans array<struct<kind:string,start:int,end:int>>"
 
 
@@ -112,22 +115,34 @@ def findings_by_path(versions: DataFrame, ledger: DataFrame, path: Sequence[str]
     return keyed.join(hits, "blob", "left").select(*path, "blob", F.coalesce("spans", empty).alias("spans"))
 
 
-def redact(text, spans, mark: str = "[SECRET]"):
-    """``text`` (column) with each span replaced by ``mark``; overlapping spans become one."""
-    # Spans come by start. Text is copied from `at` on; a span below `at` only moves `at`.
-    start = F.struct(F.lit("").alias("out"), F.lit(0).alias("at"))
+def masked(text: str, spans, mark: str = MARK) -> str:
+    """``text`` with each (start, end) replaced by ``mark``; overlapping spans become one."""
+    out, at = [], 0
+    for start, end in sorted(spans):
+        if start >= at:
+            out += [text[at:start], mark]
+        at = max(at, end)
+    return "".join([*out, text[at:]])
 
-    def step(acc, s):
-        fresh = s["start"] >= acc["at"]
-        before = F.when(fresh, F.concat(F.substr(text, acc["at"] + 1, s["start"] - acc["at"]), F.lit(mark))).otherwise(F.lit(""))
-        return F.struct(F.concat(acc["out"], before).alias("out"), F.greatest(acc["at"], s["end"]).alias("at"))
 
-    return F.when(F.size(spans) == 0, text).otherwise(F.aggregate(
-        spans, start, step, lambda acc: F.concat(acc["out"], F.substr(text, acc["at"] + 1, F.length(text) + 1))))
+def redact(text, spans, mark: str = MARK):
+    """``text`` (column) with each span replaced by ``mark``; overlapping spans become one.
+
+    A null text stays null; null or no spans leave the text as it is. Only
+    texts with spans leave the JVM, and each is cut up once, so work is in
+    proportion to the text and its spans.
+    """
+    @F.pandas_udf("string")
+    def cut(texts: pd.Series, found: pd.Series) -> pd.Series:
+        return pd.Series([None if t is None else masked(t, [(s["start"], s["end"]) for s in spans], mark) for t, spans in zip(texts, found)], dtype=object)
+
+    some = F.coalesce(F.size(spans) > 0, F.lit(False))
+    # Null arguments for the others keep their texts out of the transfer.
+    return F.when(some, cut(F.when(some, text), F.when(some, spans))).otherwise(text)
 
 
 def digest(found: DataFrame) -> DataFrame:
-    """Counts, hash of the base spans and all spans, as text, for each path row."""
+    """Counts, hash of the base spans and all spans, as text, for each path row; zeros and empty texts without spans."""
     def joined(spans):
         return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 

@@ -1,10 +1,12 @@
 import hashlib
 import re
+import time
 import zlib
 
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from genflow.llm import chat, packing, pii, queries, secrets, sharding
 
@@ -96,6 +98,19 @@ def test_redaction_of_overlaps(spark):
     assert out == "a [SECRET] b"
 
 
+def test_redaction_of_nulls_and_many_spans(spark):
+    kind = "array<struct<kind:string,start:int,end:int>>"
+    rows = spark.createDataFrame([(1, None, None), (2, "abc", []), (3, "abc", None), (4, "a€cdef", [("x", 0, 2), ("y", 1, 3), ("z", 5, 6)]), (5, None, [("x", 0, 1)])],
+                                 f"i int, t string, s {kind}")
+    got = {r["i"]: r["o"] for r in rows.select("i", secrets.redact(F.col("t"), F.col("s")).alias("o")).collect()}
+    assert got == {1: None, 2: "abc", 3: "abc", 4: "[SECRET]de[SECRET]", 5: None}
+    started = time.time()
+    long = spark.createDataFrame([("token=abcdefgh " * 60_000,)], "text string").withColumn("doc_id", F.lit(1))
+    found = secrets.findings_by_path(long, secrets.scan_unseen(long)).select("spans")
+    out = long.crossJoin(found).select(secrets.redact(F.col("text"), F.col("spans")).alias("o")).first()["o"]
+    assert out == "[SECRET] " * 60_000 and time.time() - started < 60
+
+
 # -- chat ------------------------------------------------------------------
 
 def test_chat_query_against_sql(spark):
@@ -306,6 +321,76 @@ def test_personal_query_against_plain_patterns(spark):
         assert [rows[doc][f"n_{k}"] for k in pii.BASE] == [len(v) for v in plain_pii(text).values()]
 
 
+def test_a_megabyte_of_matches_takes_seconds(spark):
+    texts = ["1 a " * 260_000, "+12 345 678 x " * 75_000, "1.2.3.4 " * 130_000]
+    docs = table(spark, list(enumerate(texts)))
+    started = time.time()
+    rows = {r["doc_id"]: r for r in pii.digest(pii.find(docs)).collect()}
+    assert time.time() - started < 90
+    for i, text in enumerate(texts):
+        assert [rows[i][f"n_{k}"] for k in pii.BASE] == [len(v) for v in plain_pii(text).values()]
+
+
+def test_digit_runs_as_the_plain_card_pattern(spark):
+    rng = np.random.default_rng(6)
+    good = "4539148803436467"
+    texts = ["".join(rng.choice(list("0123456789 --x"), 400)) for _ in range(200)]
+    texts += [f"{a}{good}{b}" for a in ("", "1", "1 ", "1  ", "1-", "x", "- ", "1--", " ") for b in ("", "1", " 1", "  1", "-", "- 1", "-x")]
+    texts += [" ".join(good[i:i + 4] for i in range(0, 16, 4)) + tail for tail in ("", " 0", " 00", " 000", " 0000")]
+    rows = {r["doc_id"]: r["spans"] for r in pii.find(table(spark, list(enumerate(texts)))).collect()}
+    for i, text in enumerate(texts):
+        assert sorted((s["start"], s["end"]) for s in rows[i] if s["kind"] == "card") == plain_pii(text)["card"], text
+
+
+def plain_like(text):
+    """Candidates of the looser generators by Python's patterns, which know possessive runs too."""
+    return {k: [(m.start(), m.end()) for m in re.finditer(p, text)] for k, p in pii.LIKE.items()}
+
+
+def test_candidates_of_all_kinds_are_placed_right(spark):
+    rng = np.random.default_rng(8)
+    bits = ["1.2.3.4", "10,20,30,40", "4111-1111 1111", "415-555-2671", "(415) 555 2671", "jo at x.com", "jo(at)x(dot)com", "a@b.co", "é", "word", "\n", "12", "+1 415 555 2671"]
+    texts = [" ".join(rng.choice(bits, 40)) for _ in range(60)]
+    names, found = pii.candidates(table(spark, list(enumerate(texts))))
+    got = {}
+    for r in found.join(names, "nid").collect():
+        got.setdefault((r["doc_id"], r["kind"]), []).append((r["start"], r["end"]))
+    for i, text in enumerate(texts):
+        for kind, spans in plain_like(text).items():
+            assert sorted(got.get((i, kind), [])) == spans, (kind, text)
+        base = plain_pii(text)
+        held = {k: [s for s in got.get((i, k), [])] for k in pii.BASE}
+        assert all(set(base[k]) <= set(held[k]) for k in pii.BASE)
+
+
+def test_no_feature_shows_the_hidden_check(spark):
+    good = [f"card 4539-1488-0343-646{d} paid" for d in range(10)]
+    _, found = pii.candidates(table(spark, list(enumerate(good))))
+    rows = found.where("kind = 'card_like'").collect()
+    assert len(rows) == 10 and sum(r["holds"] for r in rows) == 1 and len({tuple(r["features"]) for r in rows}) == 1
+
+
+def test_likelier_spans_beat_those_they_overlap(spark):
+    rows = [(1, "ip_like", 0, 10, 0.9), (1, "phone_like", 5, 15, 0.8), (1, "card_like", 14, 20, 0.7), (1, "ip_like", 190, 195, 0.6), (1, "card_like", 191, 200, 0.6),
+            (2, "ip_like", 0, 10, 0.1)]
+    judged = spark.createDataFrame(rows, "nid bigint, kind string, start int, end int, p double")
+    got = {tuple(r) for r in pii._beaten(judged).collect()}
+    assert got == {(1, "phone_like", 5), (1, "card_like", 14), (1, "card_like", 191)}
+
+
+def test_thresholds_and_measures_of_each_kind(spark):
+    rng = np.random.default_rng(9)
+    code = lambda a, b: str(rng.integers(a, b))
+    rows = [(i, f"please call {code(2, 9)}{code(10, 99)}-{code(2, 9)}{code(10, 99)}-{code(1000, 9999)} today") for i in range(400)]
+    rows += [(1000 + i, f"part no {code(0, 2)}{code(10, 99)}-{code(0, 2)}{code(10, 99)}-{code(1000, 9999)} in stock") for i in range(400)]
+    _, found = pii.candidates(table(spark, rows))
+    model, thresholds, report = pii.train(found.cache())
+    mine = next(r for r in report if r["kind"] == "phone_like")
+    assert model is not None and thresholds["phone_like"] >= 0.5 and mine["precision"] >= 0.98 and mine["recall"] > 0.9 and mine["held_out"] > 100
+    spans = {r["doc_id"]: len(r["spans"]) for r in pii.find(table(spark, rows)).collect()}
+    assert sum(spans[i] for i in range(400)) > 380 and sum(spans[1000 + i] for i in range(400)) < 10
+
+
 def test_trees_add_likely_spans_that_overlap_no_base_span(spark):
     rng = np.random.default_rng(5)
     number = lambda: "-".join(str(n) for n in rng.integers(100, 999, 3)) + str(rng.integers(0, 9))
