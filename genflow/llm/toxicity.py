@@ -36,7 +36,7 @@ SENTENCE = 2
 #: Bounds of the training sample and of what the driver fits on: a sample's text gives two sentences at most.
 SAMPLE_DOCS = 12_000
 POSITIVE_UNITS, NEGATIVE_UNITS = 3_000, 6_000
-POSITIVE_LANDMARKS, NEGATIVE_LANDMARKS = 250, 100
+POSITIVE_LANDMARKS, NEGATIVE_LANDMARKS, MOST_LANDMARKS = 200, 80, 450
 #: Rounds of choosing the toxic texts' sentences and training on them; margin from which a sentence may be the reason of its text's label.
 ROUNDS, PLAUSIBLE = 4, -0.5
 #: Log odds from which a unit may be a sign of toxicity; the first of them that any unit reaches.
@@ -198,8 +198,8 @@ class Machine:
 
 def _products(names: list[str], columns: np.ndarray, base: np.ndarray) -> np.ndarray:
     """Kernel of each unit with each landmark, from the landmarks' feature rows over their subsequences (sorted hashes)."""
-    out = np.zeros((len(names), len(base)))
-    across = np.ascontiguousarray(base.T)
+    out = np.zeros((len(names), len(base)), np.float32)
+    across = np.ascontiguousarray(base.T, np.float32)
     for low in range(0, len(names), 100):
         code, edges = codes(pa.array(names[low:low + 100]))
         unit, key, weight = features(code, edges)
@@ -208,7 +208,7 @@ def _products(names: list[str], columns: np.ndarray, base: np.ndarray) -> np.nda
         ok = ok[np.argsort(unit[ok], kind="stable")]
         if len(ok):
             begin = np.flatnonzero(np.diff(unit[ok], prepend=-1))
-            out[low + unit[ok][begin]] = np.add.reduceat(across[at[ok]] * weight[ok][:, None], begin, axis=0)
+            out[low + unit[ok][begin]] = np.add.reduceat(across[at[ok]] * weight[ok][:, None].astype(np.float32), begin, axis=0)
     return out
 
 
@@ -230,19 +230,25 @@ def fit(positive: list[str], negative: list[str], landmarks: list[str], cost: fl
     held, sign = [t.split(" ") for t in positive + negative], np.array([1.0] * len(positive) + [-1.0] * len(negative))
     names = sorted({u for t in held for u in t})
     number = {u: i for i, u in enumerate(names)}
-    each = _products(names, columns, base) @ root
+    each = _products(names, columns, base) @ root.astype(np.float32)
     sizes = np.array([len(t) for t in held])
     begin = np.cumsum(sizes) - sizes
-    z = np.add.reduceat(each[np.array([number[u] for t in held for u in t])], begin, axis=0) / np.sqrt(sizes)[:, None]
-    z = np.concatenate([z, np.ones((len(z), 1))], axis=1)
+    z = np.empty((len(held), each.shape[1] + 1), np.float32)
+    z[:, :-1] = np.add.reduceat(each[np.array([number[u] for t in held for u in t])], begin, axis=0) / np.sqrt(sizes)[:, None]
+    z[:, -1] = 1
+    del each, held
     share = np.where(sign > 0, len(sign) / (2 * max(1, len(positive))), len(sign) / (2 * max(1, len(negative))))
     w = np.zeros(z.shape[1])
     ridge = np.eye(len(w))
     ridge[-1, -1] = 1e-6
     for _ in range(30):  # Newton steps over the rows inside the margin
-        inside = sign * (z @ w) < 1
-        c = cost * share * inside
-        new = np.linalg.solve(ridge + (z * c[:, None]).T @ z, z.T @ (c * sign))
+        total, wanted = ridge.copy(), np.zeros(len(w))
+        for low in range(0, len(z), 2048):
+            rows, mine = z[low:low + 2048].astype(np.float64), sign[low:low + 2048]
+            c = cost * share[low:low + 2048] * (mine * (rows @ w) < 1)
+            total += (rows * c[:, None]).T @ rows
+            wanted += rows.T @ (c * mine)
+        new = np.linalg.solve(total, wanted)
         done = np.abs(new - w).max() < 1e-8
         w = new
         if done:
@@ -376,13 +382,18 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_DOCS) -> Mach
     good: set[str] = set()
     for _ in range(ROUNDS):
         shared = texts.sparkSession.sparkContext.broadcast(machine)
-        picked = texts.mapInArrow(_chosen(shared), "kind string, toxic int, sentence string, margin double").collect()  # three rows a sampled text
-        bad = sorted({r["sentence"] for r in picked if r["toxic"] and r["kind"] != "any" and r["margin"] > PLAUSIBLE})
-        good |= {r["sentence"] for r in picked if not r["toxic"] and (r["kind"] != "next" or r["margin"] > PLAUSIBLE)}
+        picked = texts.mapInArrow(_chosen(shared), "kind string, toxic int, sentence string, margin double")
+        bad_, any_, next_ = F.col("toxic") == 1, F.col("kind") == "any", F.col("kind") == "next"
+        plausible = F.col("margin") > PLAUSIBLE
+        wanted = picked.where((bad_ & ~any_ & plausible) | (~bad_ & (~next_ | plausible))).select("toxic", "sentence").distinct()
+        chosen = wanted.toArrow()  # three rows a sampled text at most
+        toxic = chosen.column("toxic").to_numpy() == 1
+        bad = sorted(chosen.column("sentence").filter(pa.array(toxic)).to_pylist())
+        good.update(chosen.column("sentence").filter(pa.array(~toxic)).to_pylist())
         if not bad or not good:
             break
         fresh = _telling(machine, bad, POSITIVE_LANDMARKS) + _telling(machine, sorted(good), NEGATIVE_LANDMARKS)
-        landmarks = list(dict.fromkeys([*landmarks, *fresh]))[:POSITIVE_LANDMARKS * 2 + NEGATIVE_LANDMARKS * 2]
+        landmarks = list(dict.fromkeys([*landmarks, *fresh]))[:MOST_LANDMARKS]
         machine = fit(bad, sorted(good), landmarks)
     seen = margins(texts, machine).collect()  # a pair of numbers per sampled text
     x, y = np.array([r["margin"] for r in seen]), np.array([r["toxic"] for r in seen], float)
