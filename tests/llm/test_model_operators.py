@@ -622,6 +622,24 @@ def test_stages_keep_what_they_should(spark):
     assert sum(p["length"] for p in pieces) == sum(len(ids(r["text"] or "")) + 1 for r in safe.collect())
 
 
+def test_one_id_with_several_texts_keeps_no_copy(spark):
+    long = " ".join(f"w{i}" for i in range(60))
+    near = long.replace("w30", "v30")
+    rows = [(1, long, "a"), (2, long, "b"), (2, "another text of this id", "c"), (2, "another text of this id", "d"), (None, near, "e"),
+            (3, near + " x", "f"), (4, None, "g"), (4, "", "h"), (None, "only a null id has this", "i")]
+    docs = spark.createDataFrame([(*r, "z", "y") for r in rows], "doc_id bigint, text string, source string, kept_key string, last string").repartition(3)
+    left = [(r["doc_id"], r["text"]) for r in stages.drop_near_copies(spark, docs, SMALL).collect()]
+    assert sorted(left, key=str) == sorted([(1, long), (2, "another text of this id"), (4, left[[d for d, _ in left].index(4)][1]),
+                                            (None, "only a null id has this")], key=str)
+    assert stages.drop_near_copies(spark, docs, SMALL).columns == docs.columns
+    assert stages.drop_near_copies(spark, docs.limit(0), SMALL).count() == 0
+
+
+def test_secrets_stage_without_a_size_column(spark):
+    docs = spark.createDataFrame([(1, "token=abcdefgh"), (2, None), (2, None)], "doc_id bigint, text string")
+    assert sorted(map(tuple, stages.redact_secrets(spark, docs, SMALL).collect()), key=str) == [(1, "[SECRET]"), (2, None), (2, None)]
+
+
 def test_stages_with_edge_rows(spark, tmp_path):
     rows = [(d, t, None, None, None) for d, t in EDGE] + [(7, LONG + "token=abcdefgh", "en", "s", 1)]
     kind = "doc_id bigint, text string, lang string, source string, n_chars bigint, hit_blob string, kept_id string"
