@@ -6,10 +6,10 @@ from pyspark.sql import functions as F
 
 from genflow.storage import new_path
 from genflow.streaming.attempts import (
-    read_log_stream, run_to_table, stream_errors, stream_health, stream_pacing, stream_rate, with_event_time,
+    read_errors, read_log_stream, read_rate, stream_errors, stream_health, stream_pacing, stream_rate, with_event_time,
 )
 from genflow.streaming.requests import stream_requests
-from genflow.streaming.resume import stream_resume
+from genflow.streaming.resume import read_stream_manifest, stream_resume
 
 from .attempts import HOT, HOT_LOG
 from .catalog import FAST_US, LOG, REQUESTS, TASKS, query, sql
@@ -20,6 +20,13 @@ def _stream(t, table: str):
     return read_log_stream(t.spark, t.path(table).removesuffix("t") + "[t]", t.read(table).schema)
 
 
+def _in_files(t, df, files: int = 6):
+    """The rows of ``df`` from several files, one micro-batch each."""
+    path = new_path(t.spark, "arriving")
+    df.repartitionByRange(files, "event_id" if "event_id" in df.columns else "index").write.parquet(path)
+    return read_log_stream(t.spark, path, df.schema, 1)
+
+
 def _log(t):
     return with_event_time(_stream(t, "events").selectExpr(*LOG))
 
@@ -47,8 +54,9 @@ def _(t):
     select endpoint, (epoch_us(ts) // 10000000) * 10000000 - unnest(range(0, 6)) * 10000000 as start_us from log) group by all"""))
 def _(t):
     path = new_path(t.spark, "rate")
-    run_to_table(stream_rate(_log(t)), path, new_path(t.spark, "ck"))
-    return t.spark.read.parquet(path).select("endpoint", F.unix_micros("start").alias("start_us"), "sends")
+    rows = with_event_time(t.read("events").selectExpr(*LOG))
+    stream_rate(_in_files(t, rows), path, new_path(t.spark, "ck"), merge_after=2).awaitTermination()
+    return read_rate(t.spark, path).select("endpoint", F.unix_micros("start").alias("start_us"), "sends")
 
 
 @query("l3_stream_health", sql("fast_log", f"""select event_id, cast(s - least(0, min(s) over (partition by endpoint order by t, event_id rows unbounded preceding)) as bigint) as errors from (
@@ -74,14 +82,16 @@ def _(t):
 def _(t):
     # Two tasks share each index, in the same or in different micro-batches.
     manifest = new_path(t.spark, "manifest")
-    stream = _stream(t, "documents").selectExpr(*TASKS).withColumn("index", F.expr("index div 2"))
-    stream_resume(stream, lambda pending: pending, manifest, new_path(t.spark, "ck")).awaitTermination()
-    return t.spark.read.parquet(manifest).select("path", "index")
+    rows = t.read("documents").selectExpr(*TASKS).select("index")
+    stream = _in_files(t, rows, 3).withColumn("index", F.expr("index div 2"))
+    stream_resume(stream, lambda pending: pending, manifest, new_path(t.spark, "ck"), buckets=8, merge_after=1).awaitTermination()
+    return read_stream_manifest(t.spark, manifest).select("path", "index")
 
 
 @query("l6_stream_errors", sql("log", """select (epoch_us(ts) // 60000000) * 60000000 as start_us, code, case when code like 'E2%' then 'api' else 'backend' end as family, count(*) as errors
     from log where code is not null group by all"""))
 def _(t):
     path = new_path(t.spark, "errors")
-    run_to_table(stream_errors(_log(t)), path, new_path(t.spark, "ck"))
-    return t.spark.read.parquet(path).select(F.unix_micros("start").alias("start_us"), "code", "family", "errors")
+    rows = with_event_time(t.read("events").selectExpr(*LOG))
+    stream_errors(_in_files(t, rows), path, new_path(t.spark, "ck"), merge_after=2).awaitTermination()
+    return read_errors(t.spark, path).select(F.unix_micros("start").alias("start_us"), "code", "family", "errors")

@@ -6,9 +6,13 @@ import pytest
 from pyspark.sql import functions as F
 
 from genflow.operators.attempts import endpoint_health, paced_schedule
-from genflow.streaming.attempts import read_log_stream, run_to_table, stream_errors, stream_health, stream_pacing, stream_rate
+from genflow import storage
+from genflow.streaming import parts, resume
+from genflow.streaming.attempts import (
+    merged_rates, rate_counts, read_errors, read_log_stream, read_rate, stream_errors, stream_health, stream_pacing, stream_rate,
+)
 from genflow.streaming.requests import read_request_stream, stream_requests
-from genflow.streaming.resume import stream_resume
+from genflow.streaming.resume import read_stream_manifest, stream_resume
 
 from test_order import dim, frame, log_rows
 
@@ -39,9 +43,12 @@ def test_health_and_pacing_with_restart(spark, log_folder, tmp_path, many_small_
         stream_health(stream(spark, folder), paths["h"], paths["hs"], paths["hc"]).awaitTermination()
         stream_pacing(stream(spark, folder), dim(spark), paths["p"], paths["ps"], paths["pc"]).awaitTermination()
 
+    before = set(storage._STORED)
     run()
     append(spark, folder, rows[900:])
     run()
+    assert set(storage._STORED) == before  # no copy of a micro-batch is left
+    assert all(len(storage.folders(spark, paths[s])) == 2 for s in ("hs", "ps"))
     everything = frame(spark, rows)
     got = {r["event_id"]: r["errors"] for r in spark.read.parquet(paths["h"]).collect()}
     assert got == {r["event_id"]: r["errors"] for r in endpoint_health(everything).collect()}
@@ -52,13 +59,44 @@ def test_health_and_pacing_with_restart(spark, log_folder, tmp_path, many_small_
 
 def test_windows(spark, log_folder, tmp_path):
     folder, _ = log_folder
-    run_to_table(stream_rate(stream(spark, folder)), str(tmp_path / "r"), str(tmp_path / "rc"))
-    batch = spark.read.parquet(folder).groupBy(F.window("ts", "60 seconds", "10 seconds"), "endpoint").count()
-    got = spark.read.parquet(str(tmp_path / "r"))
-    assert got.agg(F.sum("sends"), F.count("*")).first() == batch.agg(F.sum("count"), F.count("*")).first()
-    run_to_table(stream_errors(stream(spark, folder)), str(tmp_path / "e"), str(tmp_path / "ec"))
-    errors = spark.read.parquet(str(tmp_path / "e"))
+    paths = [str(tmp_path / n) for n in ("r", "rc", "e", "ec")]
+    for _ in range(2):  # a restart finds nothing new
+        stream_rate(stream(spark, folder), *paths[:2], merge_after=1).awaitTermination()
+        stream_errors(stream(spark, folder), *paths[2:]).awaitTermination()
+    batch = {tuple(r) for r in rate_counts(spark.read.parquet(folder)).collect()}
+    assert {tuple(r) for r in read_rate(spark, paths[0]).collect()} == batch and batch
+    errors = read_errors(spark, paths[2])
     assert errors.agg(F.sum("errors")).first()[0] == spark.read.parquet(folder).where("code is not null").count()
+    assert len(storage.folders(spark, paths[0])) <= 3 <= len(storage.folders(spark, paths[2]))
+
+
+def test_parts_replayed_and_merged(spark, tmp_path):
+    path, rows = str(tmp_path / "counts"), log_rows(3, 400)
+
+    def batch(n):
+        return rate_counts(frame(spark, rows[n * 40:(n + 1) * 40], 1))
+
+    def answer():
+        return {tuple(r) for r in parts.read_parts(spark, path, merged_rates).collect()}
+
+    for n in range(10):
+        for _ in range(1 + n % 2):  # every other one is replayed
+            parts.write_part(batch(n), path, n, merged_rates, merge_after=3)
+        assert answer() == {tuple(r) for r in rate_counts(frame(spark, rows[:(n + 1) * 40], 1)).collect()}
+        assert len(parts.current(spark, path)) <= 5
+    # A crash after merging and before deleting leaves merged parts behind.
+    parts.write_part(batch(0).limit(0), path, 10, merged_rates)
+    batch(0).write.parquet(f"{path}/part=000000000001")
+    assert answer() == {tuple(r) for r in rate_counts(frame(spark, rows, 1)).collect()}
+
+
+def test_stored_tables_go_with_their_block(spark):
+    outside = storage.stored(spark.range(3), "kept")
+    with storage.temporary_tables():
+        inside = storage.stored(spark.range(4), "gone")
+        folder = inside.inputFiles()[0].rsplit("/", 1)[0]
+        assert inside.count() == 4
+    assert outside.count() == 3 and not storage.folders(spark, folder) and folder not in storage._STORED
 
 
 def test_requests(spark, tmp_path):
@@ -103,4 +141,41 @@ def test_each_output_once(spark, tmp_path):
     add([(1, " "), (5, None)])
     run()
     assert sorted(r["expected"] for r in spark.read.parquet(made).collect()) == ["000001.png", "000004.png", "000005.png", "d/x.png"]
-    assert sorted(r["path"] for r in spark.read.parquet(manifest).collect()) == ["000001.png", "000004.png", "000005.png", "d/x.png"]
+    assert sorted(r["path"] for r in read_stream_manifest(spark, manifest).collect()) == ["000001.png", "000004.png", "000005.png", "d/x.png"]
+
+
+def test_manifest_reads_touched_buckets_only(spark, tmp_path, monkeypatch):
+    folder, manifest, ck = (str(tmp_path / n) for n in ("in", "manifest", "ck"))
+    read, seen, last = [], [], {}
+
+    def noted(s, path, names, f=resume._read):
+        read.append(names)
+        return f(s, path, names)
+
+    def score(pending):
+        rows = stored_rows(pending)
+        seen.extend(rows)
+        if last.get("fails"):
+            raise RuntimeError("lost after scoring")
+        return pending
+
+    def stored_rows(pending):
+        return [r["index"] for r in pending.collect()]
+
+    def run():
+        stream_resume(read_log_stream(spark, folder, spark.range(1).toDF("index").schema, 1), score, manifest, ck, buckets=16, merge_after=2).awaitTermination()
+
+    monkeypatch.setattr(resume, "_read", noted)
+    for n in range(12):
+        spark.range(n, n + 3).toDF("index").coalesce(1).write.mode("append").parquet(folder)
+        if n == 6:
+            last["fails"] = True
+            with pytest.raises(Exception):
+                run()
+            last.clear()
+            seen[-1:] = []  # the lost micro-batch is scored again
+        run()
+    assert sorted(seen) == list(range(14))
+    assert sorted(r["index"] for r in read_stream_manifest(spark, manifest).collect()) == list(range(14))
+    probes = [names for names in read if names]
+    assert all(len({n.split("/")[0] for n in names}) <= 3 and len(names) <= 3 * 4 for names in probes)
