@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .naming import path_name
-from .text import col_of, let
+from .text import col_of, let, strip
 
 # Text-to-image name patterns in match order (some later ones are
 # shadowed by earlier, more general ones; the order is part of the behaviour).
@@ -160,14 +160,28 @@ def edit_params(steps=None, guidance=None, true_cfg=None, negative=None) -> dict
     }
 
 
-def t2i_params(steps=None, guidance=None) -> dict[str, Column]:
-    """Parameters of a generation call; only null falls back, 0 is kept."""
+def t2i_params(steps=None, guidance=None, height=None, width=None, negative=None) -> dict[str, Column]:
+    """Parameters of a generation call; only null falls back, 0 is kept.
+
+    For the last three a pair (row's value, job's value) may be given: the row's
+    wins unless it is null, or blank for a text.
+    """
     def given(value, dtype):
         return F.lit(None).cast(dtype) if value is None else col_of(value).cast(dtype)
 
+    def of_row(value, dtype):
+        own, job = value if isinstance(value, tuple) else (value, None)
+        own = given(own, dtype)
+        if dtype == "string":
+            own = F.when(strip(own) != "", own)
+        return F.coalesce(own, F.lit(job).cast(dtype))
+
     return {
         "num_inference_steps": F.coalesce(given(steps, "int"), F.col("default_steps")),
         "guidance_scale": F.coalesce(given(guidance, "double"), F.col("default_guidance")),
+        **({"height": of_row(height, "int")} if height is not None else {}),
+        **({"width": of_row(width, "int")} if width is not None else {}),
+        **({"negative_prompt": of_row(negative, "string")} if negative is not None else {}),
     }
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions.images import image_cache_key, is_remote
 from ..sources.outputs import location
-from .joins import HOT_ROWS, salted_left_join
+from .joins import HOT_BYTES, HOT_ROWS, salted_left_join
 
 FETCH_TIMEOUT = 30
 #: Bytes of images that one loading task holds before it hands them on.
@@ -122,9 +122,9 @@ def load_image_bytes(refs: DataFrame, root: str) -> DataFrame:
 
 
 def join_images(refs: DataFrame, blobs: DataFrame, key: str = "key", row: Sequence[str] = ("index", "ref_pos"),
-                hot_rows: int = HOT_ROWS) -> DataFrame:
-    """References with their bytes; a popular image is copied to several tasks, not one."""
-    return salted_left_join(refs, blobs, key, row, hot_rows)
+                hot_rows: int = HOT_ROWS, hot_bytes: int = HOT_BYTES) -> DataFrame:
+    """References with their bytes; a popular image, or a large one that several share, is copied to several tasks, not one."""
+    return salted_left_join(refs, blobs, key, row, hot_rows, "data" if "data" in blobs.columns else None, hot_bytes)
 
 
 def regroup_images(refs: DataFrame, strict: bool = True, key: Sequence[str] = ("index",), value: str = "data") -> DataFrame:

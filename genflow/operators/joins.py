@@ -6,21 +6,31 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-HOT_ROWS = 1_000_000
+#: Left rows of a key, and bytes that they would carry from the right, from which the key is salted.
+HOT_ROWS, HOT_BYTES = 1_000_000, 1 << 30
 
 
-def salted_left_join(left: DataFrame, right: DataFrame, key: str, salt_by: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
+def salted_left_join(left: DataFrame, right: DataFrame, key: str, salt_by: Sequence[str], hot_rows: int = HOT_ROWS,
+                     data: str | None = None, hot_bytes: int = HOT_BYTES) -> DataFrame:
     """Left join on ``key`` with hot keys of the left side spread over several tasks.
 
     Every key with more than ``hot_rows`` rows gets ``rows / hot_rows`` salts,
-    and only its right rows are copied, once per salt. There are at most
-    ``rows / hot_rows`` such keys; Spark sends them to all tasks or joins them
-    by a shuffle, whichever their size allows. ``salt_by`` names columns that
-    tell left rows apart.
+    and only its right rows are copied, once per salt. With ``data``, a binary
+    column of the right side, a key whose rows would carry more than
+    ``hot_bytes`` of it is hot as well: a large image shared by few rows.
+    Keys with salts are few, as each stands for that many rows or bytes; Spark
+    sends them to all tasks or joins them by a shuffle, whichever their size
+    allows. ``salt_by`` names columns that tell left rows apart.
     """
-    counts = left.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
-    hot = counts.where((F.col("_rows") > hot_rows) & F.col(key).isNotNull()).select(
-        key, F.ceil(F.col("_rows") / F.lit(hot_rows)).cast("int").alias("_salts"))
+    counts = left.groupBy(key).agg(F.count(F.lit(1)).alias("_rows")).where(F.col(key).isNotNull())
+    salts = F.ceil(F.col("_rows") / F.lit(hot_rows))
+    if data is not None:
+        sizes = right.groupBy(key).agg(F.sum(F.coalesce(F.octet_length(data), F.lit(0))).alias("_bytes"))
+        counts = counts.where("_rows > 1").join(sizes, key, "left")
+        carried = F.col("_rows") * F.coalesce(F.col("_bytes"), F.lit(0))
+        # No more salts than rows.
+        salts = F.least(F.greatest(salts, F.ceil(carried / F.lit(hot_bytes))), F.col("_rows"))
+    hot = counts.select(key, salts.cast("int").alias("_salts")).where("_salts > 1")
     salted = left.join(hot, key, "left").withColumn(
         "_salt", F.coalesce(F.pmod(F.xxhash64(*salt_by), F.col("_salts")), F.lit(0)).cast("int"))
     copies = right.join(hot, key, "left").withColumn(

@@ -8,6 +8,9 @@ from ..functions.models import (
     DEFAULT_CAPABILITY, DEFAULT_GUIDANCE, DEFAULT_STEPS, capability_table, edit_params, t2i_default_table, t2i_params,
 )
 
+#: Longest piece of a name that patterns are filed under.
+GRAM = 3
+
 
 def with_capabilities(df: DataFrame, dim: DataFrame | None = None, model_type: str = "model_type") -> DataFrame:
     """Capability record of each model type; unknown types get the default record."""
@@ -28,10 +31,55 @@ def resolve_edit_params(df: DataFrame, **given) -> DataFrame:
     return with_capabilities(df).select("*", *[c.alias(n) for n, c in edit_params(**given).items()])
 
 
-def resolve_t2i_params(df: DataFrame, model_type: str = "model_type", **given) -> DataFrame:
-    """Generation call parameters: only null falls back, to the model's or the general default."""
+#: Columns of a prompt table that win over the job's setting of the same name, by parameter.
+ROW_VALUES = {"height": "height", "width": "width", "negative": "negative_prompt"}
+
+
+def resolve_t2i_params(df: DataFrame, model_type: str = "model_type", job: dict | None = None, **given) -> DataFrame:
+    """Generation call parameters: only null falls back, to the model's or the general default.
+
+    ``job`` holds the job's ``height``, ``width`` and ``negative_prompt``. A
+    row's own value wins where the table has such a column and the cell holds
+    one; columns of these names come out with the value that counts.
+    """
     dim = F.broadcast(t2i_default_table(df.sparkSession).withColumnRenamed("model_type", "_type"))
     joined = df.join(dim, F.col(model_type) == F.col("_type"), "left").drop("_type")
     joined = joined.withColumn("default_steps", F.coalesce("default_steps", F.lit(DEFAULT_STEPS)))
     joined = joined.withColumn("default_guidance", F.coalesce("default_guidance", F.lit(DEFAULT_GUIDANCE)))
-    return joined.select("*", *[c.alias(n) for n, c in t2i_params(**given).items()])
+    settings = job or {}
+    for parameter, name in ROW_VALUES.items():
+        if parameter not in given and (name in settings or name in df.columns):
+            given[parameter] = (name if name in df.columns else None, settings.get(name))
+    return joined.withColumns(t2i_params(**given))
+
+
+def match_pattern_table(df: DataFrame, patterns: DataFrame, name: str = "name", matched: str = "matched", ordinal: str = "ordinal",
+                        pattern: str = "pattern", value: str = "value") -> DataFrame:
+    """``df`` with ``matched``: the value of the first pattern (lowest ordinal) that the name contains, in any case, else null.
+
+    For patterns in a table, thousands of them: each is filed under the piece
+    of at most three characters that fewest patterns share, and a name is held
+    only against the patterns filed under its own pieces. Each different name is
+    looked up once. Null names and patterns match nothing; an empty pattern
+    matches every name; of equal ordinals the smaller value wins.
+    """
+    listed = patterns.where(F.col(pattern).isNotNull()).select(
+        F.col(ordinal).alias("_o"), F.lower(pattern).alias("_p"), F.col(value).alias("_v"))
+    size = F.least(F.length("_p"), F.lit(GRAM))
+    own = F.when(size == 0, F.array(F.lit(""))).otherwise(F.transform(
+        F.sequence(F.lit(1), F.length("_p") - size + 1), lambda i: F.substr("_p", i, size)))
+    filed = listed.withColumn("_gram", F.explode(F.array_distinct(own)))
+    shared = filed.groupBy("_gram").agg(F.count(F.lit(1)).alias("_n"))
+    rarest = filed.join(shared, "_gram").groupBy("_o", "_p", "_v").agg(F.min(F.struct("_n", "_gram"))["_gram"].alias("_gram"))
+    names = df.select(F.lower(name).alias("_name")).where("_name is not null").distinct()
+
+    def pieces(width: int):
+        return F.when(F.length("_name") >= width, F.transform(
+            F.sequence(F.lit(1), F.greatest(F.length("_name") - width + 1, F.lit(1))), lambda i: F.substr("_name", i, F.lit(width)))).otherwise(
+            F.array().cast("array<string>"))
+
+    cut = F.array_distinct(F.concat(F.array(F.lit("")), *[pieces(w) for w in range(1, GRAM + 1)]))
+    hits = names.select("_name", F.explode(cut).alias("_gram")).join(rarest, "_gram").where(F.contains("_name", F.col("_p")))
+    first = hits.groupBy("_name").agg(F.min(F.struct("_o", "_v"))["_v"].alias(matched))
+    joined = df.drop(matched).join(first, F.lower(name) == F.col("_name"), "left")
+    return joined.drop("_name")

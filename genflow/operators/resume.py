@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+from functools import reduce
+
 from pyspark.sql import DataFrame, functions as F
 
 from .order import dedupe_index
@@ -60,25 +63,56 @@ def attach_rows(wanted: DataFrame, rows: DataFrame, index: str = "index", pos: s
     return joined.withColumn("_error", reason).drop("_found")
 
 
-def filter_rows(df: DataFrame, expression: str, pos: str = "_pos") -> DataFrame:
-    """Rows at the positions of an expression such as ``0:100,5,200:`` (half-open ranges)."""
-    keep = None
-    singles = []
-    for part in (p.strip() for p in expression.split(",")):
-        if not part:
-            continue
-        if ":" in part:
-            first, last = part.split(":", 1)
-            wanted = F.col(pos) >= (int(first) if first else 0)
-            if last:
-                wanted = wanted & (F.col(pos) < int(last))
-            keep = wanted if keep is None else keep | wanted
+_PART = re.compile(r"\s*(?:(?P<one>[+-]?\d+)|(?P<low>[+-]?\d*)\s*:\s*(?P<high>[+-]?\d*))?\s*")
+#: Positions end here.
+_TOP = 2**63 - 1
+#: Ranges up to which a filter is one comparison each, which readers can use to skip data.
+FEW_RANGES = 16
+
+
+def row_ranges(expression: str) -> list[tuple[int, int]]:
+    """Half-open ranges of an expression such as ``0:100,5,200:``, sorted, without overlaps and gaps of none."""
+    found = []
+    for part in expression.split(","):
+        match = _PART.fullmatch(part)
+        if match is None:
+            raise ValueError(f"no row or range of rows: {part.strip()!r}")
+        if match["one"] is not None:
+            found.append((int(match["one"]), int(match["one"]) + 1))
+        elif match["low"] is not None:
+            found.append((int(match["low"] or 0), int(match["high"] or _TOP)))
+    merged: list[tuple[int, int]] = []
+    for low, high in sorted(f for f in found if f[0] < f[1]):
+        if merged and low <= merged[-1][1]:
+            merged[-1] = (merged[-1][0], max(high, merged[-1][1]))
         else:
-            singles.append(int(part))
-    if singles:
-        wanted = F.col(pos).isin(singles)
-        keep = wanted if keep is None else keep | wanted
-    return df.where(F.lit(False) if keep is None else keep)
+            merged.append((low, high))
+    return merged
+
+
+def filter_rows(df: DataFrame, expression: str, pos: str = "_pos") -> DataFrame:
+    """Rows at the positions of an expression such as ``0:100,5,200:`` (half-open ranges).
+
+    However many ranges there are, a row takes one binary search over their
+    sorted bounds: it is inside one if an odd number of bounds is at or below it.
+    """
+    ranges = row_ranges(expression)
+    if not ranges:
+        return df.where(F.lit(False))
+    at = F.col(pos)
+    hull = (at >= ranges[0][0]) & (at < ranges[-1][1])
+    if len(ranges) <= FEW_RANGES:
+        inside = [(at >= low) & (at < high) for low, high in ranges]
+        return df.where(hull & reduce(lambda a, b: a | b, inside))
+    bounds = [x for r in ranges for x in r]
+    # The bounds are one literal: a chain of thousands of comparisons would not plan.
+    listed = F.from_json(F.lit(f"[{','.join(map(str, bounds))}]"), "array<bigint>")
+    steps = F.lit([1 << k for k in range(len(bounds).bit_length() - 1, -1, -1)])
+
+    def step(below, width):
+        return F.when(F.get(listed, below + width - 1) <= at, below + width).otherwise(below)
+
+    return df.where(hull & (F.aggregate(steps, F.lit(0), step) % 2 == 1))
 
 
 def output_collisions(tasks: DataFrame, path: str = "expected", index: str = "index") -> DataFrame:

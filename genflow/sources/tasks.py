@@ -7,11 +7,12 @@ from functools import reduce
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from ..functions.naming import drop_blank, with_index
 from ..functions.text import strict_json, strip
 from ..storage import stored
+from .pieces import csv_records, json_items
 
 PROMPT_FIELDS = ("prompt", "negative_prompt", "height", "width")
 
@@ -133,19 +134,35 @@ def _numbered(df: DataFrame) -> DataFrame:
     return rows.withColumn("_pos", F.col("_row")).drop("_split", "_id", "_in_split", "_start")
 
 
+def _csv(spark: SparkSession, path: str) -> DataFrame:
+    """Named text columns with ``_file``, ``_row`` and ``_pos``, of CSV files that many tasks read; quotes may hold line breaks."""
+    records = csv_records(spark, path)
+    options = {"quote": '"', "escape": '"', "multiLine": "true"}
+    # The reader itself names the columns from the first record, so blank and repeated names come out as they always did.
+    names = spark.read.csv(path, header=True, encoding="UTF-8", **options).columns
+    fields = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(names))])
+    cells = F.from_csv("value", F.lit(fields.toDDL()), options)
+    rows = records.where("record > 0").select(cells.alias("_cells"), "_file", (F.col("record") - 1).alias("_row"))
+    return rows.select(*[F.coalesce(F.col(f"_cells.c{i}"), F.lit("")).alias(n) for i, n in enumerate(names)],
+                       "_file", F.col("_row").cast("bigint").alias("_row"), F.col("_row").cast("bigint").alias("_pos"))
+
+
 def read_tasks_csv(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
     """CSV with a header; all text, ``index`` an integer or the row number when absent.
 
-    An index that is no integer is an error that names file and record.
-
-    Quoted line breaks need ``multiline``, which reads each file in one task;
-    turn it off for large files without them.
+    An index that is no integer is an error that names file and record. Quoted
+    cells may hold line breaks, and a large file is still read in many tasks.
+    ``multiline=False`` saves the search for them where there are none.
     """
-    df = spark.read.csv(path, header=True, multiLine=multiline, quote='"', escape='"', encoding="UTF-8")
-    # Missing cells are empty text.
-    df = df.select(*[F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) for c in df.columns], "_metadata")
-    named = df.columns[:-1]
-    rows = _numbered(df).drop("_metadata")
+    if multiline:
+        rows = _csv(spark, path)
+        named = rows.columns[:-3]
+    else:
+        df = spark.read.csv(path, header=True, quote='"', escape='"', encoding="UTF-8")
+        # Missing cells are empty text.
+        df = df.select(*[F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) for c in df.columns], "_metadata")
+        named = df.columns[:-1]
+        rows = _numbered(df).drop("_metadata")
     if "index" not in named:
         return with_index(rows, "index", fallback="_pos")
     value = strip("index").try_cast("bigint")
@@ -186,16 +203,12 @@ def read_prompts_jsonl(spark: SparkSession, path: str, fields: tuple[str, ...] =
 def read_prompts_json(spark: SparkSession, path: str, fields: tuple[str, ...] = PROMPT_FIELDS) -> DataFrame:
     """A JSON array of objects or strings; a missing index is the array position.
 
-    The format holds one array per file, so a file is read in one task; use
-    JSON lines for large inputs.
+    A malformed item is an error. A large file is read in many tasks.
     """
-    whole = spark.read.text(path, wholetext=True).select(
-        strict_json(strip("value")).alias("doc"), F.col("_metadata.file_path").alias("_file"))
-    is_array = F.schema_of_variant("doc").startswith("ARRAY")
-    items = F.when(is_array, F.col("doc").cast("array<variant>")).otherwise(
-        F.raise_error(F.lit("a JSON prompt file must contain an array")).cast("array<variant>"))
-    rows = whole.select("_file", F.posexplode(items).alias("_pos", "_json"))
-    rows = rows.withColumn("_pos", F.col("_pos").cast("bigint"))
+    rows = json_items(spark, path).select(F.col("_file"), F.col("record").cast("bigint").alias("_pos"), strict_json(strip("value")).alias("_json"))
+    parsed = F.when(F.col("_json").isNull(), F.raise_error(F.concat(
+        F.lit("a JSON prompt file must contain an array; malformed item "), F.col("_pos").cast("string"))).cast("variant")).otherwise(F.col("_json"))
+    rows = rows.withColumn("_json", parsed)
     return rows.select(
         *_prompt_columns(F.col("_json"), F.col("_pos"), fields), "_file", F.col("_pos").alias("_row"), "_pos")
 

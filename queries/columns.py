@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from genflow.functions.attempts import RetryPolicy, normalize_base_url, retry_wait
 from genflow.functions.logs import error_name, parse_log_line
 from genflow.functions.models import (
-    EDIT_NAME_PATTERNS, MODEL_NAME_PATTERNS, detect_edit_model_type, detect_model_type, inference_kwargs,
+    EDIT_NAME_PATTERNS, detect_edit_model_type, detect_model_type, inference_kwargs,
     match_patterns, route_edit_backend, route_t2i_backend,
 )
 from genflow.functions.prompts import (
@@ -18,7 +18,8 @@ from genflow.functions.sizes import (
     aspect_ratio, cap_dims, nearest_aspect, nearest_size, parse_size, plan_resize,
 )
 from genflow.functions.text import preview
-from genflow.operators.params import resolve_edit_params, resolve_t2i_params, with_capabilities
+from genflow.operators.params import match_pattern_table, resolve_edit_params, resolve_t2i_params, with_capabilities
+from genflow.operators.resume import filter_rows
 
 from .catalog import query, sql
 
@@ -265,11 +266,12 @@ _MODEL_NAME = """case p_partkey % 12 when 0 then concat('black-forest-labs/FLUX.
     else concat('PixArt/', p_brand) end"""
 
 
-def _pattern_case(name: str, patterns) -> str:
-    return "case " + " ".join(f"when contains(lower({name}), '{p.lower()}') then '{v}'" for p, v in patterns) + " end"
-
-
-@query("c29_detect_model_type", f"select p_partkey, {_pattern_case('name', MODEL_NAME_PATTERNS)} as model_type from (select p_partkey, {_MODEL_NAME} as name from part)")
+@query("c29_detect_model_type", f"""select p_partkey, case
+    when contains(n, 'flux') then 'flux' when contains(n, 'stable-diffusion-3') then 'sd3' when contains(n, 'stable-diffusion-xl') then 'sdxl'
+    when contains(n, 'stable-diffusion') then 'sd' when contains(n, 'hunyuandit') then 'hunyuan' when contains(n, 'pixart') then 'pixart'
+    when contains(n, 'cogview') then 'cogview' when contains(n, 'qwen-image-edit-plus') or contains(n, 'qwen-image-edit-2509') or contains(n, 'qwen-image-edit-2511') then 'qwen'
+    when contains(n, 'qwen-image-edit') then 'qwen_singleimg' when contains(n, 'longcat') then 'longcat' when contains(n, 'glm-image') then 'glm_image' end as model_type
+    from (select p_partkey, lower({_MODEL_NAME}) as n from part)""")
 def _(t):
     return t.read("part").select("p_partkey", detect_model_type(F.expr(_MODEL_NAME)).alias("model_type"))
 
@@ -280,12 +282,43 @@ def _(t):
     return t.read("part").select("p_partkey", detect_edit_model_type(F.expr(_MODEL_NAME)).alias("model_type"))
 
 
-@query("e6_match_patterns", f"""select p_partkey, (select v from (values {', '.join(f"({i}, '{p.lower()}', '{v}')" for i, (p, v) in enumerate(EDIT_NAME_PATTERNS))}) s(o, p, v)
-    where contains(lower(name), p) order by o limit 1) as matched from (select p_partkey, {_MODEL_NAME} as name from part)""")
+@query("e6_match_patterns", f"""select p_partkey, case when contains(n, 'flux.2-dev') then 'flux2' when contains(n, 'flux.2-klein') then 'flux2_klein'
+    when contains(n, 'flux.1-kontext') then 'flux1_kontext' when contains(n, 'longcat') then 'longcat' when contains(n, 'glm-image') then 'glm_image' end as matched
+    from (select p_partkey, lower({_MODEL_NAME}) as n from part)""")
 def _(t):
     return t.read("part").select("p_partkey", match_patterns(F.expr(_MODEL_NAME), EDIT_NAME_PATTERNS).alias("matched"))
 
 
+# Numbers of customers, then pieces of part types, as patterns: as many as there are customers and parts.
+_CUSTOMER_PATTERNS = ["c_custkey as ordinal", "substring(c_name, 14, 5) as pattern", "concat('c', c_custkey) as value"]
+_PART_PATTERNS = ["1000000 + p_partkey as ordinal",
+                  "case p_partkey % 100 when 7 then '' when 8 then null when 9 then '#' else upper(substring(p_type, 3 + p_partkey % 3, 9)) end as pattern",
+                  "concat('t', p_partkey) as value"]
+_NUMBERED_NAME = "concat(p_type, ' #', lpad(concat(p_partkey * 3, ''), 6, '0')) as name"
+
+
+@query("e6_pattern_table", f"""with patterns as (select {', '.join(_CUSTOMER_PATTERNS)} from customer union all select {', '.join(_PART_PATTERNS)} from part),
+    names as (select p_partkey, {_NUMBERED_NAME} from part)
+    select p_partkey, arg_min(value, ordinal) as matched from names left join patterns on contains(lower(name), lower(pattern)) group by p_partkey""")
+def _(t):
+    patterns = t.read("customer").selectExpr(*_CUSTOMER_PATTERNS).unionByName(t.read("part").selectExpr(*_PART_PATTERNS))
+    return match_pattern_table(t.read("part").selectExpr("p_partkey", _NUMBERED_NAME), patterns).select("p_partkey", "matched")
+
+
+@query("c6_t2i_row_values", sql("tasks", """select index, coalesce(case when index % 3 > 0 then cast(w as integer) end, 640) as width,
+    case when index % 2 = 0 then cast(h as integer) end as height, case when trim(output_path) <> '' then output_path else 'blurry' end as negative_prompt from tasks"""))
+def _(t):
+    rows = t.tasks().selectExpr("index", "model_type", "case when index % 3 > 0 then w end as width", "case when index % 2 = 0 then h end as height",
+                                "output_path as negative_prompt")
+    return resolve_t2i_params(rows, job={"width": 640, "negative_prompt": "blurry"}).select("index", "width", "height", "negative_prompt")
+
+
+@query("d1_many_ranges", sql("tasks", """select index from tasks where index % 7 < 3 and index < 100000 or index >= 100000"""))
+def _(t):
+    ranges = ",".join(f"{k}:{k + 3}" for k in range(0, 100_000, 7)) + ",100000:"
+    return filter_rows(t.tasks().withColumn("_pos", F.col("index")), ranges).select("index")
+
+
 _BACKEND = """case l_linenumber % 7 when 0 then 'Diffusers' when 1 then 'openai' when 2 then 'gemini' when 3 then 'google_genai'
     when 4 then 'bagel' when 5 then 'mine' else 'nothing' end"""
 _BACKEND_TYPE = """case l_partkey % 5 when 0 then 'qwen' when 1 then 'step1x' when 2 then 'odd' else null end"""

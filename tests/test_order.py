@@ -275,6 +275,19 @@ def test_salted_join_is_a_left_join(spark, hot_rows):
     assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
 
 
+def test_a_large_image_shared_by_few_rows_is_salted(spark):
+    left = spark.createDataFrame([(i, "large" if i < 6 else f"k{i % 3}") for i in range(60)], "i long, key string")
+    right = spark.createDataFrame([("large", b"x" * 4000)] + [(f"k{i}", b"y" * 10) for i in range(3)], "key string, data binary")
+    plain = {(r["i"], r["key"], bytes(r["data"])) for r in left.join(right, "key", "left").collect()}
+    for hot_bytes, salts in ((5000, 5), (1, 6), (10**9, 1)):
+        joined = salted_left_join(left, right, "key", ["i"], 1000, "data", hot_bytes)
+        assert {(r["i"], r["key"], bytes(r["data"])) for r in joined.collect()} == plain
+        copies = [line for line in joined._jdf.queryExecution().toString().splitlines() if "sequence" in line]
+        assert copies  # right rows are copied by salts
+        hot = left.groupBy("key").count().join(right, "key").selectExpr("key", "least(count, ceil(count * length(data) / %d)) as n" % hot_bytes)
+        assert {r["key"]: r["n"] for r in hot.collect()}["large"] == salts
+
+
 def test_every_hot_key_is_salted(spark):
     left = spark.range(20_000).selectExpr("id as i", "id % 5000 as key")
     right = spark.range(5000).selectExpr("id as key", "id * 2 as v")

@@ -1,5 +1,6 @@
 """Scoring, retries, whole jobs."""
 
+import random
 import threading
 import time
 
@@ -12,7 +13,8 @@ from genflow.functions.attempts import RetryPolicy
 from genflow.operators.images import regroup_images
 from genflow.operators.registry import lookup, register, registered
 from genflow.operators.requests import checked_requests, validate_requests
-from genflow.operators.resume import attach_rows, filter_rows, load_rows, lookup_index
+from genflow.operators.params import match_pattern_table
+from genflow.operators.resume import attach_rows, filter_rows, load_rows, lookup_index, row_ranges
 from genflow.operators.failover import Endpoint, EndpointPool
 from genflow.operators.scoring import (
     batch_then_single, bounded, in_flight, score_batches, score_edits, threads_per_process, with_retry,
@@ -281,6 +283,36 @@ def test_row_lookups(spark):
     assert filter_rows(rows, "").count() == 0
 
 
+def test_many_row_ranges_take_one_search(spark):
+    rng = random.Random(3)
+    rows = spark.range(30_000).selectExpr("if(id % 1000 = 999, null, id) as _pos")
+    lows = [rng.randrange(30_000) for _ in range(10_000)]
+    expression = ", ".join(f"{a}:{a + rng.randrange(4)}" if a % 3 else str(a) for a in lows) + ",29990:"
+    ranges = row_ranges(expression)
+    assert all(a < b for a, b in ranges) and all(x[1] < y[0] for x, y in zip(ranges, ranges[1:]))
+    wanted = {p for a, b in ranges for p in range(a, min(b, 30_000))}
+    got = {r["_pos"] for r in filter_rows(rows, expression).collect()}
+    assert got == {p for p in wanted if p % 1000 != 999} and len(ranges) > 1000
+    assert row_ranges("5:3, 7:7,, 1:4,3:6,6,-2:0") == [(-2, 0), (1, 7)]
+    assert row_ranges(":") == [(0, 2**63 - 1)]
+    for wrong in ("a", "1:2:3", "1-2", "1.5"):
+        with pytest.raises(ValueError, match="no row or range"):
+            row_ranges(wrong)
+
+
+def test_pattern_tables(spark):
+    rng = random.Random(8)
+    word = lambda n: "".join(rng.choice("abcAB.") for _ in range(n))
+    patterns = [(i if rng.random() < 0.9 else i // 2, word(rng.randrange(1, 7)), f"v{i}") for i in range(300)] + [(9, None, "none"), (5000, "", "any")]
+    names = [word(rng.randrange(0, 14)) for _ in range(200)] + [None, ""]
+    for listed in (patterns, patterns[:-1], []):
+        table = spark.createDataFrame(listed, "ordinal int, pattern string, value string")
+        df = spark.createDataFrame([(n, "x") for n in names], "name string, matched string")
+        got = [(r["name"], r["matched"]) for r in match_pattern_table(df, table).collect()]
+        want = [(n, None if n is None else min(((o, v) for o, p, v in listed if p is not None and p.lower() in n.lower()), default=(0, None))[1]) for n in names]
+        assert sorted(got, key=str) == sorted(want, key=str)
+
+
 def test_regroup_rules(spark):
     refs = spark.createDataFrame([(1, 1, b"b"), (1, 0, b"a"), (2, 0, None), (2, 1, b"c"), (3, 0, None)], "index long, ref_pos int, data binary")
     strict = {r["index"]: (r["images"] and [bytes(b) for b in r["images"]], r["_error"]) for r in regroup_images(refs).collect()}

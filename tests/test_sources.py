@@ -1,6 +1,7 @@
 """Readers on small files."""
 
 import json
+import random
 import struct
 import zlib
 
@@ -17,6 +18,7 @@ from genflow.sources.endpoints import endpoints_from_config, single_endpoint
 from genflow.sources.logs import read_worker_logs
 from genflow.sources.outputs import list_outputs
 from genflow.sources.requests import read_edit_requests, read_generate_requests
+from genflow.sources import pieces
 from genflow.sources.tasks import (
     load_prompts, read_parquet_dir_reindexed, read_prompts, read_prompts_json, read_prompts_jsonl, read_tasks,
     read_tasks_csv, read_tasks_parquet,
@@ -283,3 +285,76 @@ def test_outputs_and_images_below_hidden_folders(spark, tmp_path):
     got = {r["key"]: r for r in load_image_bytes(refs, str(tmp_path)).collect()}
     assert all(bytes(got[str(tmp_path / n)]["data"]) == n.encode() for n in names)
     assert got[str(tmp_path / "none.png")]["error"].startswith("cannot read") and got["/etc/hostname"]["data"] is None
+
+
+def small_splits(spark):
+    """Files cut every few bytes, as large ones are cut on a cluster."""
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "61b")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+
+
+@pytest.fixture
+def tiny_splits(spark):
+    small_splits(spark)
+    yield
+    for name in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes"):
+        spark.conf.unset(name)
+
+
+def test_quoted_line_breaks_across_splits(spark, tmp_path, tiny_splits):
+    rng = random.Random(4)
+    cells = ["plain", "two\nlines", 'said ""so""', "a,b", "", " spaced ", 'x\n\n"" \n', "é,\n€", "0"]
+    for k, end in enumerate(("\n", "\r\n")):
+        rows = [[rng.choice(cells) for _ in range(3)] for _ in range(120)]
+        body = end.join(",".join([str(i), *(f'"{c}"' if set(c) & set('\n,"') or rng.random() < 0.3 else c for c in r)]) for i, r in enumerate(rows))
+        path = tmp_path / f"t{k}.csv"
+        path.write_bytes(("\ufeff" * k + "index,a,b,c" + end + end + body + end * 3).encode())
+        got = read_tasks_csv(spark, str(path))
+        assert got.columns[:4] == ["index", "a", "b", "c"]
+        found = [tuple(r)[:4] for r in got.orderBy("_pos").collect()]
+        assert found == [(i, *(c.replace('""', '"') for c in r)) for i, r in enumerate(rows)]
+        assert [r["_row"] for r in got.orderBy("_pos").collect()] == list(range(120))
+        lines = pieces.pieces(spark, str(path), "\n")
+        assert lines.select("_split").distinct().count() > 20  # one file, many tasks
+
+
+def test_csv_files_with_odd_ends(spark, tmp_path):
+    for name, text, want in (("a", "index,v\n1,x", [(1, "x")]), ("b", "index,v\n", []), ("c", 'v\n"open\nend', [(0, "open\nend")]), ("d", "index,v\n1\n2,y,z\n", [(1, ""), (2, "y")])):
+        path = tmp_path / f"{name}.csv"
+        path.write_text(text)
+        rows = read_tasks_csv(spark, str(path))
+        assert sorted((r["index"], r["v"]) for r in rows.collect()) == want, name
+
+
+def test_json_arrays_across_splits(spark, tmp_path, tiny_splits):
+    rng = random.Random(5)
+    values = ["a, b", 'quote " here', "back \\ slash", "\\", 'end \\"', "[not, an] {array}", "é€", "", "line\nbreak", "},{", '","']
+    items = []
+    for i in range(150):
+        text = rng.choice(values)
+        items.append(rng.choice([text + "x", {"prompt": text, "index": i + 1000}, {"prompt": text, "extra": [1, [2, {"k": "],["}], text]}, {"index": i, "prompt": "p", "o": {}}]))
+    for indent in (None, 1):
+        path = tmp_path / f"p{indent}.json"
+        path.write_text(json.dumps(items, indent=indent, ensure_ascii=bool(indent)))
+        rows = read_prompts_json(spark, str(path)).orderBy("_pos").collect()
+        assert [r["prompt"] for r in rows] == [i if isinstance(i, str) else i["prompt"] for i in items]
+        assert [r["index"] for r in rows] == [i["index"] if isinstance(i, dict) and "index" in i else k for k, i in enumerate(items)]
+        assert pieces.pieces(spark, str(path), ",").select("_split").distinct().count() > 20
+
+
+@pytest.mark.parametrize("text", ['{"prompt": "a"}', "", "[1, 2", "1, 2]", '["a",]', '["a" "b"]', '[{"prompt": }]', "nothing"])
+def test_what_is_no_json_array_is_an_error(spark, tmp_path, text):
+    path = tmp_path / "p.json"
+    path.write_text(text)
+    if not text:
+        assert read_prompts_json(spark, str(path)).count() == 0
+        return
+    with pytest.raises(Exception, match="must contain an array"):
+        read_prompts_json(spark, str(path)).collect()
+
+
+@pytest.mark.parametrize("text", ["[]", " [ \n ] ", "[\t]"])
+def test_empty_json_arrays(spark, tmp_path, text):
+    path = tmp_path / "p.json"
+    path.write_text(text)
+    assert read_prompts_json(spark, str(path)).collect() == []
