@@ -34,6 +34,8 @@ RARE_HITS = 4
 FILTER_BITS, MOST_FILTER_BITS = 32, 1 << 27
 #: Tables of at most so many bytes are sent to every executor; larger ones are joined by a shuffle.
 BROADCAST_BYTES = 32 << 20
+#: Bytes of text that one numpy pass works on.
+SLICE_BYTES = 1 << 19
 _ODD = np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -175,7 +177,7 @@ def _found(shared, singles: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, bits = shared.value
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", SLICE_BYTES):
                 hashes, first = _words_of(part.column("text"))
                 gram, at = pairs(hashes, first, singles)
                 kept = _passing(gram, table, bits)

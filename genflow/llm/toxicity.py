@@ -29,6 +29,8 @@ DECAY = 0.6
 #: Characters that a subsequence may span; longer units are cut into overlapping windows.
 SPAN, WINDOW, STEP = 7, 24, 12
 FEATURE_BITS = 20
+#: Bytes of text that one numpy pass works on: each takes some hundred bytes of arrays.
+SLICE_BYTES = 1 << 19
 #: The mark in front of a unit.
 OPEN = 2
 #: Units of a sentence.
@@ -262,7 +264,7 @@ def fit(positive: list[str], negative: list[str], landmarks: list[str], cost: fl
 def _split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Distinct units of each labelled text."""
     for batch in batches:
-        for part in slices(batch, "text"):
+        for part in slices(batch, "text", SLICE_BYTES):
             code, starts = codes(part.column(0))
             chars, edges, owner = units(code, starts)
             label = part.column(1).to_pylist()
@@ -280,7 +282,7 @@ def _chosen(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         machine = shared.value
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", SLICE_BYTES):
                 chars, edges, long, at, count, text, margin = machine.sentences(part.column(part.schema.get_field_index("text")))
                 label = np.asarray(part.column(part.schema.get_field_index("toxic")))
                 doc = np.asarray(part.column(part.schema.get_field_index("doc")))
@@ -308,7 +310,7 @@ def _margin(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         machine = shared.value
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", SLICE_BYTES):
                 names = part.schema.names
                 rest = [part.column(i) for i, n in enumerate(names) if n != "text"]
                 margin = pa.array(machine.of_texts(part.column(names.index("text"))), pa.float64())
@@ -463,7 +465,7 @@ def _clean(shared, at: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         machine = shared.value
         for batch in batches:
-            for part in slices(batch, batch.schema.names[at]):
+            for part in slices(batch, batch.schema.names[at], SLICE_BYTES):
                 chance = machine.probability(machine.of_texts(part.column(at)))
                 yield part.filter(pa.array(chance < 0.5))
     return run
