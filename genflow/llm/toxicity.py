@@ -198,10 +198,10 @@ class Machine:
         return 1 / (1 + np.exp(-np.clip(self.slope * margin + self.shift, -30, 30)))
 
 
-def _products(names: list[str], columns: np.ndarray, base: np.ndarray) -> np.ndarray:
-    """Kernel of each unit with each landmark, from the landmarks' feature rows over their subsequences (sorted hashes)."""
-    out = np.zeros((len(names), len(base)), np.float32)
-    across = np.ascontiguousarray(base.T, np.float32)
+def _mapped(names: list[str], columns: np.ndarray, base: np.ndarray, root: np.ndarray) -> np.ndarray:
+    """Nyström features of each unit: its kernel with each landmark, from their rows over their subsequences (sorted hashes), times ``root``."""
+    out = np.zeros((len(names), root.shape[1]), np.float32)
+    across, root = np.ascontiguousarray(base.T, np.float32), root.astype(np.float32)
     for low in range(0, len(names), 100):
         code, edges = codes(pa.array(names[low:low + 100]))
         unit, key, weight = features(code, edges)
@@ -210,7 +210,7 @@ def _products(names: list[str], columns: np.ndarray, base: np.ndarray) -> np.nda
         ok = ok[np.argsort(unit[ok], kind="stable")]
         if len(ok):
             begin = np.flatnonzero(np.diff(unit[ok], prepend=-1))
-            out[low + unit[ok][begin]] = np.add.reduceat(across[at[ok]] * weight[ok][:, None].astype(np.float32), begin, axis=0)
+            out[low + unit[ok][begin]] = np.add.reduceat(across[at[ok]] * weight[ok][:, None].astype(np.float32), begin, axis=0) @ root
     return out
 
 
@@ -232,13 +232,14 @@ def fit(positive: list[str], negative: list[str], landmarks: list[str], cost: fl
     held, sign = [t.split(" ") for t in positive + negative], np.array([1.0] * len(positive) + [-1.0] * len(negative))
     names = sorted({u for t in held for u in t})
     number = {u: i for i, u in enumerate(names)}
-    each = _products(names, columns, base) @ root.astype(np.float32)
-    sizes = np.array([len(t) for t in held])
-    begin = np.cumsum(sizes) - sizes
-    z = np.empty((len(held), each.shape[1] + 1), np.float32)
-    z[:, :-1] = np.add.reduceat(each[np.array([number[u] for t in held for u in t])], begin, axis=0) / np.sqrt(sizes)[:, None]
-    z[:, -1] = 1
-    del each, held
+    each = _mapped(names, columns, base, root)
+    z = np.ones((len(held), each.shape[1] + 1), np.float32)
+    for low in range(0, len(held), 2048):
+        part = held[low:low + 2048]
+        sizes = np.array([len(t) for t in part])
+        rows = each[np.array([number[u] for t in part for u in t])]
+        z[low:low + 2048, :-1] = np.add.reduceat(rows, np.cumsum(sizes) - sizes, axis=0) / np.sqrt(sizes)[:, None]
+    del each, held, names, number
     share = np.where(sign > 0, len(sign) / (2 * max(1, len(positive))), len(sign) / (2 * max(1, len(negative))))
     w = np.zeros(z.shape[1])
     ridge = np.eye(len(w))
@@ -371,8 +372,9 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_DOCS) -> Mach
     top = scored.where((F.col("bad") >= 2) & (F.col("odds") > least)).orderBy(F.desc("weight"), "unit").limit(POSITIVE_UNITS)
     names = scratch(top.select("unit"), "top-units")
     # At most POSITIVE_UNITS lists of at most sample / 2 documents.
-    lists = found.where("toxic = 1").join(names, "unit").groupBy("unit").agg(F.collect_set("doc").alias("docs")).collect()
-    positive = cover({r["unit"]: set(r["docs"]) for r in lists})
+    lists = found.where("toxic = 1").join(names, "unit").groupBy("unit").agg(F.collect_set("doc").alias("docs")).toArrow()
+    positive = cover({unit: set(docs.values.to_numpy().tolist()) for unit, docs in zip(lists.column("unit").to_pylist(), lists.column("docs"))})
+    del lists
     if not positive:
         return Machine(np.zeros(1 << FEATURE_BITS, np.float32), 0.0, 0.0, float(np.log(n[1] / n[0])))
     clean = scored.where(F.col("good") >= 1).where(~F.col("unit").isin(positive))
