@@ -285,7 +285,8 @@ def leaked_texts(docs: DataFrame, benchmark: DataFrame, text: str = "text", item
     drop_scratch(found)
     wanted = scratch(windows.groupBy("t1", "t2").agg(F.collect_list(F.struct("item", "cell", "span")).alias("windows")), "wanted")
     one = texts.join(_small(wanted.select("t1", "t2"), 48), ["t1", "t2"]).groupBy("t1", "t2").agg(F.min("text").alias("text"))
-    passages = one.join(wanted, ["t1", "t2"]).mapInArrow(_cut, "t1 bigint, t2 bigint, item bigint, low bigint, passage array<bigint>")
+    # Stored, so that a task never holds two Python workers, one for each step.
+    passages = scratch(one.join(wanted, ["t1", "t2"]).mapInArrow(_cut, "t1 bigint, t2 bigint, item bigint, low bigint, passage array<bigint>"), "passages")
     placed = passages.join(words, "item").mapInArrow(_aligned(threshold), empty.schema)
     best = F.max_by(F.struct("score", "start_word", "end_word"), F.struct(F.col("score"), -F.col("start_word")))
     return scratch(placed.groupBy("t1", "t2", "item").agg(best.alias("best")).select("t1", "t2", "item", "best.*"), "leaks"), items
