@@ -1,8 +1,10 @@
-"""Interpolated modified Kneser-Ney bigram model over a corpus.
+"""Interpolated modified Kneser-Ney n-gram model over a corpus, of any order from two.
 
-Spark counts: each task sends its distinct bigrams, packed and dealt by hash,
+Spark counts: each task sends its distinct n-grams, packed and dealt by hash,
 to shards of bounded size. A shard is stored in the shared folder as sorted
-hash arrays with counts; a second set of shards holds each word's counts.
+hash arrays with counts, and sends on the n-grams' ends, one word shorter, with
+the number of words seen before them: the counts of the next lower order. Other
+shards hold what follows each context, and each word's counts.
 Scoring tasks map these files into memory and look up sorted, distinct n-grams.
 """
 
@@ -12,6 +14,7 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -20,39 +23,51 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from .common import NOT_SPACE, PIECE_BYTES, drop_scratch, mix, scratch, scratch_folder, slices, utf8, whole, word_runs
 
-#: Training tokens whose bigrams make one shard, and how many fill a task's buffer.
+#: Words of an n-gram unless the caller says otherwise.
+ORDER = 2
+#: Training tokens whose bigrams make one shard, and how many fill a task's buffer; longer n-grams take fewer.
 SHARD_TOKENS, FLUSH_TOKENS = 4_000_000, 2_000_000
 #: Bytes of text that stand for a token when shards are planned.
 BYTES_A_TOKEN = 6
-# Words are 48-bit hashes; two values stand for the start and the end of a text.
-END, START = np.uint64(1), np.uint64(2)
+# A word is a 64-bit hash, and its first 48 bits inside n-grams; two values stand for the end and the start of a text.
+_CUT = np.uint64(16)
+END, START = np.uint64(1) << _CUT, np.uint64(2)
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _PAIR = np.uint64(0x9E3779B97F4A7C15)
 
 
 def tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """48-bit hash of each token, ends included, and how many tokens each text has."""
+    """64-bit hash of each token, ends included, and how many tokens each text has."""
     raw, starts = utf8(texts)
     raw = _LOWER[raw]
     _, _, hashes, first = word_runs(raw, starts, NOT_SPACE[raw])
-    return np.insert(hashes >> np.uint64(16), first[1:], END), np.diff(first) + 1
-
-
-def contexts(token: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """The token before each token; the start mark before a text's first."""
-    before = np.empty_like(token)
-    before[1:] = token[:-1]
-    before[(np.cumsum(counts) - counts)[counts > 0]] = START
-    return before
-
-
-def pair_hash(before: np.ndarray, token: np.ndarray) -> np.ndarray:
-    """Hash of each bigram, in pieces that bound the temporary arrays."""
-    out = np.empty(len(token), np.uint64)
-    for at in range(0, len(token), 1 << 18):
+    return np.insert(hashes, first[1:], END), np.diff(first) + 1
+
+
+def windows(token: np.ndarray, counts: np.ndarray, order: int) -> list[np.ndarray]:
+    """The n-gram that ends at each token, a column per word; start marks stand before a text's first."""
+    short = token >> _CUT
+    place = np.arange(len(token)) - np.repeat(np.cumsum(counts) - counts, counts)
+    columns = [short]
+    for back in range(1, order):
+        column = np.full_like(short, START)
+        column[back:] = np.where(place[back:] >= back, short[:max(0, len(short) - back)], START)
+        columns.insert(0, column)
+    return columns
+
+
+def gram_hash(columns: list[np.ndarray]) -> np.ndarray:
+    """Hash of each n-gram, in pieces that bound the temporary arrays; a single word is its own."""
+    if len(columns) == 1:
+        return columns[0]
+    out = np.empty(len(columns[0]), np.uint64)
+    for at in range(0, len(out), 1 << 18):
         part = slice(at, at + (1 << 18))
-        out[part] = mix(mix(before[part] * _PAIR) + token[part])
+        h = columns[0][part]
+        for column in columns[1:]:
+            h = mix(mix(h * _PAIR) + column[part])
+        out[part] = h
     return out
 
 
@@ -76,10 +91,16 @@ def _starts(values: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.concatenate([[True], values[1:] != values[:-1]])) if len(values) else np.zeros(0, np.int64)
 
 
-def _cuts(hashes: np.ndarray, shards: int, bits: int) -> np.ndarray:
+def _cuts(hashes: np.ndarray, shards: int, bits: int = 64) -> np.ndarray:
     return np.searchsorted(_shard_of(hashes, shards, bits), np.arange(shards + 1))
 
 
+def _find(sorted_: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each wanted value stands, and whether it is there."""
+    at = np.minimum(np.searchsorted(sorted_, wanted), len(sorted_) - 1)
+    return at, sorted_[at] == wanted
+
+
 BLOCKS = "kind string, shard int, words binary, numbers binary"
 
 
@@ -89,14 +110,21 @@ def _blocks(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["kind", "shard", "words", "numbers"])
 
 
-#: Columns of a word's counts that a kind of row carries, and their type; a task's or shard's own counts are small.
-_CARRIES = {"word": ([0], "<u4"), "total": ([0], "<u8"), "context": ([1, 2, 3, 4], "<u4"), "follows": ([5], "<u4")}
+#: Bytes of the key in a kind of row, and how many numbers it has.
+#: "word": tokens. "total": their sums. "context": tokens after a word, and types after it seen once, twice, more.
+#: "long": the same of a context of several words. "follows": types before a word.
+_CARRIES = {"word": (8, 1), "total": (8, 1), "context": (6, 4), "long": (8, 4), "follows": (6, 1)}
 
 
-def _word_rows(word: np.ndarray, numbers: np.ndarray, shards: int, kind: str) -> list[tuple]:
-    """Packed rows of sorted words with their numbers (one row of the array per word), by shard."""
-    cut, kind_of = _cuts(word, shards, 48), _CARRIES[kind][1]
-    return [(kind, s, _pack48(word[a:b]).tobytes(), numbers[a:b].astype(kind_of).tobytes())
+def _narrow(numbers: np.ndarray) -> np.ndarray:
+    """The numbers in four bytes each where all fit."""
+    return numbers.astype("<u8" if numbers.size and numbers.max() >= 2**32 else "<u4")
+
+
+def _key_rows(key: np.ndarray, numbers: np.ndarray, shards: int, kind: str) -> list[tuple]:
+    """Packed rows of sorted keys with their numbers (one row of the array per key), by shard."""
+    size, cut = _CARRIES[kind][0], _cuts(key, shards, 8 * _CARRIES[kind][0])
+    return [(kind, s, (_pack48(key[a:b]) if size == 6 else key[a:b].astype("<u8")).tobytes(), _narrow(numbers[a:b]).tobytes())
             for s, (a, b) in enumerate(zip(cut, cut[1:])) if b > a]
 
 
@@ -107,37 +135,42 @@ def _counted(word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return word[at], np.diff(np.append(at, len(word)))[:, None]
 
 
-def _count(shards: int):
-    def flush(before: list[np.ndarray], token: list[np.ndarray]) -> pa.RecordBatch:
-        v, w = np.concatenate(before), np.concatenate(token)
-        key = pair_hash(v, w)
-        order = np.argsort(key)
-        key = key[order]
-        at = _starts(key)
-        n = np.diff(np.append(at, len(key)))
-        pair = order[at]
-        packed = np.concatenate([_pack48(v[pair]), _pack48(w[pair])], axis=1)
-        cut = _cuts(key[at], shards, 64)
-        rows = []
-        for s, (a, b) in enumerate(zip(cut, cut[1:])):
-            if b > a:
-                more = np.flatnonzero(n[a:b] > 1)  # most counts are one
-                rows.append(("pair", s, packed[a:b].tobytes(), np.stack([more, n[a:b][more]], 1).astype("<u4").tobytes()))
-        return _blocks(rows + _word_rows(*_counted(w), shards, "word"))
+def _gram_rows(columns: list[np.ndarray], shards: int) -> list[tuple]:
+    """Packed rows of the distinct n-grams with how often each comes, by shard."""
+    key = gram_hash(columns)
+    order = np.argsort(key)
+    key = key[order]
+    at = _starts(key)
+    n = np.diff(np.append(at, len(key)))
+    one = order[at]
+    packed = np.concatenate([_pack48(c[one]) for c in columns], axis=1)
+    cut = _cuts(key[at], shards)
+    rows = []
+    for s, (a, b) in enumerate(zip(cut, cut[1:])):
+        if b > a:
+            more = np.flatnonzero(n[a:b] > 1)  # most counts are one
+            rows.append(("gram", s, packed[a:b].tobytes(), np.stack([more, n[a:b][more]], 1).astype("<u4").tobytes()))
+    return rows
+
+
+def _count(shards: int, order: int):
+    def flush(token: list[np.ndarray], counts: list[np.ndarray]) -> pa.RecordBatch:
+        token, counts = np.concatenate(token), np.concatenate(counts)
+        return _blocks(_gram_rows(windows(token, counts, order), shards) + _key_rows(*_counted(token), shards, "word"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        before, token, held = [], [], 0
+        token, counts, held = [], [], 0
         for batch in batches:
             for part in slices(batch, "text"):
-                t, counts = tokens(part.column(0))
-                before.append(contexts(t, counts))
+                t, n = tokens(part.column(0))
                 token.append(t)
+                counts.append(n)
                 held += len(t)
-                if held >= FLUSH_TOKENS:
-                    yield flush(before, token)
-                    before, token, held = [], [], 0
+                if held >= 2 * FLUSH_TOKENS // order:
+                    yield flush(token, counts)
+                    token, counts, held = [], [], 0
         if held:
-            yield flush(before, token)
+            yield flush(token, counts)
     return run
 
 
@@ -168,67 +201,93 @@ def _mapped(uri: str) -> np.ndarray:
         return np.memmap(copy, np.uint8, "r")
 
 
-def _merge_shard(table: pa.Table, folder: str, shards: int) -> Iterator[tuple]:
-    """Store a shard of bigrams; its words' type counts and counts of counts go on. A shard of words is added up."""
+def _counts_of_counts(c: np.ndarray) -> list[int]:
+    return [int((c == k).sum()) for k in (1, 2, 3, 4)]
+
+
+def _merge_shard(table: pa.Table, folder: str, shards: int, order: int) -> Iterator[tuple]:
+    """Store a shard of n-grams; counts of counts, their contexts and their ends go on. A shard of words is added up."""
     shard = table.column("shard")[0].as_py()
     if table.column("kind")[0].as_py() == "word":
-        word, number = _added(table)
-        yield "total", shard, _pack48(word).tobytes(), number[:, 0].astype("<u8").tobytes()
+        word, number = _added(table, "word")
+        yield "total", shard, word.astype("<u8").tobytes(), _narrow(number).tobytes()
         return
-    sizes = [len(data.as_buffer()) // 12 for data in table.column("words")]
-    v, w, c = (np.ones(sum(sizes), kind) for kind in (np.uint64, np.uint64, np.uint32))
+    sizes = [len(data.as_buffer()) // (6 * order) for data in table.column("words")]
+    columns = [np.empty(sum(sizes), np.uint64) for _ in range(order)]
+    c = np.ones(sum(sizes), np.uint32)
     at = 0
     for size, data, numbers in zip(sizes, table.column("words"), table.column("numbers")):
-        packed = np.frombuffer(data.as_buffer(), np.uint8).reshape(-1, 12)
-        v[at:at + size], w[at:at + size] = _unpack48(packed[:, :6]), _unpack48(packed[:, 6:])
+        packed = np.frombuffer(data.as_buffer(), np.uint8).reshape(-1, 6 * order)
+        for i, column in enumerate(columns):
+            column[at:at + size] = _unpack48(packed[:, 6 * i:6 * i + 6])
         more = np.frombuffer(numbers.as_buffer(), "<u4").reshape(-1, 2)
         c[at + more[:, 0].astype(np.int64)] = more[:, 1]
         at += size
-    key = pair_hash(v, w)
-    order = np.argsort(key, kind="stable")  # the blocks are sorted runs
-    key = key[order]
+    key = gram_hash(columns)
+    order_of = np.argsort(key, kind="stable")  # the blocks are sorted runs
+    key = key[order_of]
     begin = _starts(key)
-    c = np.add.reduceat(c[order], begin, dtype=np.int64)
-    v, w, key = v[order[begin]], w[order[begin]], key[begin]
-    del order, begin
+    c = np.add.reduceat(c[order_of], begin, dtype=np.int64)
+    one, key = order_of[begin], key[begin]
+    for i in range(order):
+        columns[i] = columns[i][one]
+    del order_of, begin, one
     large = np.flatnonzero(c >= 255)
-    _store(f"{folder}/pair-{shard}", [key, large.astype("<u8"), c[large].astype("<u8"), np.minimum(c, 255).astype(np.uint8)])
-    held = [int((c == k).sum()) for k in (1, 2, 3, 4)]
-    yield ("pairs", shard, b"", np.array([len(key), len(large), *held], "<u8").tobytes())
+    _store(f"{folder}/gram{order}-{shard}", [key, large.astype("<u8"), c[large].astype("<u8"), np.minimum(c, 255).astype(np.uint8)])
+    yield "grams", shard, b"", np.array([len(key), len(large), *_counts_of_counts(c)], "<u8").tobytes()
     del key
-    yield from _word_rows(*_counted(w), shards, "follows")  # how many words it follows
-    del w
-    order = np.argsort(v)
-    v, c = v[order], c[order]
-    at = _starts(v)
+    if order == 2:
+        yield from _key_rows(*_counted(columns[1]), shards, "follows")
+    else:
+        yield from _gram_rows(columns[1:], shards)
+    context = gram_hash(columns[:-1])
+    del columns
+    order_of = np.argsort(context)
+    context, c = context[order_of], c[order_of]
+    at = _starts(context)
     sums = [np.add.reduceat(x, at) for x in (c, (c == 1).astype(np.int64), (c == 2).astype(np.int64), (c >= 3).astype(np.int64))]
-    yield from _word_rows(v[at], np.stack(sums, 1), shards, "context")
+    yield from _key_rows(context[at], np.stack(sums, 1), shards, "context" if order == 2 else "long")
 
 
-def _added(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct words of packed rows in order, with the sums of their numbers (six columns)."""
-    parts, numbers = [], []
+def _added(table: pa.Table, *kinds: str) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys of the packed rows of these kinds, in order, with the sums of their numbers side by side."""
+    wide = sum(_CARRIES[k][1] for k in kinds)
+    parts, numbers = [np.zeros(0, np.uint64)], [np.zeros((0, wide), np.int64)]
     for kind, data, values in zip(table.column("kind"), table.column("words"), table.column("numbers")):
-        parts.append(_unpack48(np.frombuffer(data.as_buffer(), np.uint8).reshape(-1, 6)))
-        columns, kind_of = _CARRIES[kind.as_py()]
-        wide = np.zeros((len(parts[-1]), 6), np.int64)
-        wide[:, columns] = np.frombuffer(values.as_buffer(), kind_of).reshape(-1, len(columns))
-        numbers.append(wide)
-    word, number = np.concatenate(parts), np.concatenate(numbers)
-    order = np.argsort(word, kind="stable")
-    at = _starts(word[order])
-    return word[order[at]], np.add.reduceat(number[order], at, axis=0)
+        if (name := kind.as_py()) in kinds:
+            size, columns = _CARRIES[name]
+            packed, values = np.frombuffer(data.as_buffer(), np.uint8), values.as_buffer()
+            parts.append(_unpack48(packed.reshape(-1, 6)) if size == 6 else packed.view("<u8").astype(np.uint64))
+            before = sum(_CARRIES[k][1] for k in kinds[:kinds.index(name)])
+            number = np.zeros((len(parts[-1]), wide), np.int64)
+            kind_of = f"<u{values.size // (columns * len(parts[-1]))}"
+            number[:, before:before + columns] = np.frombuffer(values, kind_of).reshape(-1, columns)
+            numbers.append(number)
+    key, number = np.concatenate(parts), np.concatenate(numbers)
+    if not len(key):
+        return key, number
+    order = np.argsort(key, kind="stable")
+    at = _starts(key[order])
+    return key[order[at]], np.add.reduceat(number[order], at, axis=0)
 
 
 def _shard_words(table: pa.Table, folder: str) -> Iterator[tuple]:
-    """Store a shard of words with all their counts."""
+    """Store a shard of words: their tokens by the whole hash, what follows and precedes them by its first 48 bits."""
     shard = table.column("shard")[0].as_py()
-    word, number = _added(table)
-    _store(f"{folder}/word-{shard}", [word, *[number[:, i].astype("<u8") for i in range(6)]])
-    follows = number[:, 5]
-    held = [int((follows == k).sum()) for k in (1, 2, 3, 4)]
-    known = number[:, 0] > 0
-    yield ("words", shard, b"", np.array([len(word), int(known.sum()), int(number[:, 0].sum()), int(follows.sum()), *held], "<u8").tobytes())
+    word, tokens_ = _added(table, "total")
+    short, number = _added(table, "context", "follows")
+    _store(f"{folder}/word-{shard}", [word, tokens_[:, 0].astype("<u8"), short, wide := _narrow(number.T)])
+    follows = number[:, 4]
+    yield "words", shard, b"", np.array([len(word), len(short), wide.itemsize, int(tokens_.sum()), int(follows.sum()),
+                                         *_counts_of_counts(follows), int((follows > 0).sum())], "<u8").tobytes()
+
+
+def _shard_contexts(table: pa.Table, folder: str, order: int) -> Iterator[tuple]:
+    """Store a shard of contexts of several words."""
+    shard = table.column("shard")[0].as_py()
+    key, number = _added(table, "long")
+    _store(f"{folder}/context{order}-{shard}", [key, wide := _narrow(number.T)])
+    yield "contexts", shard, b"", np.array([len(key), wide.itemsize], "<u8").tobytes()
 
 
 def discounts(held: np.ndarray) -> np.ndarray:
@@ -248,10 +307,9 @@ class Model:
 
     folder: str
     shards: int
-    pairs: dict[int, np.ndarray]
-    words: dict[int, np.ndarray]
-    pair_discounts: np.ndarray = None
-    word_discounts: np.ndarray = None
+    order: int
+    sizes: dict[str, dict[int, np.ndarray]]
+    discounts: dict[int, np.ndarray] = field(default_factory=dict)
     tokens: int = 0
     types: int = 0
     follows: int = 0
@@ -261,31 +319,36 @@ class Model:
     def __getstate__(self):
         return self.__dict__ | {"_open": {}}
 
-    def _part(self, kind: str, shard: int) -> tuple:
+    def _part(self, kind: str, shard: int) -> list[np.ndarray]:
+        """The arrays of one file."""
         if (kind, shard) not in self._open:
-            raw = _mapped(f"{self.folder}/{kind}-{shard}")
-            if kind == "pair":
-                n, large = (int(x) for x in self.pairs[shard][:2])
-                at = 8 * n
-                found = (raw[:at].view(np.uint64), raw[at:at + 8 * large].view(np.uint64),
-                         raw[at + 8 * large:at + 16 * large].view(np.uint64), raw[at + 16 * large:])
+            raw, size = _mapped(f"{self.folder}/{kind}-{shard}"), [int(x) for x in self.sizes[kind][shard]]
+            if kind.startswith("gram"):
+                lengths = [(size[0], "<u8"), (size[1], "<u8"), (size[1], "<u8"), (size[0], "u1")]
+            elif kind == "word":
+                lengths = [(size[0], "<u8"), (size[0], "<u8"), (size[1], "<u8"), *[(size[1], f"<u{size[2]}")] * 5]
             else:
-                n = int(self.words[shard][0])
-                found = tuple(raw[8 * n * i:8 * n * (i + 1)].view(np.uint64) for i in range(7))
+                lengths = [(size[0], "<u8"), *[(size[0], f"<u{size[1]}")] * 4]
+            found, at = [], 0
+            for n, kind_of in lengths:
+                end = at + n * np.dtype(kind_of).itemsize
+                found.append(raw[at:end].view(kind_of))
+                at = end
             self._open[kind, shard] = found
         return self._open[kind, shard]
 
-    def pair_counts(self, key: np.ndarray) -> np.ndarray:
-        """Training count of each bigram hash, for sorted hashes: shards are visited once, in order."""
+    def _visit(self, kind: str, key: np.ndarray, bits: int = 64) -> Iterator[tuple[slice, list[np.ndarray]]]:
+        """Each shard that sorted keys fall in, once and in order, with the keys' place."""
+        cut = _cuts(key, self.shards, bits)
+        for s in sorted(self.sizes[kind]):
+            if cut[s] < cut[s + 1]:
+                yield slice(cut[s], cut[s + 1]), self._part(kind, s)
+
+    def gram_counts(self, key: np.ndarray, order: int) -> np.ndarray:
+        """Count of each n-gram hash, for sorted hashes."""
         out = np.zeros(len(key), np.int64)
-        cut = _cuts(key, self.shards, 64)
-        for s in self.pairs:
-            mine = slice(cut[s], cut[s + 1])
-            if cut[s] == cut[s + 1]:
-                continue
-            keys, large, many, small = self._part("pair", s)
-            at = np.minimum(np.searchsorted(keys, key[mine]), len(keys) - 1)
-            hit = keys[at] == key[mine]
+        for mine, (keys, large, many, small) in self._visit(f"gram{order}", key):
+            at, hit = _find(keys, key[mine])
             count = small[at].astype(np.int64)
             big = np.flatnonzero(hit & (count == 255))
             if len(big):
@@ -293,53 +356,74 @@ class Model:
             out[mine] = np.where(hit, count, 0)
         return out
 
-    def word_counts(self, word: np.ndarray) -> np.ndarray:
-        """(tokens, tokens after it, types after it seen once, twice, more, types before it) of each of sorted words."""
-        out = np.zeros((len(word), 6), np.int64)
-        cut = _cuts(word, self.shards, 48)
-        for s in self.words:
-            mine = slice(cut[s], cut[s + 1])
-            if cut[s] < cut[s + 1]:
-                names, *numbers = self._part("word", s)
-                at = np.minimum(np.searchsorted(names, word[mine]), len(names) - 1)
-                hit = names[at] == word[mine]
+    def word_tokens(self, word: np.ndarray) -> np.ndarray:
+        """Training tokens of each of sorted 64-bit words."""
+        out = np.zeros(len(word), np.int64)
+        for mine, (names, count, *_) in self._visit("word", word):
+            if len(names):
+                at, hit = _find(names, word[mine])
+                out[mine] = np.where(hit, count[at], 0)
+        return out
+
+    def _numbers(self, kind: str, key: np.ndarray, first: int, columns: int, bits: int) -> np.ndarray:
+        out = np.zeros((len(key), columns), np.int64)
+        for mine, arrays in self._visit(kind, key, bits):
+            names, numbers = arrays[first], arrays[first + 1:]
+            if len(names):
+                at, hit = _find(names, key[mine])
                 for i, n in enumerate(numbers):
                     out[mine, i] = np.where(hit, n[at], 0)
         return out
 
+    def word_counts(self, short: np.ndarray) -> np.ndarray:
+        """(tokens after it, types after it seen once, twice, more, types before it) of each of sorted 48-bit words."""
+        return self._numbers("word", short, 2, 5, 48)
+
+    def context_counts(self, key: np.ndarray, order: int) -> np.ndarray:
+        """(tokens after it, types after it seen once, twice, more) of each of sorted contexts of n-grams of this order."""
+        return self._numbers(f"context{order}", key, 0, 4, 64)
+
     def score(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(tokens, known tokens, base log10, model log10) of each text."""
         token, counts = tokens(texts)
-        before = contexts(token, counts)
-        word, back = np.unique(np.concatenate([token, [START]]), return_inverse=True)
-        number = self.word_counts(word)
-        token_at = back[:-1]
-        before_at = np.where(before == START, back[-1], np.roll(token_at, 1))
-        c, follows = number[:, 0], number[:, 5]
-        d = self.word_discounts[np.minimum(follows, 3)]
-        low = np.maximum(follows - d, 0) / max(1, self.follows) + self.fresh / (self.types + 1)
-        total = number[:, 1]
-        share = number[:, 2:5] @ self.pair_discounts[1:]
-        share = np.where(total > 0, share / np.maximum(total, 1), 1.0)
-        key, pair_at = np.unique(pair_hash(before, token), return_inverse=True)
-        n = self.pair_counts(key)
-        first = n - self.pair_discounts[np.minimum(n, 3)]
-        p = first[pair_at] / np.maximum(total[before_at], 1) + share[before_at] * low[token_at]
-        base = np.log10((c[token_at] + 0.5) / (self.tokens + 0.5 * (self.types + 1)))
+        word, back = np.unique(token, return_inverse=True)
+        c = self.word_tokens(word)[back]
+        base = np.log10((c + 0.5) / (self.tokens + 0.5 * (self.types + 1)))
+        columns = windows(token, counts, self.order)
+        short, back = np.unique(np.concatenate([columns[-1], [START]]), return_inverse=True)
+        number = self.word_counts(short)
+        follows = number[:, 4]
+        low = np.maximum(follows - self.discounts[1][np.minimum(follows, 3)], 0) / max(1, self.follows) + self.fresh / (self.types + 1)
+        p = low[back[:-1]]
+        for order in range(2, self.order + 1):
+            gram = columns[-order:]
+            key, at = np.unique(gram_hash(gram), return_inverse=True)
+            n = self.gram_counts(key, order)
+            first = (n - self.discounts[order][np.minimum(n, 3)])[at]
+            if order == 2:
+                after, at = number, np.where(gram[0] == START, back[-1], np.roll(back[:-1], 1))
+            else:
+                key, at = np.unique(gram_hash(gram[:-1]), return_inverse=True)
+                after = self.context_counts(key, order)
+            total = after[:, 0]
+            share = np.where(total > 0, after[:, 1:4] @ self.discounts[order][1:] / np.maximum(total, 1), 1.0)
+            p = first / np.maximum(total[at], 1) + share[at] * p
         begin = np.cumsum(counts) - counts
-        sums = [np.add.reduceat(x, begin) for x in ((c[token_at] > 0).astype(np.int64), base, np.log10(p))]
+        sums = [np.add.reduceat(x, begin) for x in ((c > 0).astype(np.int64), base, np.log10(p))]
         return counts, *sums
 
 
-def train(docs: DataFrame, text: str = "text", shard_tokens: int = SHARD_TOKENS) -> Model:
-    """Count all rows' whole texts into a stored model; null texts are empty.
+def train(docs: DataFrame, text: str = "text", shard_tokens: int = SHARD_TOKENS, order: int = ORDER) -> Model:
+    """Count all rows' whole texts into a stored model of n-grams up to ``order`` words; null texts are empty.
 
     Repeated rows count each time. Only a row per shard comes to the driver.
     """
+    if order < 2:
+        raise ValueError("order must be 2 or more")
     spark = docs.sparkSession
     source = docs.select(whole(text).alias("text"))
     size = source.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    shards = max(1, -(-int(size) // BYTES_A_TOKEN // shard_tokens))
+    shards = max(1, -(-int(size) * order // (2 * BYTES_A_TOKEN * shard_tokens)))
     folder = scratch_folder(spark, "model")
 
     def apply(fn, *args):
@@ -347,24 +431,36 @@ def train(docs: DataFrame, text: str = "text", shard_tokens: int = SHARD_TOKENS)
             return pa.Table.from_batches([_blocks(list(fn(table, *args)))])
         return run
 
-    counted = source.mapInArrow(_count(shards), BLOCKS)
-    merged = scratch(counted.groupBy("kind", "shard").applyInArrow(apply(_merge_shard, folder, shards), BLOCKS), "lm-blocks")
-    words_ = merged.where("kind <> 'pairs'").groupBy("shard").applyInArrow(apply(_shard_words, folder), BLOCKS)
-    # A row per shard, a shard being millions of tokens.
-    held = merged.where("kind = 'pairs'").select("kind", "shard", "numbers").collect() + words_.select("kind", "shard", "numbers").collect()
-    drop_scratch(merged)
-    found: dict[str, dict[int, np.ndarray]] = {"pairs": {}, "words": {}}
-    for row in held:
-        found[row["kind"]][row["shard"]] = np.frombuffer(bytes(row["numbers"]), "<u8").astype(np.int64)
-    model = Model(folder, shards, found["pairs"], found["words"])
-    over_pairs = sum(found["pairs"].values(), np.zeros(6, np.int64))
-    over_words = sum(found["words"].values(), np.zeros(8, np.int64))
-    model.pair_discounts, model.word_discounts = discounts(over_pairs[2:]), discounts(over_words[4:])
-    model.types, model.tokens, model.follows = (int(x) for x in over_words[1:4])
-    n1, n2 = over_words[4:6]
-    more = model.types - n1 - n2  # every training token follows something
-    if model.follows:
-        model.fresh = float(model.word_discounts[1:] @ np.array([n1, n2, more]) / model.follows)
+    def by_shard(rows: DataFrame, fn, *args) -> DataFrame:
+        keys = ["kind", "shard"] if fn is _merge_shard else ["shard"]
+        return rows.groupBy(*keys).applyInArrow(apply(fn, folder, *args), BLOCKS)
+
+    sizes: dict[str, dict[int, np.ndarray]] = {}
+
+    def hold(name: str, rows: DataFrame) -> None:
+        # A row per shard, a shard being millions of tokens.
+        sizes[name] = {r["shard"]: np.frombuffer(bytes(r["numbers"]), "<u8").astype(np.int64) for r in rows.select("shard", "numbers").collect()}
+
+    blocks, merged = source.mapInArrow(_count(shards, order), BLOCKS), []
+    for n in range(order, 1, -1):
+        merged.append(scratch(by_shard(blocks, _merge_shard, shards, n), "lm-blocks"))
+        hold(f"gram{n}", merged[-1].where("kind = 'grams'"))
+        if n > 2:
+            hold(f"context{n}", by_shard(merged[-1].where("kind = 'long'"), _shard_contexts, n))
+        blocks = merged[-1].where("kind = 'gram'")
+    counted = reduce(DataFrame.unionByName, merged).where("kind in ('total', 'context', 'follows')")
+    hold("word", by_shard(counted, _shard_words))
+    for table in merged:
+        drop_scratch(table)
+    model = Model(folder, shards, order, sizes)
+    over_words = sum(sizes["word"].values(), np.zeros(10, np.int64))
+    for n in range(2, order + 1):
+        model.discounts[n] = discounts(sum(sizes[f"gram{n}"].values(), np.zeros(6, np.int64))[2:])
+    model.discounts[1] = discounts(over_words[5:9])
+    model.types, model.tokens, model.follows = (int(over_words[i]) for i in (0, 3, 4))
+    n1, n2 = over_words[5:7]
+    if model.follows:  # every training token follows something
+        model.fresh = float(model.discounts[1][1:] @ np.array([n1, n2, over_words[9] - n1 - n2]) / model.follows)
     return model
 
 

@@ -535,59 +535,77 @@ def test_contamination_query_against_brute_force(spark):
 
 # -- language model --------------------------------------------------------
 
-def plain_model(train):
+def plain_model(train, order=2):
     tokens = lambda text: [w for w in "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "").translate(
         {9: " ", 10: " ", 11: " ", 12: " ", 13: " "}).split(" ") if w] + ["</s>"]
-    one, two = collections.Counter(), collections.Counter()
+
+    def grams(words):
+        padded = ["<s>"] * (order - 1) + words
+        return [tuple(padded[i:i + order]) for i in range(len(words))]
+
+    one, counts = collections.Counter(), {order: collections.Counter()}
     for text in train:
-        words = tokens(text)
-        one.update(words)
-        two.update(zip(["<s>", *words], words))
-    follows, total = collections.Counter(), collections.Counter()
-    kinds = collections.defaultdict(lambda: [0, 0, 0, 0])
-    for (v, w), c in two.items():
-        follows[w] += 1
-        total[v] += c
-        kinds[v][min(c, 3)] += 1
-    held = lambda counts: np.array([sum(c == k for c in counts) for k in (1, 2, 3, 4)])
-    d2, d1 = ngram_lm.discounts(held(two.values())), ngram_lm.discounts(held(follows.values()))
-    every, types = sum(follows.values()), len(one)
-    fresh = sum(d1[min(n, 3)] for n in follows.values()) / every
-
-    def low(w):
-        return max(follows[w] - d1[min(follows[w], 3)], 0) / every + fresh / (types + 1)
-
-    def p(v, w):
-        if not total[v]:
-            return low(w)
-        back = sum(d2[k] * n for k, n in enumerate(kinds[v])) / total[v]
-        return max(two[v, w] - d2[min(two[v, w], 3)], 0) / total[v] + back * low(w)
+        one.update(tokens(text))
+        counts[order].update(grams(tokens(text)))
+    for n in range(order - 1, 0, -1):
+        counts[n] = collections.Counter(g[1:] for g in counts[n + 1])
+    d = {n: ngram_lm.discounts(np.array([sum(c == k for c in found.values()) for k in (1, 2, 3, 4)])) for n, found in counts.items()}
+    total, kinds = collections.Counter(), collections.defaultdict(lambda: [0, 0, 0, 0])
+    for n, found in counts.items():
+        for g, c in found.items():
+            total[n, g[:-1]] += c
+            kinds[n, g[:-1]][min(c, 3)] += 1
+    types = len(one)
+
+    def share(n, before):
+        return sum(d[n][k] * x for k, x in enumerate(kinds[n, before])) / total[n, before]
+
+    def p(*gram):
+        n, before = len(gram), gram[:-1]
+        back = p(*gram[1:]) if n > 1 else 1 / (types + 1)
+        if not total[n, before]:
+            return back
+        c = counts[n][gram]
+        return max(c - d[n][min(c, 3)], 0) / total[n, before] + share(n, before) * back
 
     n = sum(one.values())
 
     def score(text):
         words = tokens(text)
         base = sum(math.log10((one[w] + 0.5) / (n + 0.5 * (types + 1))) for w in words)
-        return len(words), sum(one[w] > 0 for w in words), base, sum(math.log10(p(v, w)) for v, w in zip(["<s>", *words], words))
+        return len(words), sum(one[w] > 0 for w in words), base, sum(math.log10(p(*g)) for g in grams(words))
 
-    return score, p, low, one
+    return score, p, one
 
 
-@pytest.mark.parametrize("shard_tokens", [6_000_000, 4000])
-def test_model_against_plain_counts(spark, shard_tokens):
+@pytest.mark.parametrize("shard_tokens, order", [(6_000_000, 2), (4000, 2), (6_000_000, 3), (4000, 4)])
+def test_model_against_plain_counts(spark, shard_tokens, order):
     rows = duckdb.sql(f"select doc_id, text from '{SMALL}/documents.parquet'").fetchall()
     rows += [(d and 1000 + d, t) for d, t in EDGE] + [(900, "the the the Ä\x0bTHE  the"), (901, "of the " * 900)]
     train = [(d, t) for d, t in rows if d is not None and zlib.crc32(str(d).encode()) % 5 != 1]
-    model = ngram_lm.train(table(spark, rows).where(~ngram_lm.held_out()), shard_tokens=shard_tokens)
+    model = ngram_lm.train(table(spark, rows).where(~ngram_lm.held_out()), shard_tokens=shard_tokens, order=order)
     assert (model.shards > 1) == (shard_tokens < 6_000_000)
-    score, p, low, one = plain_model([t for _, t in train])
+    score, p, one = plain_model([t for _, t in train], order)
     texts = dict(rows)
     for r in ngram_lm.score(table(spark, rows), model).collect():
         n, known, base, own = score(texts[r["doc_id"]])
         assert (r["n_tokens"], r["n_known"]) == (n, known)
         assert r["base_score"] == pytest.approx(base) and r["score"] == pytest.approx(own)
-    assert sum(low(w) for w in one) + low("never seen") == pytest.approx(1)
-    assert sum(p("the", w) for w in one) + p("the", "never seen") == pytest.approx(1)
+    for before in ((), ("the",), ("of", "the"), ("<s>", "<s>", "<s>"))[:order]:
+        assert sum(p(*before, w) for w in one) + p(*before, "never seen") == pytest.approx(1)
+
+
+def test_windows_and_wide_numbers():
+    token, counts = np.arange(1, 8, dtype=np.uint64) << np.uint64(16), np.array([1, 4, 2])
+    got = np.stack(ngram_lm.windows(token, counts, 4), 1).tolist()
+    start = int(ngram_lm.START)
+    assert got[0] == [start] * 3 + [1] and got[3:5] == [[start, 2, 3, 4], [2, 3, 4, 5]] and got[6] == [start, start, 6, 7]
+    assert [len(c) for c in ngram_lm.windows(token[:1], np.array([1]), 5)] == [1] * 5
+    many = np.array([[1, 2, 3, 2**40], [5, 6, 7, 8]])
+    rows = ngram_lm._key_rows(np.array([3, 2**47], np.uint64), many, 2, "context")
+    assert [r[1] for r in rows] == [0, 1]
+    key, number = ngram_lm._added(ngram_lm._blocks(rows + rows), "follows", "context")
+    assert key.tolist() == [3, 2**47] and number.tolist() == [[0, *(2 * many[0])], [0, *(2 * many[1])]]
 
 
 def test_model_without_training_text(spark):
