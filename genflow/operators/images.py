@@ -3,18 +3,22 @@
 from __future__ import annotations
 
 import posixpath
+import uuid
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.images import image_cache_key, is_remote
 from ..sources.outputs import location
+from ..storage import folders, stored
 from .joins import HOT_BYTES, HOT_ROWS, salted_left_join
 
 FETCH_TIMEOUT = 30
 #: Bytes of images that one loading task holds before it hands them on.
 LOADED_BYTES = 16 << 20
+#: Folders that each run's part of the fetch cache is split into.
+CACHE_BUCKETS = 256
 BLOB_SCHEMA = "key string, data binary, error string"
 
 
@@ -37,55 +41,65 @@ def fetch_images(refs: DataFrame, fetcher: Callable[[str, int], bytes], cache_pa
                  timeout: int = FETCH_TIMEOUT) -> DataFrame:
     """Bytes of remote references through the caller's ``fetcher(url, timeout)``.
 
-    Every key is fetched once; keys already in the Parquet cache are not
-    fetched again, and new ones are appended to it. A failed fetch is a row
-    with an error and is tried again next time.
+    Every key is fetched once; keys already in the cache are not fetched again.
+    A failed fetch is a row with an error and is tried again next time.
+
+    The cache is a Parquet folder for each run, split into buckets by the key's
+    hash. A run looks for its keys by name in the buckets they fall in, writes
+    what it fetches once, into its own folder, and opens older bytes only for
+    the rows it returns. If two runs at once fetched a key, the one whose folder
+    comes first counts.
     """
     wanted = distinct_refs(with_ref_key(refs.where(is_remote(F.col("ref")))))
-    spark = refs.sparkSession
     if cache_path is None:
         return _fetched(wanted, fetcher, timeout)
-    cached = spark.read.schema(BLOB_SCHEMA).parquet(cache_path) if _exists(spark, cache_path) else None
-    missing = wanted if cached is None else wanted.join(cached.select("key"), "key", "left_anti")
+    spark = refs.sparkSession
+    wanted = stored(wanted.withColumn("bucket", _bucket("key")), "wanted")
+    known = None
+    if any(name.startswith("run=") for name in folders(spark, cache_path)):
+        touched = [r["bucket"] for r in wanted.select("bucket").distinct().collect()]  # CACHE_BUCKETS numbers at most
+        cached = spark.read.schema(f"{BLOB_SCHEMA}, run string, bucket int").parquet(cache_path).where(
+            F.col("bucket").isin(touched) & F.col("error").isNull())
+        held = stored(cached.join(wanted.select("bucket", "key"), ["bucket", "key"], "left_semi")
+                      .groupBy("bucket", "key").agg(F.min("run").alias("run")), "held")
+        known = cached.join(held, ["run", "bucket", "key"]).select("key", "data", "error")
+        wanted = wanted.join(held.select("key"), "key", "left_anti")
     # Written before it is read: a second action must not fetch again.
-    _fetched(missing, fetcher, timeout).write.mode("append").parquet(_attempts(cache_path))
-    tried = spark.read.schema(BLOB_SCHEMA).parquet(_attempts(cache_path))
-    good = tried.where("data is not null").groupBy("key").agg(F.first("data").alias("data"))
-    fresh = good if cached is None else good.join(cached.select("key"), "key", "left_anti")
-    fresh.withColumn("error", F.lit(None).cast("string")).write.mode("append").parquet(cache_path)
-    stored = spark.read.schema(BLOB_SCHEMA).parquet(cache_path).join(wanted.select("key"), "key", "left_semi")
-    failed = wanted.select("key").join(stored.select("key"), "key", "left_anti")
-    errors = tried.where("data is null").groupBy("key").agg(F.max("error").alias("error"))
-    return stored.unionByName(
-        failed.join(errors, "key", "left").select("key", F.lit(None).cast("binary").alias("data"), "error"))
+    run = f"{cache_path.rstrip('/')}/run={uuid.uuid4().hex}"
+    _fetched(wanted.select("key", "ref"), fetcher, timeout).withColumn("bucket", _bucket("key")).write.partitionBy("bucket").parquet(run)
+    fresh = spark.read.schema(f"{BLOB_SCHEMA}, bucket int").parquet(run).select("key", "data", "error")
+    return fresh if known is None else known.unionByName(fresh)
 
 
-def _attempts(cache_path: str) -> str:
-    return cache_path.rstrip("/") + "_attempts"
+def _bucket(key: str) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(CACHE_BUCKETS)).cast("int")
 
 
-def _exists(spark, path: str) -> bool:
-    try:
-        spark.read.schema(BLOB_SCHEMA).parquet(path)
-        return True
-    except Exception as error:
-        if "PATH_NOT_FOUND" in str(error):
-            return False
-        raise
+def _by_bytes(rows: Iterator[tuple]) -> Iterator[pd.DataFrame]:
+    """Rows of (key, data, error), handed on whenever they hold ``LOADED_BYTES``."""
+    part, held = [], 0
+    for row in rows:
+        part.append(row)
+        held += len(row[1] or b"")
+        if held >= LOADED_BYTES:
+            yield pd.DataFrame(part, columns=["key", "data", "error"])
+            part, held = [], 0
+    if part:
+        yield pd.DataFrame(part, columns=["key", "data", "error"])
 
 
 def _fetched(wanted: DataFrame, fetcher, timeout: int) -> DataFrame:
+    def one(key, ref):
+        try:
+            return key, fetcher(ref, timeout), None
+        except Exception as error:
+            return key, None, f"{type(error).__name__}: {error}"
+
     def fetch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            rows = []
-            for key, ref in zip(batch["key"], batch["ref"]):
-                try:
-                    rows.append((key, fetcher(ref, timeout), None))
-                except Exception as error:
-                    rows.append((key, None, f"{type(error).__name__}: {error}"))
-            yield pd.DataFrame(rows, columns=["key", "data", "error"])
+            yield from _by_bytes(one(key, ref) for key, ref in zip(batch["key"], batch["ref"]))
 
-    return wanted.mapInPandas(fetch, BLOB_SCHEMA)
+    return wanted.select("key", "ref").mapInPandas(fetch, BLOB_SCHEMA)
 
 
 def load_image_bytes(refs: DataFrame, root: str) -> DataFrame:
@@ -99,23 +113,18 @@ def load_image_bytes(refs: DataFrame, root: str) -> DataFrame:
         from pyarrow.fs import FileSystem
 
         fs, base = FileSystem.from_uri(where)
+        def one(key):
+            path, data = posixpath.normpath(str(key).split("://", 1)[-1].removeprefix("file:")), None
+            if path.startswith(base.rstrip("/") + "/"):
+                try:
+                    with fs.open_input_stream(path) as source:
+                        data = source.read()
+                except OSError:
+                    pass
+            return key, data, None if data is not None else f"cannot read {key}"
+
         for batch in batches:
-            rows, held = [], 0
-            for key in batch["key"]:
-                path, data = posixpath.normpath(str(key).split("://", 1)[-1].removeprefix("file:")), None
-                if path.startswith(base.rstrip("/") + "/"):
-                    try:
-                        with fs.open_input_stream(path) as source:
-                            data = source.read()
-                    except OSError:
-                        pass
-                rows.append((key, data, None if data is not None else f"cannot read {key}"))
-                held += len(data or b"")
-                if held >= LOADED_BYTES:
-                    yield pd.DataFrame(rows, columns=["key", "data", "error"])
-                    rows, held = [], 0
-            if rows:
-                yield pd.DataFrame(rows, columns=["key", "data", "error"])
+            yield from _by_bytes(map(one, batch["key"]))
 
     wanted = refs.where(~is_remote(F.col("ref"))).select(F.col("ref").alias("key")).distinct()
     return wanted.mapInPandas(load, BLOB_SCHEMA)

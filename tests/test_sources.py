@@ -2,6 +2,8 @@
 
 import json
 import random
+import re
+import shutil
 import struct
 import zlib
 
@@ -11,6 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from genflow.functions.images import image_header
+from genflow.operators import images
 from genflow.operators.images import fetch_images, load_image_bytes
 from genflow.sinks.blobs import write_named_blobs
 from genflow.sinks.results import merge_results, read_progress, save_progress, write_results
@@ -18,7 +21,7 @@ from genflow.sources.endpoints import endpoints_from_config, single_endpoint
 from genflow.sources.logs import read_worker_logs
 from genflow.sources.outputs import list_outputs
 from genflow.sources.requests import read_edit_requests, read_generate_requests
-from genflow.sources import pieces
+from genflow.sources import outputs, pieces
 from genflow.sources.tasks import (
     load_prompts, read_parquet_dir_reindexed, read_prompts, read_prompts_json, read_prompts_jsonl, read_tasks,
     read_tasks_csv, read_tasks_parquet,
@@ -267,6 +270,46 @@ def test_hidden_files_are_refused_by_name(spark, tmp_path, name):
         read_tasks_parquet(spark, str(folder / name))
 
 
+def test_fetch_cache_runs_and_buckets(spark, tmp_path):
+    def refs(*names):
+        return spark.createDataFrame([(f"http://h/{n}",) for n in names], "ref string")
+
+    def got(df):
+        return {bytes(r["data"]).decode() if r["data"] is not None else r["error"] for r in df.collect()}
+
+    def never(url, timeout):
+        raise AssertionError(url)
+
+    cache = tmp_path / "cache"
+    names = [f"{i}.png" for i in range(40)]
+    fetch_images(refs(*names), lambda url, timeout: url.encode(), str(cache))
+    (first,) = cache.iterdir()
+    assert len(list(first.glob("bucket=*"))) > 20
+    # Nothing is fetched or written again; only the bucket of the wanted key is opened.
+    again = fetch_images(refs("7.png"), never, str(cache))
+    assert got(again) == {"http://h/7.png"}
+    assert re.search(r"PartitionFilters: \[[^]]*bucket#\d+ (=|IN)", again._jdf.queryExecution().executedPlan().toString())
+    assert [list(run.rglob("*.parquet")) for run in cache.iterdir() if run != first] == [[]]
+    # What two runs fetched at once is there twice and returned once.
+    shutil.copytree(first, cache / "run=zz")
+    twice = fetch_images(refs(*names, "new.png"), lambda url, timeout: b"fresh", str(cache))
+    assert twice.count() == 41 and got(twice) == {f"http://h/{n}" for n in names} | {"fresh"}
+    assert fetch_images(refs(), never, str(cache)).count() == 0
+
+
+def test_large_images_are_handed_on_as_they_come():
+    sent = []
+
+    def rows():
+        for i in range(5):
+            sent.append(i)
+            yield str(i), b"x" * (images.LOADED_BYTES // 2), None
+
+    parts = images._by_bytes(rows())
+    assert list(next(parts)["key"]) == ["0", "1"] and sent == [0, 1]
+    assert [list(p["key"]) for p in parts] == [["2", "3"], ["4"]]
+
+
 @pytest.mark.parametrize("index", ["", "x1"])
 def test_a_bad_csv_index_is_an_error(spark, tmp_path, index):
     path = tmp_path / "tasks.csv"
@@ -287,6 +330,20 @@ def test_outputs_and_images_below_hidden_folders(spark, tmp_path):
     assert got[str(tmp_path / "none.png")]["error"].startswith("cannot read") and got["/etc/hostname"]["data"] is None
 
 
+def test_listing_walks_deep_and_flat_folders_in_batches(spark, tmp_path):
+    names = [f"flat/{i}.png" for i in range(25)] + ["/".join("abcdefgh"[:d]) + f"/{d}.png" for d in range(1, 9)]
+    for name in names:
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_bytes(b"")
+    (tmp_path / "empty/inner").mkdir(parents=True)
+    assert sorted(r["path"] for r in list_outputs(spark, str(tmp_path), batch_rows=10).collect()) == sorted(names)
+    sizes = [b.num_rows for b in outputs._level(f"file://{tmp_path}", 10)(iter([pa.RecordBatch.from_arrays([pa.array(["flat", "gone"])], names=["path"])]))]
+    assert sizes == [10, 10, 5, 0]
+    assert list_outputs(spark, str(tmp_path / "empty")).count() == 0
+    with pytest.raises(FileNotFoundError):
+        list_outputs(spark, str(tmp_path / "nothing"))
+
+
 def small_splits(spark):
     """Files cut every few bytes, as large ones are cut on a cluster."""
     spark.conf.set("spark.sql.files.maxPartitionBytes", "61b")
