@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 # Fixed values of the template.
 OPEN, CLOSE, END = "<|", "|>\n", "<|end|>\n"
 ESCAPED = "< |"
+#: Turns whose spans are placed together.
+RUN = 128
 
 
 def _turns(table: DataFrame, key: str, name: str) -> DataFrame:
@@ -35,16 +37,25 @@ def rendered(turns: Column) -> Column:
 
 
 def loss_spans(turns: Column, trained: str = "assistant") -> Column:
-    """``start:end`` of each trained reply with its end mark in the rendered text; code points, end exclusive."""
+    """``start:end`` of each trained reply with its end mark in the rendered text; code points, end exclusive.
+
+    Turns are taken ``RUN`` at a time, and the places of the runs added up after
+    that, so no growing list is copied once per turn of a long conversation.
+    """
     def step(acc, t):
         start = acc["at"] + F.length(_head(t))
         end = start + F.length(_body(t))
-        span = F.concat_ws(":", start, end)
+        span = F.struct(start.alias("start"), end.alias("end"))
         more = F.when(t["role"] == trained, F.array_append(acc["spans"], span)).otherwise(acc["spans"])
         return F.struct(end.alias("at"), more.alias("spans"))
 
-    zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("spans"))
-    return F.array_join(F.aggregate(turns, zero, step, lambda acc: acc["spans"]), ",")
+    zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int>>").alias("spans"))
+    last = F.floor(F.greatest(F.size(turns) - 1, F.lit(0)) / RUN).cast("int")
+    runs = F.transform(F.sequence(F.lit(0), last), lambda i: F.aggregate(F.slice(turns, i * RUN + 1, F.lit(RUN)), zero, step))
+    starts = F.aggregate(runs, F.array(F.lit(0)), lambda acc, run: F.array_append(acc, F.element_at(acc, -1) + run["at"]))
+    placed = F.zip_with(runs, F.slice(starts, 1, F.size(runs)), lambda run, at: F.transform(
+        run["spans"], lambda x: F.concat_ws(":", x["start"] + at, x["end"] + at)))
+    return F.array_join(F.flatten(placed), ",")
 
 
 def preferences(chosen: DataFrame, rejected: DataFrame, key: str = "conv_id", trained: str = "assistant") -> DataFrame:
@@ -58,10 +69,10 @@ def preferences(chosen: DataFrame, rejected: DataFrame, key: str = "conv_id", tr
     give no rows; other columns are not carried. A conversation becomes one
     value, so it must fit one row; nothing else is gathered.
     """
-    left, right = _turns(chosen, key, "chosen"), _turns(rejected, key, "rejected")
+    left, right = _turns(chosen, key, "_chosen"), _turns(rejected, key, "_rejected")
     right = right.withColumnRenamed("_key", "_other")
     both = left.join(right, F.col("_key").eqNullSafe(F.col("_other")))
-    same = F.zip_with("chosen", "rejected", lambda a, b: a.eqNullSafe(b))
+    same = F.zip_with("_chosen", "_rejected", lambda a, b: a.eqNullSafe(b))
     first = F.array_position(same, False)
     both = both.withColumn("_n", F.when(first > 0, first - 1).otherwise(F.size(same)).cast("int"))
 
@@ -70,16 +81,17 @@ def preferences(chosen: DataFrame, rejected: DataFrame, key: str = "conv_id", tr
 
     return both.select(
         F.col("_key").alias(key), F.col("_n").cast("long").alias("prompt_turns"),
-        rendered(F.slice("chosen", F.lit(1), F.col("_n"))).alias("prompt"),
-        rendered(after("chosen")).alias("chosen"), loss_spans(after("chosen"), trained).alias("chosen_loss"),
-        rendered(after("rejected")).alias("rejected"), loss_spans(after("rejected"), trained).alias("rejected_loss"))
+        rendered(F.slice("_chosen", F.lit(1), F.col("_n"))).alias("prompt"),
+        rendered(after("_chosen")).alias("chosen"), loss_spans(after("_chosen"), trained).alias("chosen_loss"),
+        rendered(after("_rejected")).alias("rejected"), loss_spans(after("_rejected"), trained).alias("rejected_loss"))
 
 
 def swapped_replies(turns: DataFrame) -> DataFrame:
     """Rejected versions: each conversation with its last reply taken from its neighbour.
 
     The neighbour of conversations 2k and 2k+1 is the other one; without a
-    neighbour's reply the reply is empty. A conversation without replies stays.
+    neighbour's reply the reply is empty. A conversation without replies stays. Ids are integers;
+    rows with a null id or turn stay as they are.
     """
     replies = turns.where((F.col("role") == "assistant") & F.col("turn").isNotNull())
     last = replies.groupBy("conv_id").agg(F.max(F.struct("turn", "text")).alias("_last"))

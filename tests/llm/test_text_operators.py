@@ -403,3 +403,16 @@ def test_trees_add_likely_spans_that_overlap_no_base_span(spark):
         for s in r["spans"]:
             assert s["base"] or all(s["end"] <= a or b <= s["start"] for a, b in base)
             assert 0 <= s["start"] < s["end"]
+
+
+def test_loss_spans_of_very_long_conversations(spark):
+    for n in (0, 1, chat.RUN - 1, chat.RUN, chat.RUN + 1, 20_000):
+        turns = [("assistant" if i % 3 else "user", "x" * (i % 7)) for i in range(n)]
+        want, at = [], 0
+        for role, text in turns:
+            start = at + len(f"{chat.OPEN}{role}{chat.CLOSE}")
+            at = start + len(f"{text}{chat.END}")
+            if role == "assistant":
+                want.append(f"{start}:{at}")
+        row = spark.createDataFrame([(turns,)], "turns array<struct<role:string,text:string>>")
+        assert row.select(chat.loss_spans(F.col("turns"))).first()[0] == ",".join(want)
