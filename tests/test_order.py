@@ -3,6 +3,7 @@ from itertools import accumulate
 """Positions, shards and attempt analytics against plain loops, with hot keys and small blocks."""
 
 import random
+import re
 from collections import defaultdict, deque
 
 import pyarrow as pa
@@ -295,6 +296,33 @@ def test_every_hot_key_is_salted(spark):
     assert got.where("v = key * 2").count() == 20_000
 
 
+@pytest.fixture
+def as_planned(spark):
+    """Shuffled joins that Spark does not change while it runs."""
+    changed = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in changed}
+    for k, v in changed.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize("sent", [1, 1000])
+def test_no_row_moves_by_a_hot_key_alone(spark, as_planned, monkeypatch, sent):
+    monkeypatch.setattr("genflow.operators.joins.SENT_KEYS", sent, raising=False)
+    left = spark.range(8000).selectExpr("id as i", "case when id % 4 = 3 then null when id % 2 = 0 then -1 else id % 100 end as key")
+    right = spark.range(-1, 50).selectExpr("id as key", "id * 2 as v")
+    joined = salted_left_join(left, right, "key", ["i"], hot_rows=10)
+    got = sorted(map(tuple, joined.select("i", "key", "v").collect()), key=str)
+    assert got == sorted(map(tuple, left.join(right, "key", "left").select("i", "key", "v").collect()), key=str)
+    plan = joined._jdf.queryExecution().executedPlan().toString().splitlines()
+    by_key = [below for line, below in zip(plan, plan[1:]) if "Exchange hashpartitioning(key" in line and "_salt" not in line]
+    assert by_key and not any(re.search(r"\bi#\d", below) for below in by_key), by_key
+    dealt = joined.groupBy((F.col("key") == -1).alias("hot"), F.spark_partition_id().alias("part")).count().collect()
+    assert all(r["count"] < 1500 for r in dealt), dealt  # of 4000 rows of the hot key and 2000 without a key
+
+
 def test_many_endpoints(spark):
     dim_ = spark.range(50_000).selectExpr("id as endpoint", "id % 4 as weight")
     rows = assign_endpoints(spark.range(20_000).withColumnRenamed("id", "index"), dim_)
