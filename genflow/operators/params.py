@@ -7,8 +7,10 @@ from pyspark.sql import DataFrame, functions as F
 from ..functions.models import (
     DEFAULT_CAPABILITY, DEFAULT_GUIDANCE, DEFAULT_STEPS, capability_table, edit_params, t2i_default_table, t2i_params,
 )
+from ..storage import stored
+from .joins import salted_left_join
 
-#: Longest piece of a name that patterns are filed under.
+#: Longest beginning of a pattern that names are searched for first.
 GRAM = 3
 
 
@@ -57,29 +59,33 @@ def match_pattern_table(df: DataFrame, patterns: DataFrame, name: str = "name",
                         pattern: str = "pattern", value: str = "value") -> DataFrame:
     """``df`` with ``matched``: the value of the first pattern (lowest ordinal) that the name contains, in any case, else null.
 
-    For patterns in a table, thousands of them: each is filed under the piece
-    of at most three characters that fewest patterns share, and a name is held
-    only against the patterns filed under its own pieces. Each different name is
-    looked up once. Null names and patterns match nothing; an empty pattern
-    matches every name; of equal ordinals the smaller value wins.
+    For patterns in a table, however many: of equal patterns only the first
+    counts. A name's pieces of at most three characters are looked up among the
+    patterns' beginnings, which give the sizes of patterns that may start there;
+    pieces of those sizes are then looked up among the patterns themselves. So
+    the work for a name depends on its length and on how many sizes patterns
+    have, not on their number. Each different name is looked up once. Null names
+    and patterns match nothing; an empty pattern matches every name; of equal
+    ordinals the smaller value wins.
     """
-    listed = patterns.where(F.col(pattern).isNotNull()).select(
-        F.col(ordinal).alias("_o"), F.lower(pattern).alias("_p"), F.col(value).alias("_v"))
-    size = F.least(F.length("_p"), F.lit(GRAM))
-    own = F.when(size == 0, F.array(F.lit(""))).otherwise(F.transform(
-        F.sequence(F.lit(1), F.length("_p") - size + 1), lambda i: F.substr("_p", i, size)))
-    filed = listed.withColumn("_gram", F.explode(F.array_distinct(own)))
-    shared = filed.groupBy("_gram").agg(F.count(F.lit(1)).alias("_n"))
-    rarest = filed.join(shared, "_gram").groupBy("_o", "_p", "_v").agg(F.min(F.struct("_n", "_gram"))["_gram"].alias("_gram"))
-    names = df.select(F.lower(name).alias("_name")).where("_name is not null").distinct()
+    listed = stored(patterns.where(F.col(pattern).isNotNull()).select(
+        F.lower(pattern).alias("_p"), F.struct(F.col(ordinal).alias("_o"), F.col(value).alias("_v")).alias("_first")).groupBy("_p").agg(
+        F.min("_first").alias("_first")), "patterns")
+    starts = stored(listed.groupBy(F.substring("_p", 1, GRAM).alias("_gram")).agg(F.collect_set(F.length("_p")).alias("_sizes")), "pattern-starts")
+    widths = sorted(r["w"] for r in starts.select(F.length("_gram").alias("w")).distinct().collect())  # GRAM + 1 numbers at most
+    names = stored(df.select(F.lower(name).alias("_name")).where("_name is not null").distinct(), "pattern-names")
 
     def pieces(width: int):
-        return F.when(F.length("_name") >= width, F.transform(
-            F.sequence(F.lit(1), F.greatest(F.length("_name") - width + 1, F.lit(1))), lambda i: F.substr("_name", i, F.lit(width)))).otherwise(
-            F.array().cast("array<string>"))
-
-    cut = F.array_distinct(F.concat(F.array(F.lit("")), *[pieces(w) for w in range(1, GRAM + 1)]))
-    hits = names.select("_name", F.explode(cut).alias("_gram")).join(rarest, "_gram").where(F.contains("_name", F.col("_p")))
-    first = hits.groupBy("_name").agg(F.min(F.struct("_o", "_v"))["_v"].alias(matched))
+        last = F.length("_name") - width + 1 if width else F.lit(1)
+        return F.when(last >= 1, F.transform(F.sequence(F.lit(1), F.greatest(last, F.lit(1))), lambda i: F.struct(
+            i.alias("_at"), F.substr("_name", i, F.lit(width)).alias("_gram")))).otherwise(F.array().cast("array<struct<_at:int,_gram:string>>"))
+
+    cut = F.concat(F.array().cast("array<struct<_at:int,_gram:string>>"), *[pieces(w) for w in widths])
+    cuts = names.select("_name", F.inline(cut))
+    near = salted_left_join(cuts, starts, "_gram", ["_name", "_at"]).select("_name", "_at", F.explode("_sizes").alias("_size"))
+    near = stored(near.where(F.col("_at") + F.col("_size") - 1 <= F.length("_name")).select(
+        "_name", "_at", F.substr("_name", F.col("_at"), F.col("_size")).alias("_p")), "pattern-pieces")
+    hits = salted_left_join(near, listed, "_p", ["_name", "_at"]).where("_first is not null")
+    first = hits.groupBy("_name").agg(F.min("_first")["_v"].alias(matched))
     joined = df.drop(matched).join(first, F.lower(name) == F.col("_name"), "left")
     return joined.drop("_name")
