@@ -14,6 +14,7 @@ text's matches, so work is in proportion to the text.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
@@ -21,7 +22,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .common import drop_scratch, scratch, whole
+from .common import scratch, whole
 from .sharding import _numbered
 
 # The base kinds as listed, in the JVM's pattern language. Runs are
@@ -48,9 +49,11 @@ CONTEXT = {"mail": "mail|write|contact|@", "call": "phone|call|tel|mobile|fax",
 BEFORE, AFTER = 32, 12
 # Code points that are no characters mark where matches start and end; a text's own become a third one.
 _START, _END, _OTHER = "\ufdd0", "\ufdd1", "\ufdd2"
-#: At most so many candidates of each kind and label train and calibrate the trees.
-SAMPLE = 4_000
+#: One candidate in so many, by hash, is kept from the trees and sets the thresholds; all others teach them.
+HELD_OUT = 5
 TREES, DEPTH = 12, 4
+#: Candidates of one training task, and least tasks.
+TASK_ROWS, LEAST_TASKS = 50_000, 4
 #: Share of right redactions that a kind's threshold must reach on held-out candidates, and how many of these it takes.
 PRECISION, LEAST_HELD = 0.98, 20
 #: No span of a looser generator is longer.
@@ -170,47 +173,40 @@ def _vectors(rows: DataFrame) -> DataFrame:
     return VectorAssembler(inputCols=names, outputCol="vector").transform(wide).drop(*names)
 
 
-def train(found: DataFrame, sample: int = SAMPLE) -> tuple[GBTClassificationModel | None, dict[str, float], list[dict]]:
+def train(found: DataFrame) -> tuple[GBTClassificationModel | None, dict[str, float], list[dict]]:
     """Trees, a threshold for each kind, and a report, from the candidates of all kinds; what holds its check is right.
 
-    At most ``sample`` of each kind and label are taken, by hash, and weighed
-    by how many there are; a fifth of them sets the thresholds. A kind has none
-    if too few are held out or none is precise enough. The report has each
-    kind's threshold, precision, recall and number of held-out candidates.
+    Every candidate counts, however many there are: four fifths, by hash, teach
+    the trees, and the other fifth sets the thresholds. A kind has none if too
+    few are held out or none is precise enough. The report has each kind's
+    threshold, precision, recall and number of held-out candidates.
     """
-    named = found.select("kind", F.col("holds").cast("int").alias("label"), "features", F.xxhash64("nid", "kind", "start").alias("h"))
-    counts = {(r["kind"], r["label"]): r["n"] for r in named.groupBy("kind", "label").agg(F.count(F.lit(1)).alias("n")).collect()}
-    if len({label for _, label in counts}) < 2:
+    named = found.select("kind", F.col("holds").cast("int").alias("label"), "features",
+                         (F.pmod(F.xxhash64("nid", "kind", "start"), F.lit(HELD_OUT)) == 0).alias("held"))
+    learning = [r["n"] for r in named.where(~F.col("held")).groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()]
+    if len(learning) < 2:
         return None, {}, []
-    parts = [named.where((F.col("kind") == kind) & (F.col("label") == label)).orderBy("h").limit(sample).withColumn(
-        "weight", F.lit(n / min(n, sample))) for (kind, label), n in sorted(counts.items())]
-    picked = parts[0]
-    for part in parts[1:]:
-        picked = picked.unionByName(part)
-    picked = scratch(picked.coalesce(4), "pii-sample")
-    held = F.pmod(F.col("h"), F.lit(5)) == 0
-    if picked.where(~held).select("label").distinct().count() < 2:
-        return None, {}, []
-    data = _vectors(picked)
-    model = GBTClassifier(featuresCol="vector", labelCol="label", maxIter=TREES, maxDepth=DEPTH, seed=7).fit(data.where(~held))
-    bins = model.transform(data.where(held)).select("kind", F.floor(vector_to_array("probability")[1] * 100).alias("bin"), "label", "weight")
-    rows = bins.groupBy("kind", "bin").agg(F.sum(F.col("label") * F.col("weight")).alias("right"), F.sum("weight").alias("n"),
-                                           F.count(F.lit(1)).alias("seen")).collect()  # 101 rows a kind at most
+    taught = sum(learning)
+    data = _vectors(named.coalesce(max(LEAST_TASKS, taught // TASK_ROWS)))
+    # Spark looks for splits in max(bins * bins, 10,000) rows, a square below 2^31: with these bins in all of them.
+    model = GBTClassifier(featuresCol="vector", labelCol="label", maxIter=TREES, maxDepth=DEPTH, seed=7,
+                          maxBins=min(max(32, math.isqrt(taught) + 1), 46_340)).fit(data.where(~F.col("held")))
+    bins = model.transform(data.where("held")).select("kind", F.floor(vector_to_array("probability")[1] * 100).alias("bin"), "label")
+    rows = bins.groupBy("kind", "bin").agg(F.sum("label").alias("right"), F.count(F.lit(1)).alias("n")).collect()  # 101 rows a kind at most
     thresholds, report = {}, []
     for kind in KINDS:
         mine = sorted((r for r in rows if r["kind"] == kind), key=lambda r: -r["bin"])
-        right = n = seen = 0
+        right = n = 0
         best = None
         for row in mine:
-            right, n, seen = right + row["right"], n + row["n"], seen + row["seen"]
+            right, n = right + row["right"], n + row["n"]
             if right >= PRECISION * n and row["bin"] >= 50:
                 best = (row["bin"] / 100, right / n, right)
-        if best and seen >= LEAST_HELD:
+        if best and n >= LEAST_HELD:
             thresholds[kind] = best[0]
         if mine:
             report.append({"kind": kind, "threshold": thresholds.get(kind), "precision": best[1] if best else None,
-                           "recall": best[2] / right if best and right else None, "held_out": seen})
-    drop_scratch(picked)
+                           "recall": best[2] / right if best and right else None, "held_out": n})
     return model, thresholds, report
 
 
@@ -226,7 +222,7 @@ def _beaten(judged: DataFrame) -> DataFrame:
     return a.join(b, meet, "left_semi").select("a.nid", "a.kind", "a.start").distinct()
 
 
-def find(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", sample: int = SAMPLE) -> DataFrame:
+def find(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """``(doc_id, spans)`` for every row; spans are structs of kind, start, end and ``base``.
 
     Base spans all stay. Added ones come from the looser generators, never
@@ -236,7 +232,7 @@ def find(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", sample: in
     """
     names, found = candidates(docs, text, doc_id)
     found = scratch(found, "pii-found")
-    model, thresholds, _ = train(found, sample)
+    model, thresholds, _ = train(found)
     sure = found.where("base").select("nid", "kind", "start", "end", "base")
     likely = {k: t for k, t in thresholds.items() if k in LIKE}
     if likely:

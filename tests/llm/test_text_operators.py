@@ -391,6 +391,17 @@ def test_thresholds_and_measures_of_each_kind(spark):
     assert sum(spans[i] for i in range(400)) > 380 and sum(spans[1000 + i] for i in range(400)) < 10
 
 
+def test_every_candidate_teaches_the_trees_or_sets_a_threshold(spark):
+    # 30,000 of one kind: right if the first number is even, but for one in ten of those.
+    found = spark.range(30_000).selectExpr(
+        "id as nid", "'phone_like' as kind", "int(0) as start", "int(12) as end", "false as base", "id % 2 = 0 and id % 20 > 0 as holds",
+        f"transform(sequence(1, {pii.FEATURES}), i -> float(case i when 1 then id % 2 when 2 then id % 20 when 3 then id else 0 end)) as features")
+    held = found.where(F.pmod(F.xxhash64("nid", "kind", "start"), F.lit(5)) == 0)
+    model, thresholds, report = pii.train(found.cache())
+    assert [r["held_out"] for r in report] == [held.count()] and report[0]["recall"] == report[0]["precision"] == 1
+    assert thresholds["phone_like"] >= 0.5 and model.getOrDefault("maxBins") ** 2 >= 30_000 - held.count()
+
+
 def test_trees_add_likely_spans_that_overlap_no_base_span(spark):
     rng = np.random.default_rng(5)
     number = lambda: "-".join(str(n) for n in rng.integers(100, 999, 3)) + str(rng.integers(0, 9))
